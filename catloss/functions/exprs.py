@@ -102,3 +102,24 @@ def null_safe_join_condition(left, right, keys: Iterable[str]) -> Column:
     for k in keys:
         cond = cond & left[k].eqNullSafe(right[k])
     return cond
+
+
+# Exact sums work in fixed-point units of 1e-6.
+SUM_UNITS_PER_ONE = 1e6
+
+
+def exact_sum(x: ColumnOrName) -> Column:
+    """Order-independent sum of a double column (an aggregate expression).
+
+    Each finite value becomes an integer number of 1e-6 units with plain IEEE
+    operations (``floor(x * 1e6 + 0.5)``), the units are summed exactly as
+    DECIMAL(38, 0) and scaled back. The result therefore does not depend on
+    partitioning, retries or summation order (a double ``sum`` does), and any
+    engine doing the same IEEE steps gets the same bits. A group holding NaN or
+    +-inf falls back to the IEEE double sum. All-null groups give null.
+    """
+    x = _c(x).cast("double")
+    finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    units = F.floor(x * F.lit(SUM_UNITS_PER_ONE) + F.lit(0.5)).cast("decimal(38,0)")
+    exact = F.sum(F.when(finite, units)).cast("double") / F.lit(SUM_UNITS_PER_ONE)
+    return F.when(F.max(F.when(x.isNotNull() & ~finite, F.lit(1))) == 1, F.sum(x)).otherwise(exact)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catloss import schemas as SC
-from catloss.functions.exprs import ieee_div
+from catloss.functions.exprs import exact_sum, ieee_div
 from catloss.operators.dialsup import FINAL_DIALSUP_METRIC
 from catloss.operators.main_stream import FINAL_MAIN_METRIC
 from catloss.params import RunParams
@@ -44,7 +44,7 @@ def annual(losses: DataFrame) -> DataFrame:
     the largest event. This is the only aggregation over the (large) loss rows; map-side
     partial aggregation shrinks it before the shuffle."""
     return losses.groupBy(*REPORT_KEYS, "year_id").agg(
-        F.sum("loss").alias("aep"), F.max("loss").alias("oep"), F.max("n_simulations").alias("n_simulations")
+        exact_sum("loss").alias("aep"), F.max("loss").alias("oep"), F.max("n_simulations").alias("n_simulations")
     )
 
 
@@ -58,7 +58,7 @@ def annual_losses(losses: DataFrame, ep_type: str) -> DataFrame:
 def aal(annual_df: DataFrame) -> DataFrame:
     """Total loss / simulations per key; return period, rank and rp are 0."""
     out = annual_df.groupBy(*REPORT_KEYS).agg(
-        F.sum("aep").alias("_total"), F.max("n_simulations").alias("_n")
+        exact_sum("aep").alias("_total"), F.max("n_simulations").alias("_n")
     ).select(
         *REPORT_KEYS,
         F.lit("AAL").alias("ep_type"),

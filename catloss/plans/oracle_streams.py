@@ -5,7 +5,9 @@ Written stage by stage like the reference (one join per stage, bag unions).
 
 from __future__ import annotations
 
+from catloss import schemas as SC
 from catloss.params import RunParams
+from catloss.sources import bridge as B
 
 P = RunParams()
 T = P.threshold
@@ -43,6 +45,31 @@ SELECT base_model, metric, forecast_date, CAST(COUNT(*) AS BIGINT) AS row_count,
 FROM {src} GROUP BY base_model, metric, forecast_date"""
 
 
+def bridge_dates() -> list[str]:
+    return sorted({r[3] for r in B.FORECAST_FACTORS})
+
+
+def _wide() -> str:
+    dims = ", ".join(SC.WIDE_IDENTITY)
+    select = list(SC.WIDE_IDENTITY)
+    select.insert(3, "'cds_wide_analysis' AS output_use")
+    select += [f"MAX({c}) AS {c}" for c in SC.WIDE_DIAGNOSTICS]
+    for metric in ("euws_override", "dialsup_localccy_forecast"):
+        for d in bridge_dates():
+            col = f"{metric}_{d.replace('-', '')[:6]}_loss"
+            select.append(
+                f"MAX(loss) FILTER (WHERE metric = '{metric}' AND CAST(forecast_date AS VARCHAR) = '{d}') AS {col}"
+            )
+    diag_null = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in SC.WIDE_DIAGNOSTICS)
+    src = (
+        f"SELECT {dims}, metric, forecast_date, loss, {', '.join(SC.WIDE_DIAGNOSTICS)} FROM main_long "
+        f"WHERE metric = 'euws_override' UNION ALL "
+        f"SELECT {dims}, metric, forecast_date, loss, {diag_null} FROM dialsup_long "
+        f"WHERE metric = 'dialsup_localccy_forecast'"
+    )
+    return f"SELECT {', '.join(select)} FROM ({src}) GROUP BY {dims}"
+
+
 def ctes() -> list[tuple[str, str]]:
     counts = " ".join(f"WHEN '{v}' THEN {int(n)}" for v, n in P.simulation_counts.items())
     target_rows = ", ".join(
@@ -115,6 +142,7 @@ WHERE metric = 'dialsup_localccy_forecast' AND loss >= {T!r}"""),
         ("main_final", "SELECT * FROM main_long WHERE metric = 'euws_override'"),
         ("main_fanout", _fanout("main_final")),
         ("dialsup_fanout", _fanout("dialsup_long")),
+        ("wide_output", _wide()),
         ("event_validation", _event_validation("main_fanout") + "\nUNION ALL\n" + _event_validation("dialsup_fanout")),
         # --- EP report ------------------------------------------------------------
         ("report_losses", f"""
@@ -127,13 +155,15 @@ FROM (SELECT forecast_date, base_model, rollup_lob, rollup_peril, year_id, metri
       WHERE metric = 'dialsup_localccy_forecast')"""),
         ("report_aal", """
 SELECT forecast_date, metric, 'AAL' AS ep_type, CAST(0 AS BIGINT) AS return_period, base_model, rollup_lob,
-       rollup_peril, CAST(0 AS BIGINT) AS rank, 0.0 AS rp, SUM(loss) / FIRST(n_simulations) AS loss
+       rollup_peril, CAST(0 AS BIGINT) AS rank, 0.0 AS rp,
+       CAST(SUM(CAST(floor(loss * 1e6 + 0.5) AS DECIMAL(38,0))) AS DOUBLE) / 1e6 / FIRST(n_simulations) AS loss
 FROM report_losses GROUP BY forecast_date, metric, base_model, rollup_lob, rollup_peril"""),
         ("report_target_ranks(base_model, return_period, rank)", f"VALUES {target_rows}"),
         ("report_keys", """
 SELECT DISTINCT forecast_date, metric, base_model, rollup_lob, rollup_peril, n_simulations FROM report_losses"""),
         ("annual_aep", """
-SELECT forecast_date, metric, base_model, rollup_lob, rollup_peril, year_id, SUM(loss) AS loss
+SELECT forecast_date, metric, base_model, rollup_lob, rollup_peril, year_id,
+       CAST(SUM(CAST(floor(loss * 1e6 + 0.5) AS DECIMAL(38,0))) AS DOUBLE) / 1e6 AS loss
 FROM report_losses GROUP BY forecast_date, metric, base_model, rollup_lob, rollup_peril, year_id"""),
         ("annual_oep", """
 SELECT forecast_date, metric, base_model, rollup_lob, rollup_peril, year_id, MAX(loss) AS loss

@@ -61,6 +61,8 @@ VERISK_LOB_MOD = 6
 RISKLINK_ANALYSIS_BASE = 900
 VERISK_EVENT_BASE = 1_000_000
 VERISK_YEARS_MOD = 10_000
+# ``path`` reported for bridged inputs (they have no data folder of their own).
+BRIDGE_DATA_ROOT = "bridge"
 RISKLINK_YEARS_MOD = 100_000
 
 
@@ -244,5 +246,5 @@ def bridge_inputs(
         seeds=seeds,
         ylts={"verisk": verisk_ylt(spark, sf_dir, lob_mod), "risklink": risklink_ylt(spark, sf_dir)},
         ep_summaries=ep_long(spark, include_unmapped),
-        data_root=sf_dir,
+        data_root=BRIDGE_DATA_ROOT,
     )
