@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_checked: dict[tuple, bool] = {}
+
+
 def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+
+    The answer is remembered per (application, plan, bound), so a lookup used by
+    several joins is counted once.
+    """
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -140,11 +140,20 @@ def blending_targets(points: DataFrame, weights: DataFrame, params: RunParams) -
     return SC.conform(out, SC.EP_TARGETS)
 
 
-def ep_branch(inputs, params: RunParams) -> dict[str, DataFrame]:
-    """The whole EP branch from run inputs; returns every intermediate by name."""
+def ep_branch(inputs, params: RunParams, materialize: bool = True) -> dict[str, DataFrame]:
+    """The whole EP branch from run inputs; returns every intermediate by name.
+
+    The enriched EP table is seed-sized and feeds every other EP frame and several
+    size checks, so it is materialised once (reliable checkpoint: survives the loss
+    of an executor and cuts the lineage of the small joins behind it).
+    """
     from catloss.operators.staging import blend_weights
+    from catloss.session import ensure_checkpoint_dir
 
     enriched = enrich_ep(inputs.ep_summaries, inputs.seed("lobs"), inputs.seed("perils"))
+    if materialize:
+        ensure_checkpoint_dir(enriched.sparkSession)
+        enriched = enriched.coalesce(1).checkpoint(eager=True)
     main = select_main_perils(enriched)
     dialsup = select_dialsup_perils(enriched)
     joined = vendor_joined(main)
