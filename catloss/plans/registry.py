@@ -139,6 +139,11 @@ def _with_views(spark, sf_dir) -> RollupFrames:
     return fr
 
 
+def q_inventory_counts(spark, sf_dir):
+    _with_views(spark, sf_dir)
+    return TPL.inventory_row_counts(spark)
+
+
 def q_report_totals(spark, sf_dir):
     _with_views(spark, sf_dir)
     return TPL.report_totals(spark)
@@ -212,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_coverage": q_dimension_coverage,
     "input_aal_summary": q_input_aal_summary,
     "quality_rules": q_quality_rules,
+    "q_inventory_counts": q_inventory_counts,
     "q_report_totals": q_report_totals,
     "q_top_losses": q_top_losses,
     "q_wide_events": q_wide_events,
@@ -383,6 +389,12 @@ ORACLE_SELECT: dict[str, str] = {
     "ep_wide_to_long": _ep_wide_long_oracle(),
     "dimension_coverage": _coverage_oracle(),
     "quality_rules": _quality_oracle(),
+    "q_inventory_counts": (
+        "SELECT 'ep_report' AS table_name, COUNT(*) AS rows FROM ep_report UNION ALL "
+        "SELECT 'mts_tbl_ylt_combined_all_factors', COUNT(*) FROM main_long UNION ALL "
+        "SELECT 'mts_tbl_ylt_combined_all_factors_wide', COUNT(*) FROM wide_output UNION ALL "
+        "SELECT 'mts_tbl_ylt_dialsup', COUNT(*) FROM dialsup_long"
+    ),
     "q_report_totals": (
         f"SELECT forecast_date, metric, ep_type, COUNT(*) AS rows, {_xsum('loss')} AS total_loss "
         "FROM ep_report GROUP BY 1, 2, 3"

@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference recomputes everything from files on every run: it has no
+watermarks, event-time windows, state or late-data handling. Every operator in
+this package is a batch DataFrame job; nothing here needs Structured Streaming.
+"""
