@@ -140,12 +140,11 @@ def blending_targets(points: DataFrame, weights: DataFrame, params: RunParams) -
     return SC.conform(out, SC.EP_TARGETS)
 
 
-def ep_branch(inputs, params: RunParams, materialize: bool = True) -> dict[str, DataFrame]:
+def ep_branch(inputs, params: RunParams, materialize: bool = False) -> dict[str, DataFrame]:
     """The whole EP branch from run inputs; returns every intermediate by name.
 
-    The enriched EP table is seed-sized and feeds every other EP frame and several
-    size checks, so it is materialised once (reliable checkpoint: survives the loss
-    of an executor and cuts the lineage of the small joins behind it).
+    Everything here is seed-sized. ``materialize`` checkpoints the enriched EP table
+    (reliable checkpoint) when its inputs are expensive to re-read.
     """
     from catloss.operators.staging import blend_weights
     from catloss.session import ensure_checkpoint_dir

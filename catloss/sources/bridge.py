@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catloss.inputs import RunInputs
-from catloss.schemas import EP_LONG, SEED_SCHEMAS, conform
+from catloss.schemas import EP_LONG, SEED_SCHEMAS
 
 # ---------------------------------------------------------------------------
 # The literal seed rows of the test bridge.
@@ -70,9 +70,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A small literal table as an inline ``VALUES`` relation (a stable local plan)."""
+    names = [f.name for f in schema.fields]
+    cols = ", ".join(f"c{i}" for i in range(len(names)))
+    select = ", ".join(
+        f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name}`" for i, f in enumerate(schema.fields)
+    )
+    if not rows:
+        return spark.createDataFrame([], schema)
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({cols})")
+
+
 def _lit_seed(spark: SparkSession, stem: str, rows: list[tuple]) -> DataFrame:
-    # Seed-sized literal: one partition, so joins against it stay one task wide.
-    return spark.createDataFrame(rows, schema=SEED_SCHEMAS[stem]).coalesce(1)
+    return literal_table(spark, rows, SEED_SCHEMAS[stem])
 
 
 def verisk_ylt(spark: SparkSession, sf_dir: str, lob_mod: int = VERISK_LOB_MOD) -> DataFrame:
@@ -146,46 +166,29 @@ def euws_rate_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
-def ep_long(spark: SparkSession, include_unmapped: bool = True) -> DataFrame:
-    """Long EP summary from lobs x perils x points (small, literal)."""
-    lobs = spark.createDataFrame([(r[0], r[1]) for r in LOBS], "lob_id long, modelled_lob string").coalesce(1)
-    perils = spark.createDataFrame([(r[0],) for r in PERILS], "modelled_peril string").coalesce(1)
-    points = spark.createDataFrame(EP_POINTS, "ep_type string, return_period long, k long").coalesce(1)
-    grid = lobs.crossJoin(perils).crossJoin(points)
-    peril = F.col("modelled_peril")
-    verisk = grid.where(
-        peril.startswith("VP")
-        & ~((peril == "VP2") & (F.col("lob_id") == 3) & (F.col("ep_type") == "OEP")
-            & (F.col("return_period") == 1000))
-    ).select(
-        F.lit("verisk").alias("vendor"),
-        peril.alias("analysis_id"),
-        "modelled_lob",
-        "modelled_peril",
-        "ep_type",
-        "return_period",
-        (
-            F.lit(1000) * F.col("k") * F.col("lob_id")
-            * F.when((peril == "VP3") & (F.col("lob_id") == 4), F.lit(1000)).otherwise(F.lit(1))
-        ).cast("double").alias("loss"),
-    )
-    lob_slot = F.when(F.col("lob_id") == 2, F.lit(1)).otherwise(F.col("lob_id") % 4)
-    risklink = grid.where(peril.startswith("RP") & (F.col("lob_id") < 5)).select(
-        F.lit("risklink").alias("vendor"),
-        (F.lit(RISKLINK_ANALYSIS_BASE) + F.lit(2) * lob_slot
-         + F.when(peril == "RP1", F.lit(1)).otherwise(F.lit(0))).cast("string").alias("analysis_id"),
-        "modelled_lob",
-        "modelled_peril",
-        "ep_type",
-        "return_period",
-        (F.lit(1100) * F.col("k") * F.col("lob_id")).cast("double").alias("loss"),
-    )
-    out = verisk.unionByName(risklink)
+def ep_long_rows(include_unmapped: bool = True) -> list[tuple]:
+    """Long EP summary rows from lobs x perils x points (the fixed bridge rule)."""
+    out = []
+    for lob_id, lob, *_ in LOBS:
+        for peril, *_ in PERILS:
+            for ep_type, rp, k in EP_POINTS:
+                if peril.startswith("VP"):
+                    if peril == "VP2" and lob_id == 3 and ep_type == "OEP" and rp == 1000:
+                        continue
+                    scale = 1000 if (peril == "VP3" and lob_id == 4) else 1
+                    out.append(("verisk", peril, lob, peril, ep_type, rp, float(1000 * k * lob_id * scale)))
+                elif peril.startswith("RP") and lob_id < 5:
+                    slot = 1 if lob_id == 2 else lob_id % 4
+                    analysis = RISKLINK_ANALYSIS_BASE + 2 * slot + (1 if peril == "RP1" else 0)
+                    out.append(("risklink", str(analysis), lob, peril, ep_type, rp, float(1100 * k * lob_id)))
     if include_unmapped:
-        out = out.unionByName(
-            spark.createDataFrame([("verisk", "VP0", "LOB9", "VP0", "AAL", 0, 1.0)], EP_LONG)
-        )
-    return conform(out.coalesce(1), EP_LONG)
+        out.append(("verisk", "VP0", "LOB9", "VP0", "AAL", 0, 1.0))
+    return out
+
+
+def ep_long(spark: SparkSession, include_unmapped: bool = True) -> DataFrame:
+    """Long EP summary (small, literal): one partition."""
+    return literal_table(spark, ep_long_rows(include_unmapped), EP_LONG)
 
 
 def ep_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
