@@ -108,7 +108,7 @@ def null_safe_join_condition(left, right, keys: Iterable[str]) -> Column:
 SUM_UNITS_PER_ONE = 1e6
 
 
-def exact_sum(x: ColumnOrName) -> Column:
+def exact_sum(x: ColumnOrName, over=None) -> Column:
     """Order-independent sum of a double column (an aggregate expression).
 
     Each finite value becomes an integer number of 1e-6 units with plain IEEE
@@ -116,10 +116,15 @@ def exact_sum(x: ColumnOrName) -> Column:
     DECIMAL(38, 0) and scaled back. The result therefore does not depend on
     partitioning, retries or summation order (a double ``sum`` does), and any
     engine doing the same IEEE steps gets the same bits. A group holding NaN or
-    +-inf falls back to the IEEE double sum. All-null groups give null.
+    +-inf falls back to the IEEE double sum. All-null groups give null. With
+    ``over`` (a window) it is evaluated as a window aggregate.
     """
     x = _c(x).cast("double")
     finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     units = F.floor(x * F.lit(SUM_UNITS_PER_ONE) + F.lit(0.5)).cast("decimal(38,0)")
-    exact = F.sum(F.when(finite, units)).cast("double") / F.lit(SUM_UNITS_PER_ONE)
-    return F.when(F.max(F.when(x.isNotNull() & ~finite, F.lit(1))) == 1, F.sum(x)).otherwise(exact)
+
+    def agg(c: Column) -> Column:
+        return c.over(over) if over is not None else c
+
+    exact = agg(F.sum(F.when(finite, units))).cast("double") / F.lit(SUM_UNITS_PER_ONE)
+    return F.when(agg(F.max(F.when(x.isNotNull() & ~finite, F.lit(1)))) == 1, agg(F.sum(x))).otherwise(exact)

@@ -20,6 +20,7 @@ from catloss.params import RunParams
 
 REPORT_KEYS = ["forecast_date", "metric", "base_model", "rollup_lob", "rollup_peril"]
 LOSS_COLUMNS = ["forecast_date", "base_model", "rollup_lob", "rollup_peril", "year_id", "metric", "loss"]
+REPORT_ROWS = "array<struct<ep_type:string,return_period:bigint,rank:bigint,loss:double>>"
 REPORT_ORDER = ["forecast_date", "metric", "ep_type", "return_period", "base_model", "rollup_lob", "rollup_peril"]
 
 
@@ -114,8 +115,69 @@ def ranked_ep(annual_df: DataFrame, params: RunParams, ep_types: tuple[str, ...]
     return SC.conform(out, SC.EP_REPORT)
 
 
+def _targets_of(base_model: F.Column, params: RunParams) -> F.Column:
+    """Array of (return_period, rank) targets for the row's base model (empty if unknown)."""
+    by_model: dict[str, list[tuple[int, int]]] = {}
+    for model, rp, rank in target_rank_rows(params):
+        by_model.setdefault(model, []).append((rp, rank))
+    elem = "struct<return_period:bigint,rank:bigint>"
+    expr = F.array().cast(f"array<{elem}>")
+    for model, pairs in by_model.items():
+        arr = F.array(*[F.struct(F.lit(rp).cast("long").alias("return_period"), F.lit(r).cast("long").alias("rank"))
+                        for rp, r in pairs]).cast(f"array<{elem}>")
+        expr = F.when(base_model == model, arr).otherwise(expr)
+    return expr
+
+
 def ep_report(main_long_df: DataFrame, dialsup_long_df: DataFrame, params: RunParams, order: bool = True) -> DataFrame:
-    """AAL, AEP and OEP rows in report order."""
+    """B12 / U6 / K1 in one window pass: AAL, AEP and OEP rows in report order.
+
+    The final losses are aggregated once per (key, year) (AEP sum, OEP max); AEP and
+    OEP rows are stacked and a single window partitioning per (key, EP type) gives
+    each annual loss its ordinal rank, the number of years and the exact total. A
+    row at a target rank emits that report row; the rank-1 row of a key also emits
+    the AAL row (AEP total / simulations) and 0.0 rows for target ranks the key
+    does not reach - the same rows as "every key x every target rank, left join".
+    """
     yearly = annual(report_losses(main_long_df, dialsup_long_df, params))
-    out = aal(yearly).unionByName(ranked_ep(yearly, params))
-    return out.orderBy(*REPORT_ORDER) if order else out
+    stacked = yearly.select(
+        *REPORT_KEYS, "n_simulations",
+        F.inline(F.array(
+            F.struct(F.lit("AEP").alias("ep_type"), F.col("aep").alias("loss")),
+            F.struct(F.lit("OEP").alias("ep_type"), F.col("oep").alias("loss")),
+        )),
+    )
+    part = Window.partitionBy(*REPORT_KEYS, "ep_type")
+    x = (
+        stacked.withColumn("rank", F.row_number().over(part.orderBy(F.col("loss").desc())).cast("long"))
+        .withColumn("_years", F.count(F.lit(1)).over(part))
+        .withColumn("_total", exact_sum("loss", over=part))
+        .withColumn("_targets", _targets_of(F.col("base_model"), params))
+    )
+    n = F.col("n_simulations")
+
+    def out(ep_type, rp, rank, loss) -> F.Column:
+        return F.struct(ep_type.alias("ep_type"), rp.cast("long").alias("return_period"), rank.cast("long").alias("rank"),
+                        loss.cast("double").alias("loss"))
+
+    hits = F.transform(
+        F.filter("_targets", lambda t: t["rank"] == F.col("rank")),
+        lambda t: out(F.col("ep_type"), t["return_period"], t["rank"], F.coalesce(F.col("loss"), F.lit(0.0))),
+    )
+    missing = F.transform(
+        F.filter("_targets", lambda t: (t["rank"] < 1) | (t["rank"] > F.col("_years"))),
+        lambda t: out(F.col("ep_type"), t["return_period"], t["rank"], F.lit(0.0)),
+    )
+    aal_row = F.array(out(F.lit("AAL"), F.lit(0), F.lit(0), ieee_div(F.col("_total"), n)))
+    first = F.col("rank") == 1
+    none = F.array().cast(REPORT_ROWS)
+    rows = F.concat(
+        hits,
+        F.when(first, missing).otherwise(none),
+        F.when(first & (F.col("ep_type") == "AEP"), aal_row).otherwise(none),
+    )
+    report = x.select(*REPORT_KEYS, "n_simulations", F.inline(rows)).withColumn(
+        "rp", F.when(F.col("ep_type") == "AAL", F.lit(0.0)).otherwise(ieee_div(n, F.col("rank")))
+    )
+    report = SC.conform(report, SC.EP_REPORT)
+    return report.orderBy(*REPORT_ORDER) if order else report

@@ -89,3 +89,20 @@ def test_wide_total_equals_long_total(spark):
         F.sum("t")).first()[0]
     long_total = fr.wide_source.agg(F.sum("loss")).first()[0]
     assert wide_total == pytest.approx(long_total, rel=1e-12)
+
+
+def test_ep_report_missing_and_zero_ranks(spark):
+    import math
+    from catloss.operators import report as RP
+    from catloss.params import RunParams
+    params = RunParams(simulation_counts={"verisk": 100}, return_periods=(50, 10, 1000))
+    main = rows(spark, SC.MAIN_LONG, [dict(ranked_row(), metric="euws_override", forecast_date=D1, year_id=y,
+                                           loss=l, output_use="cds_main")
+                                      for y, l in [(1, 10.0), (1, 5.0), (2, 30.0), (3, 20.0)]])
+    dial = rows(spark, SC.DIALSUP_LONG, [])
+    got = {(r.ep_type, r.return_period): (r.rank, r.rp, r.loss) for r in RP.ep_report(main, dial, params).collect()}
+    assert got[("AAL", 0)] == (0, 0.0, 0.65)
+    assert got[("AEP", 50)] == (2, 50.0, 20.0) and got[("OEP", 50)] == (2, 50.0, 20.0)
+    assert got[("AEP", 10)] == (10, 10.0, 0.0)            # only three simulated years carry losses
+    rank0 = got[("OEP", 1000)]
+    assert rank0[0] == 0 and math.isinf(rank0[1]) and rank0[2] == 0.0
