@@ -33,18 +33,23 @@ def dialsup_long(stream: DataFrame, threshold: float) -> DataFrame:
     return SC.conform(out, SC.DIALSUP_LONG)
 
 
-def with_risklink_event_days(ylt: DataFrame, risklink_events: DataFrame) -> DataFrame:
+def with_risklink_event_days(ylt: DataFrame, risklink_events: DataFrame,
+                             catalogue_small: bool | None = None) -> DataFrame:
     """Risklink rows need their occurrence in the flood catalogue (else dropped);
     other base models are kept with null occurrence columns; null base model drops.
 
     The staged catalogue is unique per (event, occurrence year, region peril), so the
-    join never multiplies rows. It is broadcast when bounded, else shuffled.
+    join never multiplies rows. It is broadcast when ``catalogue_small`` (callers pass
+    the size check of the *raw* catalogue, an upper bound that needs no aggregation);
+    when unknown, the staged catalogue itself is checked. Otherwise it is shuffled.
     """
     cat = risklink_events.select(
         F.col("event_id").alias("_ev"), F.col("model_occurrence_year"), F.col("region_peril_id").alias("_rp"),
         "risklink_event_day",
     )
-    if is_bounded(cat):
+    if catalogue_small is None:
+        catalogue_small = is_bounded(cat)
+    if catalogue_small:
         cat = F.broadcast(cat)
     others = (
         ylt.where(F.col("base_model") != "risklink")
@@ -61,9 +66,9 @@ def with_risklink_event_days(ylt: DataFrame, risklink_events: DataFrame) -> Data
     return others.unionByName(matched, allowMissingColumns=True)
 
 
-def fanout(ylt: DataFrame, risklink_events: DataFrame) -> DataFrame:
+def fanout(ylt: DataFrame, risklink_events: DataFrame, catalogue_small: bool | None = None) -> DataFrame:
     """The 11-column fanout layout."""
-    x = with_risklink_event_days(ylt, risklink_events)
+    x = with_risklink_event_days(ylt, risklink_events, catalogue_small)
     rl = F.col("base_model") == "risklink"
     out = x.select(
         "forecast_date",
@@ -81,13 +86,15 @@ def fanout(ylt: DataFrame, risklink_events: DataFrame) -> DataFrame:
     return SC.conform(out, SC.FANOUT)
 
 
-def main_fanout(main_long_df: DataFrame, risklink_events: DataFrame) -> DataFrame:
+def main_fanout(main_long_df: DataFrame, risklink_events: DataFrame,
+                catalogue_small: bool | None = None) -> DataFrame:
     """F6 + B11: final main metric rows only."""
-    return fanout(main_long_df.where(F.col("metric") == FINAL_MAIN_METRIC), risklink_events)
+    return fanout(main_long_df.where(F.col("metric") == FINAL_MAIN_METRIC), risklink_events, catalogue_small)
 
 
-def dialsup_fanout(dialsup_long_df: DataFrame, risklink_events: DataFrame) -> DataFrame:
-    return fanout(dialsup_long_df, risklink_events)
+def dialsup_fanout(dialsup_long_df: DataFrame, risklink_events: DataFrame,
+                   catalogue_small: bool | None = None) -> DataFrame:
+    return fanout(dialsup_long_df, risklink_events, catalogue_small)
 
 
 def event_validation(main_fan: DataFrame, dialsup_fan: DataFrame) -> DataFrame:

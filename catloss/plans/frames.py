@@ -55,6 +55,13 @@ class RollupFrames:
     def risklink_events(self) -> DataFrame:
         return ST.stage_risklink_events(self.inputs.seed("risklink_flood22_model_events"))
 
+    @cached_property
+    def risklink_catalogue_small(self) -> bool:
+        """Size check on the raw flood catalogue (bounds the staged one, no aggregation)."""
+        from catloss.functions.joins import is_bounded
+
+        return is_bounded(self.inputs.seed("risklink_flood22_model_events"))
+
     @cached_property
     def fx(self) -> DataFrame:
         return ST.stage_fx(self.inputs.seed("fx_rates"))
@@ -171,11 +178,11 @@ class RollupFrames:
 
     @cached_property
     def main_fanout(self) -> DataFrame:
-        return MT.main_fanout(self.main_long, self.risklink_events)
+        return MT.main_fanout(self.main_long, self.risklink_events, self.risklink_catalogue_small)
 
     @cached_property
     def dialsup_fanout(self) -> DataFrame:
-        return MT.dialsup_fanout(self.dialsup_long, self.risklink_events)
+        return MT.dialsup_fanout(self.dialsup_long, self.risklink_events, self.risklink_catalogue_small)
 
     @cached_property
     def event_validation(self) -> DataFrame:

@@ -74,8 +74,8 @@ def run(
     main_long = W.read_parquet(spark, combined, SC.MAIN_LONG)
     dialsup_long = W.read_parquet(spark, dialsup, SC.DIALSUP_LONG)
 
-    main_fan = MT.main_fanout(main_long, fr.risklink_events)
-    dialsup_fan = MT.dialsup_fanout(dialsup_long, fr.risklink_events)
+    main_fan = MT.main_fanout(main_long, fr.risklink_events, fr.risklink_catalogue_small)
+    dialsup_fan = MT.dialsup_fanout(dialsup_long, fr.risklink_events, fr.risklink_catalogue_small)
     event_path = W.write_parquet(
         MT.event_validation(main_fan, dialsup_fan), _join(output_root, EVENT_VALIDATION_FILE)
     )

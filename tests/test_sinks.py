@@ -57,3 +57,18 @@ def test_blocking_coverage_stops_the_run(spark):
     inputs = B.bridge_inputs(spark, SF_SMALL)  # LOB5 / LOB9 are unmapped on purpose
     with pytest.raises(ValueError, match="input validation failed"):
         PL.run(spark, inputs, _tmp())
+
+
+def test_report_from_existing_outputs_and_validate_only(spark):
+    out = _tmp()
+    inputs = B.bridge_inputs(spark, SF_SMALL, lob_mod=5, include_unmapped=False)
+    PL.run(spark, inputs, out, register_views=False, debug=True)
+    assert os.path.isdir(os.path.join(out, "debug", "int_ylt_ranked.parquet"))
+    again = PL.build_ep_report(spark, out)
+    from catloss.plans.frames import RollupFrames
+    direct = RollupFrames(inputs).ep_report()
+    assert again.exceptAll(direct).count() == 0 and direct.exceptAll(again).count() == 0
+    paths = PL.write_validation_reports(inputs, out)
+    cov = spark.read.option("header", True).csv(paths[0])
+    aal = spark.read.option("header", True).csv(paths[1])
+    assert cov.count() == 0 and aal.count() > 0
