@@ -97,13 +97,6 @@ def any_null(*cols: ColumnOrName) -> Column:
     return out
 
 
-def null_safe_join_condition(left, right, keys: Iterable[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 # Exact sums work in fixed-point units of 1e-6.
 SUM_UNITS_PER_ONE = 1e6
 

@@ -1,10 +1,9 @@
 """EP report over the final losses: AAL, annual AEP / OEP at target ranks.
 
-The annual aggregation reduces every portfolio key to at most one row per
-simulated year before the ranking window, so the window partition size is
-bounded by the number of simulated years, not by the data volume. Only the
-top ``max(target rank)`` rows per key are kept (Spark pushes the limit below
-the shuffle as a WindowGroupLimit).
+The final losses are aggregated once per (portfolio key, simulated year) - a
+partial (map-side) aggregation, so a hot key is reduced before the shuffle. The
+ranking window then holds at most one row per simulated year per key and EP
+type, a bound set by the simulation, not by the data volume.
 """
 
 from __future__ import annotations
@@ -49,13 +48,6 @@ def annual(losses: DataFrame) -> DataFrame:
     )
 
 
-def annual_losses(losses: DataFrame, ep_type: str) -> DataFrame:
-    """Annual AEP or OEP losses per key and year."""
-    if ep_type not in ("AEP", "OEP"):
-        raise ValueError(f"unknown aggregation for ep_type {ep_type!r}")
-    return annual(losses).select(*REPORT_KEYS, "year_id", F.col(ep_type.lower()).alias("loss"))
-
-
 def aal(annual_df: DataFrame) -> DataFrame:
     """Total loss / simulations per key; return period, rank and rp are 0."""
     out = annual_df.groupBy(*REPORT_KEYS).agg(
@@ -80,41 +72,6 @@ def target_rank_rows(params: RunParams) -> list[tuple[str, int, int]]:
     ]
 
 
-def target_ranks(spark, params: RunParams) -> DataFrame:
-    rows = target_rank_rows(params)
-    return spark.createDataFrame(rows, "base_model string, return_period long, rank long").coalesce(1)
-
-
-def ranked_ep(annual_df: DataFrame, params: RunParams, ep_types: tuple[str, ...] = ("AEP", "OEP")) -> DataFrame:
-    """N4 + J18: ordinal rank of annual losses per key and EP type; every key gets every
-    target rank of its base model (a missing rank reports 0.0)."""
-    spark = annual_df.sparkSession
-    targets = target_ranks(spark, params)
-    max_rank = max((r for _, _, r in target_rank_rows(params)), default=0)
-    stacked = annual_df.select(
-        *REPORT_KEYS, "n_simulations",
-        F.explode(F.array(*[F.struct(F.lit(t).alias("ep_type"), F.col(t.lower()).alias("loss")) for t in ep_types])).alias("_e"),
-    ).select(*REPORT_KEYS, "n_simulations", "_e.ep_type", "_e.loss")
-    w = Window.partitionBy(*REPORT_KEYS, "ep_type").orderBy(F.col("loss").desc())
-    ranked = (
-        stacked.withColumn("rank", F.row_number().over(w).cast("long"))
-        .where(F.col("rank") <= max_rank)
-        .select(*REPORT_KEYS, "ep_type", "rank", "loss")
-    )
-    types = spark.createDataFrame([(t,) for t in ep_types], "ep_type string").coalesce(1)
-    keys = annual_df.select(*REPORT_KEYS, "n_simulations").distinct()
-    key_targets = keys.join(F.broadcast(targets), "base_model", "inner").crossJoin(F.broadcast(types))
-    out = key_targets.join(ranked, [*REPORT_KEYS, "ep_type", "rank"], "left").select(
-        *REPORT_KEYS,
-        "ep_type",
-        "return_period",
-        "rank",
-        ieee_div(F.col("n_simulations"), F.col("rank")).alias("rp"),
-        F.coalesce(F.col("loss"), F.lit(0.0)).alias("loss"),
-    )
-    return SC.conform(out, SC.EP_REPORT)
-
-
 def _targets_of(base_model: F.Column, params: RunParams) -> F.Column:
     """Array of (return_period, rank) targets for the row's base model (empty if unknown)."""
     by_model: dict[str, list[tuple[int, int]]] = {}
