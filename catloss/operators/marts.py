@@ -49,14 +49,24 @@ def with_risklink_event_days(ylt: DataFrame, risklink_events: DataFrame,
     )
     if catalogue_small is None:
         catalogue_small = is_bounded(cat)
+    is_rl = F.col("base_model") == "risklink"
     if catalogue_small:
-        cat = F.broadcast(cat)
+        # One pass: broadcast left join that only risklink rows can match, then keep
+        # other base models and matched risklink rows (null base model drops).
+        x = ylt.join(
+            F.broadcast(cat),
+            (ylt["event_id"] == cat["_ev"]) & (ylt["year_id"] == cat["model_occurrence_year"])
+            & (ylt["region_peril_id"] == cat["_rp"]) & is_rl,
+            "left",
+        )
+        return x.where(~is_rl | F.col("_ev").isNotNull()).drop("_ev", "_rp")
+    # Large catalogue: only the risklink half is shuffled against it.
     others = (
-        ylt.where(F.col("base_model") != "risklink")
+        ylt.where(~is_rl)
         .withColumn("model_occurrence_year", F.lit(None).cast("long"))
         .withColumn("risklink_event_day", F.lit(None).cast("long"))
     )
-    rl = ylt.where(F.col("base_model") == "risklink")
+    rl = ylt.where(is_rl)
     matched = rl.join(
         cat,
         (rl["event_id"] == cat["_ev"]) & (rl["year_id"] == cat["model_occurrence_year"])

@@ -106,3 +106,18 @@ def test_ep_report_missing_and_zero_ranks(spark):
     assert got[("AEP", 10)] == (10, 10.0, 0.0)            # only three simulated years carry losses
     rank0 = got[("OEP", 1000)]
     assert rank0[0] == 0 and math.isinf(rank0[1]) and rank0[2] == 0.0
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_fanout_join_paths_agree(spark, small):
+    s = _stream(spark, [
+        dict(metric="euws_override", base_model="risklink", vendor="risklink", event_id=7, year_id=y,
+             region_peril_id=216, forecast_date=D1, loss=5000.0, target_currency="EUR") for y in (2025, 2026)
+    ] + [dict(metric="euws_override", base_model=None, event_id=9, year_id=2025, forecast_date=D1, loss=5000.0),
+         dict(metric="euws_override", base_model="verisk", event_id=8, year_id=2026, model_event_id=99,
+              event_day=3, forecast_date=D1, loss=5000.0, target_currency="EUR")])
+    events = rows(spark, SC.RISKLINK_EVENTS, [dict(event_id=7, model_occurrence_year=2025, region_peril_id=216,
+                                                   risklink_event_day=42)])
+    fan = MT.main_fanout(MT.main_long(s, 1000.0), events, catalogue_small=small)
+    got = sorted((r.base_model, r.ModelEventID, r.ModelYear, r.ModelEventDay) for r in fan.collect())
+    assert got == [("risklink", 7, 2025, 42), ("verisk", 99, 2026, 3)]
