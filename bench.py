@@ -1,7 +1,9 @@
 """Benchmark: wall time of the headline queries at one scale factor.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 4),
-BENCH_RUNS (timed runs per query after one warm-up, default 1; the median is kept).
+BENCH_RUNS (timed runs per query after one warm-up, default 1; the median is kept),
+BENCH_QUERIES (comma-separated subset), BENCH_EVENT_LOG (folder for Spark's event
+log, to read stage and task times without the UI).
 Each timing covers building the query (size checks and the rank checkpoint run
 while the plan is assembled) and forcing the result with a ``noop`` write.
 Prints one JSON line.
@@ -39,8 +41,12 @@ HEADLINE = [
 
 def session(cpus: str) -> SparkSession:
     scratch = tempfile.mkdtemp(prefix="catloss-bench-")
+    builder = SparkSession.builder
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    if event_log:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("catloss-bench")
         .config("spark.sql.shuffle.partitions", str(max(int(cpus) * 2, 4)))
         .config("spark.ui.enabled", "false")
