@@ -22,8 +22,9 @@ CORE_TABLES = (REPORT_TABLE, MAIN_TABLE, WIDE_TABLE, DIALSUP_TABLE)
 
 def xsum(expr: str) -> str:
     """Exact, order-independent SUM of a double expression (see ``exact_sum``): finite
-    values add up as integer 1e-6 units; a group with NaN or +-inf keeps the IEEE sum."""
-    bad = f"(isnan({expr}) OR abs({expr}) = CAST('Infinity' AS DOUBLE))"
+    values add up as integer 1e-6 units; a group with NaN, +-inf or |x| >= 9e12 keeps
+    the IEEE sum."""
+    bad = f"(isnan({expr}) OR abs({expr}) >= 9.0e12)"
     units = f"CAST(floor(({expr}) * 1e6 + 0.5) AS DECIMAL(38,0))"
     return (
         f"(CASE WHEN MAX(CASE WHEN {bad} THEN 1 END) = 1 THEN SUM({expr}) "

@@ -63,3 +63,8 @@ def test_exact_sum_is_order_independent(spark):
 def test_exact_sum_keeps_infinity(spark):
     df = spark.createDataFrame([(1.0,), (float("inf"),)], "x double")
     assert df.agg(exact_sum("x")).first()[0] == math.inf
+
+
+def test_exact_sum_huge_values_fall_back(spark):
+    df = spark.createDataFrame([(1.0e13,), (2.0e13,)], "x double")
+    assert df.agg(exact_sum("x")).first()[0] == 3.0e13
