@@ -201,3 +201,55 @@ class RollupFrames:
 
     def ep_report(self, order: bool = True) -> DataFrame:
         return RP.ep_report(self.main_long, self.dialsup_long, self.params, order=order)
+
+    # --- debug layers (W6) ---------------------------------------------------------
+    def debug_layers(self) -> dict[str, dict[str, DataFrame]]:
+        """Every model by layer prefix (``src seed stg int mts``), for the opt-in debug dump."""
+        base = self.dialsup_factor_base
+        return {
+            "src": {"ep_summaries": self.inputs.ep_summaries},
+            "seed": dict(self.inputs.seeds),
+            "stg": {
+                "forecast_factors": self.forecast_factors,
+                "gbp_fx_rates": self.fx,
+                "risklink_flood_events": self.risklink_events,
+                "risklink_ylt": self.stg_risklink_ylt,
+                "verisk_events": self.verisk_events,
+                "verisk_ylt": self.stg_verisk_ylt,
+            },
+            "int": {
+                "ep_blending_target_points": self.ep["ep_target_points"],
+                "ep_blending_targets": self.targets,
+                "ep_blending_weights": self.ep["blend_weights"],
+                "ep_summaries_dialsup": self.ep["ep_selected_dialsup"],
+                "ep_summaries_enriched": self.ep["ep_enriched"],
+                "ep_summaries_main": self.ep["ep_selected_main"],
+                "ep_vendor_joined": self.ep["ep_vendor_joined"],
+                "forecast_dates": self.forecast_dates,
+                "ylt_dialsup_base_selected": self.base_selected("dialsup"),
+                "ylt_dialsup_enriched": self.enriched("dialsup"),
+                "ylt_dialsup_factor_base": base,
+                "ylt_dialsup_forecast_metric": DS.dialsup_metric(base, "dialsup_localccy_forecast"),
+                "ylt_dialsup_local_currency_metric": DS.dialsup_metric(base, "dialsup_localccy"),
+                "ylt_dialsup_metric_stream": self.dialsup_stream,
+                "ylt_dialsup_original_metric": DS.dialsup_metric(base, "dialsup_original"),
+                "ylt_dialsup_ranked": self.ranked("dialsup"),
+                "ylt_main_base_selected": self.base_selected("main"),
+                "ylt_main_blended": self.blended,
+                "ylt_main_enriched": self.enriched("main"),
+                "ylt_main_euws": self.euws,
+                "ylt_main_euws_override": self.euws_override,
+                "ylt_main_forecast": self.forecasted,
+                "ylt_main_local_currency": self.localccy,
+                "ylt_main_metric_stream": self.main_stream,
+                "ylt_main_ranked": self.ranked("main"),
+                "ylt_normalized": self.normalized,
+            },
+            "mts": {
+                "dialsup_fanout": self.dialsup_fanout,
+                "event_validation": self.event_validation,
+                "main_fanout": self.main_fanout,
+                "ylt_dialsup_long": self.dialsup_long,
+                "ylt_main_long": self.main_long,
+            },
+        }

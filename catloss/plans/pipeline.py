@@ -92,16 +92,7 @@ def run(
     debug_dir = None
     if debug:
         debug_dir = _join(output_root, DEBUG_DIR)
-        W.write_debug({
-            "stg_verisk_ylt": fr.stg_verisk_ylt,
-            "stg_risklink_ylt": fr.stg_risklink_ylt,
-            "stg_gbp_fx_rates": fr.fx,
-            "stg_forecast_factors": fr.forecast_factors,
-            "int_ep_summaries_enriched": fr.ep["ep_enriched"],
-            "int_ep_blending_targets": fr.targets,
-            "int_ylt_ranked": fr.ranked("main"),
-            "int_ylt_dialsup_ranked": fr.ranked("dialsup"),
-        }, debug_dir)
+        W.write_debug(fr.debug_layers(), debug_dir)
 
     if register_views:
         tables = {

@@ -185,11 +185,13 @@ def write_wide(main_long_df: DataFrame, dialsup_long_df: DataFrame, path: str) -
     return path
 
 
-def write_debug(frames: Mapping[str, DataFrame], debug_dir: str) -> list[str]:
-    """Optional dump of named intermediate frames (``src_ seed_ stg_ int_ mts_``)."""
+def write_debug(layers: Mapping[str, Mapping[str, DataFrame]], debug_dir: str) -> list[str]:
+    """Opt-in dump of every layer as ``{prefix}_{name}.parquet`` (prefixes
+    ``src seed stg int mts``); names must be unique within a layer."""
     out = []
-    for name, df in frames.items():
-        out.append(write_parquet(df, f"{debug_dir.rstrip('/')}/{name}.parquet"))
+    for prefix, frames in layers.items():
+        for name, df in frames.items():
+            out.append(write_parquet(df, f"{debug_dir.rstrip('/')}/{prefix}_{name}.parquet"))
     return out
 
 

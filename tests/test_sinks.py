@@ -63,7 +63,11 @@ def test_report_from_existing_outputs_and_validate_only(spark):
     out = _tmp()
     inputs = B.bridge_inputs(spark, SF_SMALL, lob_mod=5, include_unmapped=False)
     PL.run(spark, inputs, out, register_views=False, debug=True)
-    assert os.path.isdir(os.path.join(out, "debug", "int_ylt_ranked.parquet"))
+    dumped = set(os.listdir(os.path.join(out, "debug")))
+    assert {"src_ep_summaries.parquet", "seed_lobs.parquet", "stg_verisk_ylt.parquet",
+            "int_ylt_main_ranked.parquet", "int_ylt_dialsup_metric_stream.parquet",
+            "mts_ylt_main_long.parquet"} <= dumped
+    assert len(dumped) == 1 + 9 + 6 + 26 + 5
     again = PL.build_ep_report(spark, out)
     from catloss.plans.frames import RollupFrames
     direct = RollupFrames(inputs).ep_report()
