@@ -95,15 +95,15 @@ def run(
         W.write_debug(fr.debug_layers(), debug_dir)
 
     if register_views:
-        tables = {
-            TPL.MAIN_TABLE: main_long,
-            TPL.DIALSUP_TABLE: dialsup_long,
-            TPL.WIDE_TABLE: W.read_parquet(spark, wide_path),
-            "mts_event_validation": W.read_parquet(spark, event_path),
-            **inputs.seeds,
-        }
+        tables = [
+            (TPL.MAIN_TABLE, main_long),
+            (TPL.DIALSUP_TABLE, dialsup_long),
+            (TPL.WIDE_TABLE, W.read_parquet(spark, wide_path)),
+            ("mts_event_validation", W.read_parquet(spark, event_path)),
+            *inputs.seeds.items(),
+        ]
         if report is not None:
-            tables[TPL.REPORT_TABLE] = report
+            tables.append((TPL.REPORT_TABLE, report))
         W.register_tables(tables)
 
     return RunResult(

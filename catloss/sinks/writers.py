@@ -195,15 +195,16 @@ def write_debug(layers: Mapping[str, Mapping[str, DataFrame]], debug_dir: str) -
     return out
 
 
-def register_tables(tables: Mapping[str, DataFrame], persist_as_tables: bool = False) -> list[str]:
+def register_tables(tables, persist_as_tables: bool = False) -> list[str]:
     """Expose outputs and seeds for inspection under their stems (views, or
-    catalogue tables when asked). Duplicate names are rejected before anything is
-    registered."""
-    names = list(tables)
+    catalogue tables when asked). ``tables`` is a mapping or a list of (name, frame)
+    pairs; duplicate names are rejected before anything is registered."""
+    pairs = list(tables.items()) if isinstance(tables, Mapping) else list(tables)
+    names = [n for n, _ in pairs]
     dupes = sorted({n for n in names if names.count(n) > 1})
     if dupes:
         raise ValueError(f"duplicate inspection table names: {dupes}")
-    for name, df in tables.items():
+    for name, df in pairs:
         if persist_as_tables:
             df.write.mode("overwrite").saveAsTable(name)
         else:

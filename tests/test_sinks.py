@@ -76,3 +76,8 @@ def test_report_from_existing_outputs_and_validate_only(spark):
     cov = spark.read.option("header", True).csv(paths[0])
     aal = spark.read.option("header", True).csv(paths[1])
     assert cov.count() == 0 and aal.count() > 0
+
+
+def test_duplicate_inspection_names_rejected(spark):
+    with pytest.raises(ValueError, match="duplicate inspection table names"):
+        W.register_tables([("ep_report", spark.range(1)), ("ep_report", spark.range(2))])
