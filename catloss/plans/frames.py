@@ -174,11 +174,26 @@ class RollupFrames:
 
     @cached_property
     def dialsup_long(self) -> DataFrame:
-        return MT.dialsup_long(self.dialsup_stream, self.params.threshold)
+        """Only the published dialsup metric is generated (the mart keeps no other)."""
+        final_only = DS.dialsup_metric_stream(
+            self.ranked_with_catalogue("dialsup"), self.fx, self.forecast_dates, self.forecast_factors,
+            stages=(DS.FINAL_DIALSUP_METRIC,),
+        )
+        return MT.dialsup_long(final_only, self.params.threshold)
+
+    @cached_property
+    def main_final_long(self) -> DataFrame:
+        """The published main rows (final metric only) without generating audit stages;
+        equal to ``main_long`` filtered on the final metric."""
+        final_only = MS.main_metric_stream(
+            self.ranked_with_catalogue("main"), self.targets, self.fx, self.forecast_dates,
+            self.forecast_factors, self.overrides, stages=(MS.FINAL_MAIN_METRIC,),
+        )
+        return MT.main_long(final_only, self.params.threshold)
 
     @cached_property
     def main_fanout(self) -> DataFrame:
-        return MT.main_fanout(self.main_long, self.risklink_events, self.risklink_catalogue_small)
+        return MT.main_fanout(self.main_final_long, self.risklink_events, self.risklink_catalogue_small)
 
     @cached_property
     def dialsup_fanout(self) -> DataFrame:
@@ -190,17 +205,17 @@ class RollupFrames:
 
     @cached_property
     def wide_source(self) -> DataFrame:
-        return WD.wide_source(self.main_long, self.dialsup_long)
+        return WD.wide_source(self.main_final_long, self.dialsup_long)
 
     def wide_output(self, check_grain: bool = True) -> DataFrame:
-        return WD.wide_output(self.main_long, self.dialsup_long, check_grain=check_grain)
+        return WD.wide_output(self.main_final_long, self.dialsup_long, check_grain=check_grain)
 
     @cached_property
     def report_annual(self) -> DataFrame:
-        return RP.annual(RP.report_losses(self.main_long, self.dialsup_long, self.params))
+        return RP.annual(RP.report_losses(self.main_final_long, self.dialsup_long, self.params))
 
     def ep_report(self, order: bool = True) -> DataFrame:
-        return RP.ep_report(self.main_long, self.dialsup_long, self.params, order=order)
+        return RP.ep_report(self.main_final_long, self.dialsup_long, self.params, order=order)
 
     # --- debug layers (W6) ---------------------------------------------------------
     def debug_layers(self) -> dict[str, dict[str, DataFrame]]:

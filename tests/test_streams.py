@@ -38,3 +38,13 @@ def test_shared_rank_equals_single_stream_rank(spark):
     fr = bridge_frames(spark)
     for stream in ("main", "dialsup"):
         assert _same(fr.ranked(stream), fr.ranked_single(stream, strategy="window"))
+
+
+def test_final_only_streams_equal_filtered_full_streams(spark):
+    from pyspark.sql import functions as F
+    from catloss.operators import marts as MT
+    fr = bridge_frames(spark)
+    full_main = fr.main_long.where(F.col("metric") == MS.FINAL_MAIN_METRIC)
+    assert _same(fr.main_final_long, full_main)
+    full_dialsup = MT.dialsup_long(fr.dialsup_stream, fr.params.threshold)
+    assert _same(fr.dialsup_long, full_dialsup)
