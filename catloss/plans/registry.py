@@ -49,11 +49,16 @@ def _bridge_dates() -> list[str]:
     return sorted({r[3] for r in B.FORECAST_FACTORS})
 
 
-def register_output_views(fr: RollupFrames) -> None:
-    """The published outputs and seeds as session views, named like the tables."""
+def register_output_views(fr: RollupFrames, wide: bool = True) -> None:
+    """The published outputs and seeds as session views, named like the tables.
+
+    The wide view needs one job to find its forecast-month columns, so templates that
+    do not read it can skip it (``wide=False``).
+    """
     fr.main_long.createOrReplaceTempView(TPL.MAIN_TABLE)
     fr.dialsup_long.createOrReplaceTempView(TPL.DIALSUP_TABLE)
-    fr.wide_output(check_grain=False).createOrReplaceTempView(TPL.WIDE_TABLE)
+    if wide:
+        fr.wide_output(check_grain=False).createOrReplaceTempView(TPL.WIDE_TABLE)
     fr.ep_report(order=False).createOrReplaceTempView(TPL.REPORT_TABLE)
     for stem, df in fr.inputs.seeds.items():
         df.createOrReplaceTempView(stem)
@@ -133,14 +138,14 @@ def q_quality_rules(spark, sf_dir):
     return QL.quality_report(frames(spark, sf_dir).inputs)
 
 
-def _with_views(spark, sf_dir) -> RollupFrames:
+def _with_views(spark, sf_dir, wide: bool = False) -> RollupFrames:
     fr = frames(spark, sf_dir)
-    register_output_views(fr)
+    register_output_views(fr, wide=wide)
     return fr
 
 
 def q_inventory_counts(spark, sf_dir):
-    _with_views(spark, sf_dir)
+    _with_views(spark, sf_dir, wide=True)
     return TPL.inventory_row_counts(spark)
 
 
@@ -155,13 +160,13 @@ def q_top_losses(spark, sf_dir):
 
 
 def q_wide_events(spark, sf_dir):
-    _with_views(spark, sf_dir)
+    _with_views(spark, sf_dir, wide=True)
     month = TPL.wide_loss_columns(spark)[0].split("_")[-2]
     return TPL.wide_events(spark, month)
 
 
 def q_wide_check(spark, sf_dir):
-    _with_views(spark, sf_dir)
+    _with_views(spark, sf_dir, wide=True)
     month = TPL.wide_loss_columns(spark)[0].split("_")[-2]
     return _round6(TPL.wide_portfolio_check(spark, month), ["avg_blend_factor"])
 
