@@ -30,9 +30,12 @@ STREAMS = ("main", "dialsup")
 
 
 class RollupFrames:
-    def __init__(self, inputs: RunInputs, params: RunParams | None = None):
+    def __init__(self, inputs: RunInputs, params: RunParams | None = None, materialize_scored: bool = False):
+        """``materialize_scored`` checkpoints the ranked rows even when the rank strategy
+        does not (``window``), for runs where several outputs read them."""
         self.inputs = inputs
         self.params = params or RunParams()
+        self.materialize_scored = materialize_scored
 
     # --- staging ---------------------------------------------------------------
     @cached_property
@@ -110,7 +113,13 @@ class RollupFrames:
         enriched = YL.enrich_ylt(self.normalized, tagged, carry=["_stream"])
         base = YL.select_base_rows(enriched, self.params, carry=["_stream"])
         with_cat = LK.attach_catalogue(base, self.verisk_events, self.euws_factors)
-        return YL.rank_events(with_cat, self.params, cell=["_stream", *YL.RANK_CELL])
+        ranked = YL.rank_events(with_cat, self.params, cell=["_stream", *YL.RANK_CELL])
+        if self.materialize_scored and self.params.rank_strategy != "range":
+            from catloss.session import ensure_checkpoint_dir
+
+            ensure_checkpoint_dir(ranked.sparkSession)
+            ranked = ranked.checkpoint(eager=True)
+        return ranked
 
     def ranked_with_catalogue(self, stream: str) -> DataFrame:
         return self.scored.where(F.col("_stream") == stream).drop("_stream")

@@ -67,7 +67,8 @@ def run(
 ) -> RunResult:
     params = params or RunParams()
     QL.validate_inputs(inputs)
-    fr = RollupFrames(inputs, params)
+    # Both long marts (and the debug dump) read the ranked rows: materialise them once.
+    fr = RollupFrames(inputs, params, materialize_scored=True)
 
     combined = W.write_parquet(fr.main_long, _join(output_root, COMBINED_YLT_FILE))
     dialsup = W.write_parquet(fr.dialsup_long, _join(output_root, DIALSUP_YLT_FILE))

@@ -81,3 +81,13 @@ def test_report_from_existing_outputs_and_validate_only(spark):
 def test_duplicate_inspection_names_rejected(spark):
     with pytest.raises(ValueError, match="duplicate inspection table names"):
         W.register_tables([("ep_report", spark.range(1)), ("ep_report", spark.range(2))])
+
+
+def test_window_and_range_runs_publish_the_same_marts(spark):
+    from catloss.params import RunParams
+    inputs = B.bridge_inputs(spark, SF_SMALL, lob_mod=5, include_unmapped=False)
+    a = PL.run(spark, inputs, _tmp(), RunParams(rank_strategy="window"), write_analysis=False, register_views=False)
+    b = PL.run(spark, inputs, _tmp(), RunParams(rank_strategy="range"), write_analysis=False, register_views=False)
+    for path_a, path_b in [(a.mts_combined, b.mts_combined), (a.mts_dialsup, b.mts_dialsup), (a.mts_wide, b.mts_wide)]:
+        da, db = spark.read.parquet(path_a), spark.read.parquet(path_b)
+        assert da.exceptAll(db).count() == 0 and db.exceptAll(da).count() == 0
