@@ -44,41 +44,35 @@ def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def running_total(df: DataFrame, order: Sequence[str], value: str, out: str, parts: int | None = None) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over all rows up to this one in ``order``.
+def running_total(df: DataFrame, order: Sequence[str], sums: dict[str, str], parts: int | None = None) -> DataFrame:
+    """For each ``value: name`` of sums add the sum of ``value`` over all rows up to this one in ``order``.
 
     Range partitions of balanced size hold the order, so a hot key costs no more than
     other rows. They are written once (their bounds come from a sample and could differ
     when recomputed), each partition's total gives the next ones' offsets, and each
     partition is then walked in order. ``order`` must be total for a repeatable result.
     """
-    spark = df.sparkSession
-    parts = parts or shuffle_width(spark)
+    parts = parts or shuffle_width(df.sparkSession)
     ranged = df.repartitionByRange(parts, *[F.col(c) for c in order]).withColumn("_pid", F.spark_partition_id())
     ranged = materialize(ranged, "ranged")
-    sums = ranged.groupBy("_pid").agg(F.sum(value).alias("_t"))
-    # one row a partition: bounded by the number of partitions
-    offsets = {r["_pid"]: r["_t"] for r in sums.collect()}
-    start, before = {}, 0
-    for pid in sorted(offsets):
-        start[pid], before = before, before + offsets[pid]
+    totals = ranged.groupBy("_pid").agg(*[F.sum(v).alias(n) for v, n in sums.items()])
+    before, start = dict.fromkeys(sums.values(), 0), {}
+    for r in totals.orderBy("_pid").collect():  # one row a partition
+        start[r["_pid"]] = dict(before)
+        before = {n: before[n] + r[n] for n in before}
 
     def walk(batches):
-        pid, total = None, 0
+        pid, at = None, {}
         for pdf in batches:
-            if not len(pdf):
-                continue
             for p, rows in pdf.groupby("_pid", sort=False):
                 if p != pid:
-                    pid, total = p, start[int(p)]
-                cum = rows[value].cumsum() + total
-                total = int(cum.iloc[-1])
-                yield rows.drop(columns="_pid").assign(**{out: cum})
+                    pid, at = p, dict(start[int(p)])
+                cum = {n: rows[v].cumsum() + at[n] for v, n in sums.items()}
+                at = {n: int(x.iloc[-1]) for n, x in cum.items()}
+                yield rows.drop(columns="_pid").assign(**cum)
 
-    schema = df.schema.add(out, "long")
-    # every written partition goes to one task again, in its order
-    again = ranged.repartition(parts, "_pid").sortWithinPartitions("_pid", *order)
-    return again.mapInPandas(walk, schema)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"`{n}` long" for n in sums.values())])
+    return ranged.repartition(parts, "_pid").sortWithinPartitions("_pid", *order).mapInPandas(walk, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -119,3 +113,10 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
         c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         on = c if on is None else on & c
     return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def row_hash(df: DataFrame) -> list[Column]:
+    """Two independent 64-bit hashes of the whole row, as columns _h1 and _h2."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    nulls = [c.isNull() for c in cols]  # the hash itself passes over nulls
+    return [F.xxhash64(*cols, *nulls).alias("_h1"), F.xxhash64(F.lit(7), *cols, *nulls).alias("_h2")]

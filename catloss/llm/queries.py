@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catloss.llm import bpe_codec, quality_rules, token_counts
+from catloss.llm import bpe_codec, embeddings, mixing, quality_rules, simhash, token_counts
 from catloss.llm.common import table
 
 
@@ -31,7 +31,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *[f"_m.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.queue(table(spark, sf_dir, "documents"), ["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op5_bpe_codec, op8_quality_rules)
+    f.__name__: f for f in (op2_mixing, op3_token_counts, op5_bpe_codec, op7_embedding_dedup, op8_quality_rules, op9_simhash)
 }
 ORACLE_SQL: dict[str, str] = {}
