@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catloss.llm import bpe_codec, embeddings, mixing, quality_rules, simhash, token_counts
+from catloss.llm import bpe_codec, embeddings, licenses, line_dedup, mixing, quality_rules, simhash, token_counts
 from catloss.llm.common import table
 
 
@@ -22,6 +22,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.col("matches.license")))
+    best = F.array_max(F.col("matches.containment"))
+    return found.select("doc_id", F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"), best.alias("containment"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -46,6 +57,6 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mixing, op3_token_counts, op5_bpe_codec, op7_embedding_dedup, op8_quality_rules, op9_simhash)
+    f.__name__: f for f in (op2_mixing, op3_token_counts, op4_licenses, op5_bpe_codec, op6_line_dedup, op7_embedding_dedup, op8_quality_rules, op9_simhash)
 }
 ORACLE_SQL: dict[str, str] = {}
