@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catloss.llm import bpe_codec, embeddings, licenses, line_dedup, mixing, quality_rules, simhash, token_counts
+from catloss.llm import bpe_codec, embeddings, language_crf, licenses, line_dedup, mixing, ngram_lm, quality_rules, simhash, token_counts
 from catloss.llm.common import table
 
 
@@ -42,6 +42,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *[f"_m.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    scored = ngram_lm.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.queue(table(spark, sf_dir, "documents"), ["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -56,7 +62,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda d: F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_crf.fit(docs.where(~held_out(docs)).select("text", "lang"))
+    return language_crf.predict(docs, model).withColumn("held_out", held_out(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mixing, op3_token_counts, op4_licenses, op5_bpe_codec, op6_line_dedup, op7_embedding_dedup, op8_quality_rules, op9_simhash)
+    f.__name__: f for f in (op1_lm_scoring, op2_mixing, op3_token_counts, op4_licenses, op5_bpe_codec, op6_line_dedup, op7_embedding_dedup, op8_quality_rules, op9_simhash, op10_language)
 }
 ORACLE_SQL: dict[str, str] = {}
