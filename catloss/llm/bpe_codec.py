@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,35 +156,47 @@ _NUMBERS = regex.compile(r"[\p{N}&&[\x00-ԯ]]*", regex.V1)
 _OTHERS = regex.compile(r"[[\x00-ԯ]--[\s\p{L}\p{N}]]*", regex.V1)
 
 
-def digest(codec: Codec, text: str) -> tuple[int, str, str]:
-    """(number of ids, SHA-256 of the ids as little-endian 32-bit integers, SHA-256 of the decoded text), piece by piece."""
-    n, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
+def digest(codec: Codec, text: str) -> tuple[list[np.ndarray], str, str]:
+    """(settled ids, SHA-256 of the ids as little-endian 32-bit integers, SHA-256 of the decoded text), made piece by piece."""
+    parts, ids_hash, text_hash = [], hashlib.sha256(), hashlib.sha256()
 
     def ids():
-        nonlocal n
         for part in codec.encode(text):
-            n += len(part)
             ids_hash.update(part.tobytes())
+            parts.append(part)
             yield part
 
     for out in codec.decode(ids()):
         text_hash.update(out.encode("utf-8"))
-    return n, ids_hash.hexdigest(), text_hash.hexdigest()
+    return parts, ids_hash.hexdigest(), text_hash.hexdigest()
 
 
-def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) for each document."""
+def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) for each document; with_ids adds token_ids: array<int>."""
 
     def run(batches):
         codec = Codec(path)
-        for pdf in batches:
-            codec.learn(x for x in pdf["text"] if len(x) <= PIECE)
-            rows = [digest(codec, x) for x in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], **{c: [r[i] for r in rows] for i, c in enumerate(("n_tokens", "ids_sha256", "decoded_sha256"))}})
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            codec.learn(x for x in texts if len(x) <= PIECE)
+            sizes, ids, digests = [], [], []
+            for x in texts:
+                parts, *hashes = digest(codec, x)
+                sizes.append(sum(map(len, parts)))
+                digests.append(hashes)
+                if with_ids:
+                    ids += parts
+            columns = [b.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array([d[i] for d in digests], pa.string()) for i in (0, 1))]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                flat = np.concatenate([np.zeros(0, "<u4"), *ids]).astype("int32")
+                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat)))
+                names.append("token_ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(
-        run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+        run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
     )
 
 
