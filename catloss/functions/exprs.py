@@ -95,31 +95,3 @@ def any_null(*cols: ColumnOrName) -> Column:
     for c in cols:
         out = out | _c(c).isNull()
     return out
-
-
-# Exact sums work in fixed-point units of 1e-6; values of this size or more do not fit
-# a long in those units and make the group fall back to the double sum.
-SUM_UNITS_PER_ONE = 1e6
-SUM_EXACT_LIMIT = 9.0e12
-
-
-def exact_sum(x: ColumnOrName, over=None) -> Column:
-    """Order-independent sum of a double column (an aggregate expression).
-
-    Each finite value becomes an integer number of 1e-6 units with plain IEEE
-    operations (``floor(x * 1e6 + 0.5)``), the units are summed exactly as
-    DECIMAL(38, 0) and scaled back. The result therefore does not depend on
-    partitioning, retries or summation order (a double ``sum`` does), and any
-    engine doing the same IEEE steps gets the same bits. A group holding NaN, +-inf
-    or a value of 9e12 or more falls back to the IEEE double sum. All-null groups give null. With
-    ``over`` (a window) it is evaluated as a window aggregate.
-    """
-    x = _c(x).cast("double")
-    finite = ~F.isnan(x) & (F.abs(x) < F.lit(SUM_EXACT_LIMIT))
-    units = F.floor(x * F.lit(SUM_UNITS_PER_ONE) + F.lit(0.5)).cast("decimal(38,0)")
-
-    def agg(c: Column) -> Column:
-        return c.over(over) if over is not None else c
-
-    exact = agg(F.sum(F.when(finite, units))).cast("double") / F.lit(SUM_UNITS_PER_ONE)
-    return F.when(agg(F.max(F.when(x.isNotNull() & ~finite, F.lit(1)))) == 1, agg(F.sum(x))).otherwise(exact)

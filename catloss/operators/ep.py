@@ -105,38 +105,22 @@ def blending_targets(points: DataFrame, weights: DataFrame, params: RunParams) -
     losses present the target is the weighted sum, otherwise the base loss.
     uplift = clip(target / base) with IEEE division and null-keeping clip.
     """
-    base_model = F.col("base_model")
-    rl, vk = F.col("risklink_loss"), F.col("verisk_loss")
-    both = rl.isNotNull() & vk.isNotNull()
-    base = F.when(base_model == "risklink", rl).otherwise(vk)
-    out = (
-        points.join(bounded_broadcast(weights), ["region_peril_id", "blend_subregion_peril_id"], "left")
-        .withColumn("base_model_loss", base)
-        .where(F.col("base_model_loss").isNotNull())
-        .withColumn(
-            "risklink_blended_contribution",
-            F.when(both, rl * F.col("risklink_weight"))
-            .when(base_model == "risklink", F.col("base_model_loss"))
-            .otherwise(F.lit(0.0)),
-        )
-        .withColumn(
-            "verisk_blended_contribution",
-            F.when(both, vk * F.col("verisk_weight"))
-            .when(base_model == "verisk", F.col("base_model_loss"))
-            .otherwise(F.lit(0.0)),
-        )
-        .withColumn(
-            "target_loss",
-            F.when(both, F.col("risklink_blended_contribution") + F.col("verisk_blended_contribution"))
-            .otherwise(F.col("base_model_loss")),
-        )
-        .withColumn(
-            "uplift_factor_on_base_model",
-            clip_keep_null(
-                ieee_div("target_loss", "base_model_loss"), params.uplift_min, params.uplift_max
-            ),
-        )
-    )
+    losses = {v: F.col(f"{v}_loss") for v in ("risklink", "verisk")}
+    own = F.when(F.col("base_model") == "risklink", losses["risklink"]).otherwise(losses["verisk"])
+    both = losses["risklink"].isNotNull() & losses["verisk"].isNotNull()
+    # a vendor's part of the target: its weighted loss, or all of the base loss where only the base model has one
+    part = {
+        v: F.when(both, x * F.col(f"{v}_weight")).otherwise(F.when(F.col("base_model") == v, own).otherwise(0.0))
+        for v, x in losses.items()
+    }
+    target = F.when(both, part["risklink"] + part["verisk"]).otherwise(own)
+    weighted = points.join(bounded_broadcast(weights), ["region_peril_id", "blend_subregion_peril_id"], "left")
+    out = weighted.where(own.isNotNull()).withColumns({
+        "base_model_loss": own,
+        "target_loss": target,
+        **{f"{v}_blended_contribution": x for v, x in part.items()},
+        "uplift_factor_on_base_model": clip_keep_null(ieee_div(target, own), params.uplift_min, params.uplift_max),
+    })
     return SC.conform(out, SC.EP_TARGETS)
 
 

@@ -34,10 +34,10 @@ def no_catalogue_match() -> F.Column:
 def catalogue_lookup(verisk_events: DataFrame, euws_factors: DataFrame) -> DataFrame:
     """(event_id, year_id, model_code) -> array of (model_event_id, event_day, [euws factors])."""
     factors = euws_factors.groupBy("model_event_id").agg(
-        F.collect_list(F.col("factor").cast("double")).alias("factors")
+        F.collect_list(F.struct(F.col("factor").cast("double").alias("v"))).alias("factors")
     )
     cat = verisk_events.join(factors, "model_event_id", "left").select(
-        *CAT_KEYS, F.struct("model_event_id", "event_day", "factors").cast(CAT_ELEMENT).alias("_c")
+        *CAT_KEYS, F.struct("model_event_id", "event_day", F.col("factors.v").alias("factors")).cast(CAT_ELEMENT).alias("_c")
     )
     return cat.groupBy(*CAT_KEYS).agg(F.collect_list("_c").alias("_cat"))
 
@@ -77,14 +77,14 @@ def fx_lookup(fx: DataFrame) -> DataFrame:
 
 def dates_lookup(dates: DataFrame) -> DataFrame:
     """All distinct forecast dates as one single-row array (cross join partner)."""
-    return bounded_broadcast(dates.agg(F.collect_list("forecast_date").alias("_dates")))
+    return bounded_broadcast(dates.agg(F.collect_list(F.struct("forecast_date")).alias("_d")).select(F.col("_d.forecast_date").alias("_dates")))
 
 
 def factors_lookup(factors: DataFrame, date_col: str = "_d") -> DataFrame:
     """J11 lookup: (class, office, forecast_date) -> array of raw factors."""
     g = factors.groupBy("class", "office", F.col("forecast_date").alias(date_col)).agg(
-        F.collect_list("_forecast_factor_raw").alias("_ff")
-    )
+        F.collect_list(F.struct("_forecast_factor_raw")).alias("_ff")
+    ).withColumn("_ff", F.col("_ff._forecast_factor_raw"))
     return bounded_broadcast(g)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catloss import schemas as SC
-from catloss.functions.exprs import exact_sum, ieee_div
+from catloss.functions.exprs import ieee_div, sum0
 from catloss.operators.dialsup import FINAL_DIALSUP_METRIC
 from catloss.operators.main_stream import FINAL_MAIN_METRIC
 from catloss.params import RunParams
@@ -44,14 +44,14 @@ def annual(losses: DataFrame) -> DataFrame:
     the largest event. This is the only aggregation over the (large) loss rows; map-side
     partial aggregation shrinks it before the shuffle."""
     return losses.groupBy(*REPORT_KEYS, "year_id").agg(
-        exact_sum("loss").alias("aep"), F.max("loss").alias("oep"), F.max("n_simulations").alias("n_simulations")
+        sum0("loss").alias("aep"), F.max("loss").alias("oep"), F.max("n_simulations").alias("n_simulations")
     )
 
 
 def aal(annual_df: DataFrame) -> DataFrame:
     """Total loss / simulations per key; return period, rank and rp are 0."""
     out = annual_df.groupBy(*REPORT_KEYS).agg(
-        exact_sum("aep").alias("_total"), F.max("n_simulations").alias("_n")
+        sum0("aep").alias("_total"), F.max("n_simulations").alias("_n")
     ).select(
         *REPORT_KEYS,
         F.lit("AAL").alias("ep_type"),
@@ -108,7 +108,7 @@ def ep_report(main_long_df: DataFrame, dialsup_long_df: DataFrame, params: RunPa
     x = (
         stacked.withColumn("rank", F.row_number().over(part.orderBy(F.col("loss").desc())).cast("long"))
         .withColumn("_years", F.count(F.lit(1)).over(part))
-        .withColumn("_total", exact_sum("loss", over=part))
+        .withColumn("_total", F.coalesce(F.sum("loss").over(part), F.lit(0.0)))
         .withColumn("_targets", _targets_of(F.col("base_model"), params))
     )
     n = F.col("n_simulations")

@@ -156,14 +156,14 @@ FROM (SELECT forecast_date, base_model, rollup_lob, rollup_peril, year_id, metri
         ("report_aal", """
 SELECT forecast_date, metric, 'AAL' AS ep_type, CAST(0 AS BIGINT) AS return_period, base_model, rollup_lob,
        rollup_peril, CAST(0 AS BIGINT) AS rank, 0.0 AS rp,
-       CAST(SUM(CAST(floor(loss * 1e6 + 0.5) AS DECIMAL(38,0))) AS DOUBLE) / 1e6 / FIRST(n_simulations) AS loss
+       COALESCE(SUM(loss), 0.0) / FIRST(n_simulations) AS loss
 FROM report_losses GROUP BY forecast_date, metric, base_model, rollup_lob, rollup_peril"""),
         ("report_target_ranks(base_model, return_period, rank)", f"VALUES {target_rows}"),
         ("report_keys", """
 SELECT DISTINCT forecast_date, metric, base_model, rollup_lob, rollup_peril, n_simulations FROM report_losses"""),
         ("annual_aep", """
 SELECT forecast_date, metric, base_model, rollup_lob, rollup_peril, year_id,
-       CAST(SUM(CAST(floor(loss * 1e6 + 0.5) AS DECIMAL(38,0))) AS DOUBLE) / 1e6 AS loss
+       COALESCE(SUM(loss), 0.0) AS loss
 FROM report_losses GROUP BY forecast_date, metric, base_model, rollup_lob, rollup_peril, year_id"""),
         ("annual_oep", """
 SELECT forecast_date, metric, base_model, rollup_lob, rollup_peril, year_id, MAX(loss) AS loss

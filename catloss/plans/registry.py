@@ -28,21 +28,34 @@ def frames(spark: SparkSession, sf_dir: str, **bridge_kw) -> RollupFrames:
     return RollupFrames(B.bridge_inputs(spark, sf_dir, **bridge_kw), RunParams())
 
 
-def _round6(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Averages rounded to 6 decimals as floor(x * 1e6 + 0.5) / 1e6 - the same IEEE
-    operations in Spark and DuckDB (engine ``round`` functions differ at .5 ties)."""
+# Registered results with averages or sums are rounded on both sides of the comparison, as
+# the two engines add in different orders: averages to 6 decimals, sums to 2. floor(x * k +
+# 0.5) / k is the same IEEE operations in both (their ``round`` functions differ at ties).
+AVERAGE, SUM = 1e6, 1e2
+
+
+def _rounded(df: DataFrame, cols: dict[str, float]) -> DataFrame:
     return df.select(*[
-        (F.floor(F.col(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).alias(c) if c in cols else F.col(c)
+        (F.floor(F.col(c) * F.lit(cols[c]) + F.lit(0.5)) / F.lit(cols[c])).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])
 
 
-def _sql_round6(x: str) -> str:
-    return f"floor({x} * 1e6 + 0.5) / 1e6"
+def _sums(df: DataFrame, *also: str) -> DataFrame:
+    """Round the columns of summed losses."""
+    return _rounded(df, {c: SUM for c in df.columns if c.endswith("loss") or c in also})
+
+
+def _sql_rounded(x: str, k: float = AVERAGE) -> str:
+    return f"floor({x} * {k!r} + 0.5) / {k!r}"
 
 
 def _xsum(x: str) -> str:
-    return f"CAST(SUM(CAST(floor(({x}) * 1e6 + 0.5) AS DECIMAL(38,0))) AS DOUBLE) / 1e6"
+    return _sql_rounded(f"SUM({x})", SUM)
+
+
+def _sql_sums(source: str, *cols: str) -> str:
+    return f"SELECT * REPLACE ({', '.join(f'{_sql_rounded(c, SUM)} AS {c}' for c in cols)}) FROM {source}"
 
 
 def _bridge_dates() -> list[str]:
@@ -106,11 +119,11 @@ def q_duplicate_grain(spark, sf_dir):
 
 
 def q_aal_report(spark, sf_dir):
-    return RP.aal(frames(spark, sf_dir).report_annual)
+    return _sums(RP.aal(frames(spark, sf_dir).report_annual))
 
 
 def q_annual_aep(spark, sf_dir):
-    return frames(spark, sf_dir).report_annual.select(*RP.REPORT_KEYS, "year_id", F.col("aep").alias("loss"))
+    return frames(spark, sf_dir).report_annual.select(*RP.REPORT_KEYS, "year_id", F.col("aep").alias("loss")).transform(_sums)
 
 
 def q_annual_oep(spark, sf_dir):
@@ -118,7 +131,7 @@ def q_annual_oep(spark, sf_dir):
 
 
 def q_ep_report(spark, sf_dir):
-    return frames(spark, sf_dir).ep_report()
+    return _sums(frames(spark, sf_dir).ep_report())
 
 
 def q_ep_wide_to_long(spark, sf_dir):
@@ -131,7 +144,7 @@ def q_dimension_coverage(spark, sf_dir):
 
 def q_input_aal_summary(spark, sf_dir):
     fr = frames(spark, sf_dir, lob_mod=5, include_unmapped=False)
-    return QL.input_aal_summary(fr.inputs, fr.params)
+    return _sums(QL.input_aal_summary(fr.inputs, fr.params), "loss_sum", "raw_aal")
 
 
 def q_quality_rules(spark, sf_dir):
@@ -151,12 +164,12 @@ def q_inventory_counts(spark, sf_dir):
 
 def q_report_totals(spark, sf_dir):
     _with_views(spark, sf_dir)
-    return TPL.report_totals(spark)
+    return _sums(TPL.report_totals(spark))
 
 
 def q_top_losses(spark, sf_dir):
     _with_views(spark, sf_dir)
-    return TPL.top_losses(spark)
+    return _sums(TPL.top_losses(spark))
 
 
 def q_wide_events(spark, sf_dir):
@@ -168,18 +181,18 @@ def q_wide_events(spark, sf_dir):
 def q_wide_check(spark, sf_dir):
     _with_views(spark, sf_dir, wide=True)
     month = TPL.wide_loss_columns(spark)[0].split("_")[-2]
-    return _round6(TPL.wide_portfolio_check(spark, month), ["avg_blend_factor"])
+    return _rounded(_sums(TPL.wide_portfolio_check(spark, month)), {"avg_blend_factor": AVERAGE})
 
 
 def q_portfolio_waterfall(spark, sf_dir):
     fr = _with_views(spark, sf_dir)
     dates = WD.forecast_months(fr.wide_source)
-    return _round6(TPL.portfolio_waterfall(spark, dates), ["avg_blend_factor"])
+    return _rounded(_sums(TPL.portfolio_waterfall(spark, dates)), {"avg_blend_factor": AVERAGE})
 
 
 def q_stage_counts(spark, sf_dir):
     _with_views(spark, sf_dir)
-    return TPL.stage_counts(spark)
+    return _sums(TPL.stage_counts(spark))
 
 
 def q_event_waterfall(spark, sf_dir):
@@ -273,8 +286,8 @@ def _input_aal_oracle() -> str:
 
     def grp(src: str, n: int) -> str:
         return (
-            f"SELECT {keys}, CAST(COUNT(*) AS BIGINT) AS row_count, {_xsum('loss')} AS loss_sum, "
-            f"CAST({n} AS BIGINT) AS simulation_count, {_xsum('loss')} / {float(n)!r} AS raw_aal "
+            f"SELECT {keys}, CAST(COUNT(*) AS BIGINT) AS row_count, {_sql_rounded("COALESCE(SUM(loss), 0.0)", SUM)} AS loss_sum, "
+            f"CAST({n} AS BIGINT) AS simulation_count, {_sql_rounded(f"COALESCE(SUM(loss), 0.0) / {float(n)!r}", SUM)} AS raw_aal "
             f"FROM ({src}) GROUP BY {keys}"
         )
 
@@ -338,7 +351,7 @@ def _portfolio_waterfall_oracle() -> str:
 
     cols = [
         f"{stage('original')} AS original_loss",
-        _sql_round6("AVG(uplift_factor_on_base_model) FILTER (WHERE metric = 'blended')") + " AS avg_blend_factor",
+        _sql_rounded("AVG(uplift_factor_on_base_model) FILTER (WHERE metric = 'blended')") + " AS avg_blend_factor",
         f"{stage('blended')} AS blended_loss",
         f"{stage('localccy')} AS localccy_loss",
     ]
@@ -387,10 +400,10 @@ ORACLE_SELECT: dict[str, str] = {
         f"SELECT {', '.join(SC.WIDE_IDENTITY)}, metric, forecast_date, COUNT(*) AS n FROM ({_wide_source_oracle()}) "
         f"GROUP BY {', '.join(SC.WIDE_IDENTITY)}, metric, forecast_date HAVING COUNT(*) > 1) GROUP BY metric"
     ),
-    "aal_report": "SELECT * FROM report_aal",
-    "annual_aep": "SELECT * FROM annual_aep",
+    "aal_report": _sql_sums("report_aal", "loss"),
+    "annual_aep": _sql_sums("annual_aep", "loss"),
     "annual_oep": "SELECT * FROM annual_oep",
-    "ep_report": "SELECT * FROM ep_report",
+    "ep_report": _sql_sums("ep_report", "loss"),
     "ep_wide_to_long": _ep_wide_long_oracle(),
     "dimension_coverage": _coverage_oracle(),
     "quality_rules": _quality_oracle(),
@@ -405,7 +418,8 @@ ORACLE_SELECT: dict[str, str] = {
         "FROM ep_report GROUP BY 1, 2, 3"
     ),
     "q_top_losses": (
-        "SELECT * FROM (SELECT forecast_date, metric, base_model, rollup_lob, "
+        f"SELECT * REPLACE ({_sql_rounded('loss', SUM)} AS loss) FROM (SELECT"
+        " forecast_date, metric, base_model, rollup_lob, "
         "rollup_peril, ep_type, return_period, rank, rp, loss FROM ep_report ORDER BY loss DESC NULLS LAST, "
         "forecast_date NULLS FIRST, metric NULLS FIRST, base_model NULLS FIRST, rollup_lob NULLS FIRST, "
         "rollup_peril NULLS FIRST, ep_type NULLS FIRST, return_period NULLS FIRST LIMIT 100)"
@@ -423,7 +437,7 @@ ORACLE_SELECT: dict[str, str] = {
     ),
     "q_wide_check": (
         f"SELECT base_model, rollup_lob, rollup_peril, COUNT(*) AS rows, "
-        f"{_sql_round6('AVG(uplift_factor_on_base_model)')} AS avg_blend_factor, "
+        f"{_sql_rounded('AVG(uplift_factor_on_base_model)')} AS avg_blend_factor, "
         f"{_xsum(f'euws_override_{_first_month()}_loss')} AS final_main_loss, "
         f"{_xsum(f'dialsup_localccy_forecast_{_first_month()}_loss')} AS final_dialsup_loss "
         f"FROM wide_output GROUP BY 1, 2, 3"

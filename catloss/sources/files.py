@@ -129,13 +129,23 @@ def load_ep_summaries(spark: SparkSession, data_root: str) -> DataFrame:
     for vendor, paths in by_vendor.items():
         if not paths:
             raise FileNotFoundError(f"no {vendor} EP summary files (*.long.csv) under {root}/{vendor}")
+        # Spark maps the columns of one CSV read by position, so files are read together only
+        # if their headers are equal
+        by_header: dict[tuple[str, ...], list[str]] = {}
         for path in paths:
-            header = _csv_strings(spark, path).columns
+            header = tuple(_csv_strings(spark, path).columns)
             missing = [c for c in EP_CANONICAL_COLUMNS if c not in header]
             if missing:
                 raise ValueError(f"{path} is missing EP summary columns {missing}")
-        df = _csv_strings(spark, paths).withColumn("vendor", F.lit(vendor))
-        frames.append(_cast_by_name(df, SC.EP_LONG, f"{root}/{vendor}"))
+            by_header.setdefault(header, []).append(path)
+        digits = F.col("analysis_id").rlike(r"^[0-9]+$")
+        for same in by_header.values():
+            df = _csv_strings(spark, same).withColumns({
+                "vendor": F.lit(vendor),
+                # ids of digits only are numbers in the YLT, so they lose leading zeros (X11)
+                "analysis_id": F.when(digits, F.regexp_replace("analysis_id", r"^0+(?=[0-9])", "")).otherwise(F.col("analysis_id")),
+            })
+            frames.append(_cast_by_name(df, SC.EP_LONG, f"{root}/{vendor}"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -153,7 +163,7 @@ def load_inputs(spark: SparkSession, data_root: str) -> RunInputs:
 
 def scan_ep_summary_csvs(spark: SparkSession, data_root: str, vendor: str) -> list[str]:
     """Wide EP CSVs of a vendor (not ``*.long.csv``), sorted by lower-cased name."""
-    EC.check_vendor(vendor)
+    EC.long_file(vendor)
     root = posixpath.join(data_root, "ep_summaries", vendor)
     paths = [p for p in _list(spark, root, recursive=False) if p.endswith(".csv") and not p.endswith(".long.csv")]
     return sorted(paths, key=lambda p: posixpath.basename(p).lower())
@@ -171,8 +181,10 @@ def generate_ep_summaries(spark: SparkSession, data_root: str, vendors=VENDORS)
     out = {}
     for vendor in vendors:
         candidates = scan_ep_summary_csvs(spark, data_root, vendor)
-        if len(candidates) != 1:
-            raise ValueError(f"expected exactly one wide EP summary CSV for {vendor}, found {len(candidates)}")
-        target = posixpath.join(data_root, "ep_summaries", vendor, EC.EP_SUMMARY_OUTPUT_FILENAMES[vendor])
+        if not candidates:
+            raise FileNotFoundError(f"{vendor} has no wide EP summary CSV")
+        if len(candidates) > 1:
+            raise ValueError(f"{vendor} has several wide EP summary CSVs: {', '.join(map(posixpath.basename, candidates))}")
+        target = posixpath.join(data_root, "ep_summaries", vendor, EC.long_file(vendor))
         out[vendor] = write_csv(build_ep_summary_from_wide_csv(spark, candidates[0], vendor), target)
     return out

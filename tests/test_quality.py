@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catloss import schemas as SC
-from catloss.inputs import RunInputs, validate_required_seed_inventory
+from catloss.inputs import RunInputs, check_seeds
 from catloss.operators import ep_convert as EC
 from catloss.operators import quality as QL
 from catloss.params import RunParams
@@ -35,7 +35,7 @@ def test_noncanonical_metric_columns_are_rejected(spark, cols):
 
 def test_unknown_vendor_rejected(spark):
     df = spark.createDataFrame([("1", "L", "P", "1")], "id string, modelled_lob string, modelled_peril string, AAL_0 string")
-    with pytest.raises(ValueError, match="unknown EP summary vendor"):
+    with pytest.raises(ValueError, match="writes no EP summaries"):
         EC.ep_wide_to_long(df, "katrisk")
 
 
@@ -71,7 +71,7 @@ def test_u15_coverage_reports_only_missing_values(spark):
 
 def test_required_seed_inventory_lists_all_missing(spark):
     with pytest.raises(ValueError, match="lobs, perils"):
-        validate_required_seed_inventory({"fx_rates": None})
+        check_seeds({"fx_rates": None})
 
 
 def test_input_aal_is_additive_and_ordered(spark):

@@ -38,7 +38,7 @@ def test_sources_follow_discovery_rules(spark):
     ep = S.load_ep_summaries(spark, root)
     got = sorted((r.vendor, r.analysis_id, r.return_period, r.loss) for r in ep.collect())
     # vendor comes from the folder; extra columns are dropped
-    assert got == [("risklink", "007", 200, 2.5), ("verisk", "7", 0, 1.5)]
+    assert got == [("risklink", "7", 200, 2.5), ("verisk", "7", 0, 1.5)]
     assert ep.columns == S.EP_CANONICAL_COLUMNS
     ylts = S.load_ylts(spark, root)
     assert ylts["verisk"].count() == 2
@@ -81,3 +81,12 @@ def test_wide_csv_conversion_and_batch_writer(spark):
     # the generated long CSV folder is discovered like a file
     ep = S.load_ep_summaries(spark, root)
     assert ep.where("vendor = 'verisk' AND analysis_id = '1'").count() == 2
+
+
+def test_ep_files_with_other_column_orders_load_by_name(spark):
+    root = _tree(spark)
+    _write(f"{root}/ep_summaries/verisk/b.long.csv",
+           "return_period,analysis_id,note,modelled_peril,modelled_lob,ep_type,loss,vendor\n200,0012,n,VP9,LOB9,OEP,3.5,verisk\n")
+    got = {tuple(r) for r in S.load_ep_summaries(spark, root).where("vendor = 'verisk'")
+           .select("analysis_id", "modelled_lob", "modelled_peril", "ep_type", "return_period", "loss").collect()}
+    assert got == {("7", "LOB0", "VP0", "AAL", 0, 1.5), ("12", "LOB9", "VP9", "OEP", 200, 3.5)}
