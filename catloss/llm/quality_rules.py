@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catloss.llm.common import WS, materialize, maybe_broadcast, null_safe
@@ -64,11 +64,14 @@ def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
     )
 
 
-@F.pandas_udf(MEASURES)
-def _measures(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame(
-        [measure(x) for x in texts], columns=[c.split()[0] for c in MEASURES.split(", ")], dtype="int64"
-    )
+def measures(column: str = "text") -> Column:
+    """The counts of a text column, as a struct."""
+
+    @F.pandas_udf(MEASURES)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measure(x) for x in texts], columns=[c.split()[0] for c in MEASURES.split(", ")], dtype="int64")
+
+    return run(F.col(column).cast("string"))
 
 
 def rule_value(rule: str):
@@ -133,7 +136,7 @@ def judge(measured: DataFrame, limit: DataFrame) -> DataFrame:
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, lang, source, measures (_m), base_failed, kept."""
-    measured = materialize(docs.select("doc_id", "lang", "source", _measures("text").alias("_m")), "measures")
+    measured = materialize(docs.select("doc_id", "lang", "source", measures().alias("_m")), "measures")
     return judge(measured, thresholds(measured))
 
 
@@ -143,7 +146,7 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     The texts are measured a second time where they lie rather than shuffled to a
     join with the first pass's result.
     """
-    limit = materialize(thresholds(docs.select("lang", "source", _measures("text").alias("_m"))), "limits")
+    limit = materialize(thresholds(docs.select("lang", "source", measures().alias("_m"))), "limits")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    measured = docs.select(row.alias("_row"), "lang", "source", _measures("text").alias("_m"))
+    measured = docs.select(row.alias("_row"), "lang", "source", measures().alias("_m"))
     return judge(measured, limit).where("kept").select("_row.*")
