@@ -115,6 +115,11 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """The rows as one struct _row beside their hashes, so that no column name can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *row_hash(df))
+
+
 def row_hash(df: DataFrame) -> list[Column]:
     """Two independent 64-bit hashes of the whole row, as columns _h1 and _h2."""
     cols = [F.col(f"`{c}`") for c in df.columns]

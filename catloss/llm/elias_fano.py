@@ -127,7 +127,7 @@ class Trie:
         base = np.concatenate([[0], np.cumsum(last)[:-1]]) if len(words) else np.zeros(0, "int64")
         level = number + np.repeat(base, end - begin)
         book = np.quantile(values, np.linspace(0, 1, 256)) if len(values) else np.zeros(256)
-        code = np.clip(np.searchsorted((book[1:] + book[:-1]) / 2, values), 0, 255).astype("u1")
+        code = np.clip(np.searchsorted(book, values, "right") - 1, 0, 255).astype("u1")  # never above the value
         parts = [Sequence.pack(x) for x in (names, nodes, np.append(begin, len(words)), level)]
         return b"".join(parts) + book.astype("<f4").tobytes() + code.tobytes()
 

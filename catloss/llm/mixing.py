@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloss.llm.common import WORD, materialize, maybe_broadcast, null_safe, row_hash, running_total, text_or_empty
+from catloss.llm.common import WORD, materialize, maybe_broadcast, null_safe, packed, row_hash, running_total, text_or_empty
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -77,7 +77,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     taken = queue(docs.select(*hashes, "source", "text"), ["_h1", "_h2"])
     times = taken.where("taken > 0").groupBy("_h1", "_h2").agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("times"), F.count("*").alias("rows"))
     times = materialize(times, "times")
-    out = docs.select("*", *hashes).join(times, ["_h1", "_h2"])
+    out = packed(docs).join(times, ["_h1", "_h2"])
     if times.where("rows > 1").limit(1).count():  # equal rows: their copies are counted together
         out = out.dropDuplicates(["_h1", "_h2"])
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), "times"))).drop("_h1", "_h2", "times", "rows", "_copy")
+    return out.select("_row", F.explode(F.sequence(F.lit(1), "times"))).select("_row.*")

@@ -39,7 +39,7 @@ from catloss.llm.elias_fano import Trie
 
 SEEN = 2
 SHARD_CHARS = 32_000_000
-END, BEGIN = (xxhash.xxh64_intdigest(x) for x in (b" ", b"  "))  # no word has a space
+END = xxhash.xxh64_intdigest(b" ")  # no word has a space; a text's first word comes after an end
 SHIFT = np.uint64(24)  # 40 bits of a hash remain
 
 
@@ -50,7 +50,7 @@ class Batch:
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
         coded = split.flatten().dictionary_encode()
         known = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        self.hashes = np.array([*map(xxhash.xxh64_intdigest, known), END, BEGIN], "uint64")
+        self.hashes = np.array([*map(xxhash.xxh64_intdigest, known), END], "uint64")
         ids = coded.indices.to_numpy(zero_copy_only=False).astype("int64")
         ends = split.offsets.to_numpy() - split.offsets[0].as_py()
         doc = np.repeat(np.arange(len(texts)), np.diff(ends))
@@ -64,7 +64,7 @@ class Batch:
         closing[stop - 1] = True
         self.word[~closing] = ids
         self.first = np.concatenate([[0], self.word[:-1]]) if len(self.word) else self.word
-        self.first[stop - n] = len(known) + 1
+        self.first[stop - n] = len(known)
         self.doc = np.repeat(np.arange(len(texts)), n)
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloss.llm.common import components, materialize, maybe_broadcast, row_hash, text_or_empty
+from catloss.llm.common import components, materialize, maybe_broadcast, packed, row_hash, text_or_empty
 
 SHINGLE = 3
 BITS = 2
@@ -120,6 +120,6 @@ def keep_first(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     marked = groups(materialize(fingerprints(hashed, ["doc_id", "_h1", "_h2"], width), "fingerprints"))
     best = marked.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_h1"), F.col("_h2"))).alias("w"), F.count("*").alias("n"))
     best = materialize(best.select("w._h1", "w._h2", "n"), "kept")
-    kept = docs.select("*", *row_hash(docs)).join(best.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+    kept = packed(docs).join(best.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
     equal = marked.groupBy("_h1", "_h2").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return (kept.dropDuplicates(["_h1", "_h2"]) if equal else kept).drop("_h1", "_h2")
+    return (kept.dropDuplicates(["_h1", "_h2"]) if equal else kept).select("_row.*")
