@@ -41,6 +41,7 @@ SEEN = 2
 SHARD_CHARS = 32_000_000
 END = xxhash.xxh64_intdigest(b" ")  # no word has a space; a text's first word comes after an end
 SHIFT = np.uint64(24)  # 40 bits of a hash remain
+AT_ONCE = 12_000_000  # bytes of text that a task holds as tokens, unless one text is longer
 
 
 class Batch:
@@ -68,6 +69,17 @@ class Batch:
         self.doc = np.repeat(np.arange(len(texts)), n)
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of AT_ONCE bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + AT_ONCE, "right")))
+        to = min(to, at + (1 << 16))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _deal(word: np.ndarray, first: np.ndarray, shards: int, heavy: np.ndarray) -> np.ndarray:
     shard = (word >> np.uint64(40)) % np.uint64(shards)
     if len(heavy):
@@ -124,7 +136,7 @@ def word_counts(texts: DataFrame, shards: int) -> DataFrame:
     """One row per shard with words: (shard, n, v, n1, n2, counts: hashes and counts)."""
 
     def count(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in parts(batch)):
             t = Batch(b.column("text"))
             n = np.bincount(t.word, minlength=len(t.hashes))
             h, n = t.hashes[n > 0], n[n > 0]
@@ -158,7 +170,7 @@ def bigram_counts(texts: DataFrame, shards: int, heavy: np.ndarray) -> DataFrame
     """One row per shard with bigrams seen SEEN times or more: (shard, pairs: words, first words, counts)."""
 
     def count(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in parts(batch)):
             t = Batch(b.column("text"))
             size = len(t.hashes)
             pair, n = np.unique(t.word * size + t.first, return_counts=True)
@@ -291,11 +303,10 @@ def questions(docs: DataFrame, shards: int, heavy: np.ndarray) -> DataFrame:
     """Rows (shard, block, data): what a batch of texts (key, text) asks of a shard."""
 
     def ask(batches):
-        for b in batches:
-            keys = b.column("key").to_numpy(zero_copy_only=False).astype("int64")
-            for s in range(0, len(keys), 1 << 16):
-                k = keys[s : s + (1 << 16)]
-                t = Batch(b.column("text").slice(s, 1 << 16))
+        for batch in batches:
+            for b in parts(batch):
+                k = b.column("key").to_numpy(zero_copy_only=False).astype("int64")
+                t = Batch(b.column("text"))
                 size, many = len(t.hashes), len(k)
                 item, times = np.unique((t.word * size + t.first) * many + t.doc, return_counts=True)
                 pair, doc = item // many, item % many
