@@ -38,10 +38,10 @@ from catloss.llm.common import materialize, maybe_broadcast, text_or_empty
 from catloss.llm.elias_fano import Trie
 
 SEEN = 2
-SHARD_CHARS = 32_000_000
+SHARD_CHARS = 24_000_000
 END = xxhash.xxh64_intdigest(b" ")  # no word has a space; a text's first word comes after an end
 SHIFT = np.uint64(24)  # 40 bits of a hash remain
-AT_ONCE = 12_000_000  # bytes of text that a task holds as tokens, unless one text is longer
+AT_ONCE = 5_000_000  # bytes of text that a task holds as tokens, unless one text is longer
 
 
 class Batch:
