@@ -17,7 +17,8 @@ earliest, so large groups need no pairs, and the edit distance of every link is
 on the words.
 
 The cut rate halves with each doubling of a line's length, so that a line has 5 to 9
-blocks; lengths at a border emit the keys of both rates.
+blocks as a rule; lengths at a border emit the keys of both rates, and lines of one or two
+blocks (few distinct words) those of finer cuts.
 
 Only DataFrame functions are used. Defined cases: null text has no lines and stays null;
 a null doc_id comes after all others; rows with equal doc_id and text count as one
@@ -48,8 +49,13 @@ def _words(line: Column) -> Column:
     return F.filter(F.split(line, GAP), lambda w: w != "")
 
 
-def _block_keys(hashes: Column, n: Column, rate: Column) -> Column:
-    """Keys of a line's block deletions at a cut rate of one in ``rate`` words."""
+def _block_keys(hashes: Column, n: Column, rate: Column, finer: Callable[[], Column] | None = None) -> Column:
+    """Keys of a line's block deletions at a cut rate of one in ``rate`` words.
+
+    Only if one of two lines within the bound is a single block can nothing of them be
+    left, and the other has two blocks at most: such lines give the keys of ``finer`` too.
+    """
+    none = F.array().cast("array<bigint>")
     cuts = F.filter(F.sequence(F.lit(1), n), lambda i: (F.pmod(F.get(hashes, i - 1), rate) == 0) | (i == n))
 
     def blocks(ends: Column) -> Column:
@@ -57,10 +63,11 @@ def _block_keys(hashes: Column, n: Column, rate: Column) -> Column:
             F.when(i == 0, 0).otherwise(F.get(ends, i - 1)), lambda s: F.xxhash64(F.slice(hashes, s + 1, e - s))))
 
     def keys(b: Column, whole: Column) -> Column:
-        # a block or two taken out of the exclusive or of all; beyond the last block there is nothing to take
-        one = F.transform(b, lambda x: whole.bitwiseXOR(x))
-        two = F.transform(b, lambda x, i: whole.bitwiseXOR(x).bitwiseXOR(F.coalesce(F.get(b, i + 1), F.lit(0).cast("bigint"))))
-        return F.concat(F.array(whole), one, F.when(rate > 1, two).otherwise(F.array().cast("array<bigint>")))
+        # a block or two neighbours taken out of the exclusive or of all
+        one = F.when(F.size(b) > 1, F.transform(b, lambda x: whole.bitwiseXOR(x))).otherwise(none)
+        two = F.when((rate > 1) & (F.size(b) > 2), F.transform(F.slice(b, 1, F.size(b) - 1), lambda x, i: whole.bitwiseXOR(x).bitwiseXOR(F.get(b, i + 1)))).otherwise(none)
+        more = F.when(F.size(b) <= 2, finer()).otherwise(none) if finer else none
+        return F.concat(F.array(whole), one, two, more)
 
     def salted(b: Column) -> Column:
         return F.aggregate(b, F.xxhash64(rate), lambda x, y: x.bitwiseXOR(y))
@@ -77,7 +84,10 @@ def _line_keys(hashes: Column) -> Column:
         lower = F.when(step <= 0, 1).otherwise(F.pow(F.lit(2), step + 1)).cast("bigint")
         border = n <= 16 * F.pow(F.lit(2), step) + 1
         rates = F.when((step >= 0) & border, F.array(rate, lower)).otherwise(F.array(rate))
-        return F.when(n >= MIN_WORDS, F.flatten(F.transform(rates, lambda r: _block_keys(hashes, n, r)))).otherwise(none)
+        finest = lambda: _block_keys(hashes, n, F.lit(1).cast("bigint"))
+        middle = lambda r: bind(F.greatest(F.floor(r / 4), F.lit(1)).cast("bigint"), lambda x: _block_keys(hashes, n, x, finest))
+        levels = F.transform(rates, lambda r: _block_keys(hashes, n, r, lambda: middle(r)))
+        return F.when(n >= MIN_WORDS, F.flatten(levels)).otherwise(none)
 
     step = lambda n: F.greatest(F.floor(F.log2(n / 16.0)), F.lit(-1)).cast("int")  # noqa: E731  -1: 8 to 15 words
     return bind(hashes, lambda h: bind(F.size(h), lambda n: bind(step(n), lambda s: keys(h, n, s))))
