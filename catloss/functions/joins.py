@@ -7,28 +7,25 @@ from pyspark.sql import functions as F
 
 # Lookups up to this many rows are shipped to every task; larger ones shuffle.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# Lookups that Catalyst expects to be at most this large need no counting.
+DEFAULT_BROADCAST_BYTES = 10 << 20
 
 
-_checked: dict[tuple, bool] = {}
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (from file and literal sizes; runs no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is small enough to ship to every task.
 
-    The answer is remembered per (application, plan, bound), so a lookup used by
-    several joins is counted once.
+    The plan's byte estimate decides where it is small. It multiplies the sides of joins,
+    so beyond ``max_bytes`` the rows are counted (reads at most max_rows + 1). Nothing is
+    remembered: a source that grew is judged by its new size.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
+    return planned_bytes(df) <= max_bytes or df.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of the lookup (a small job on a
-    seed-sized side). Beyond the bound the frame is returned unhinted and the
-    optimizer / AQE plans a shuffle join.
-    """
+    """Broadcast hint only when ``df`` passes ``is_bounded``; else the optimizer / AQE plans the join."""
     return F.broadcast(df) if is_bounded(df, max_rows) else df

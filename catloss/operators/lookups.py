@@ -45,12 +45,12 @@ def catalogue_lookup(verisk_events: DataFrame, euws_factors: DataFrame) -> DataF
 def attach_catalogue(ranked: DataFrame, verisk_events: DataFrame, euws_factors: DataFrame) -> DataFrame:
     """J12 (+ J13 factors) as one array column ``_cat``; null when the event is not listed.
 
-    Broadcast when the raw catalogue is within the broadcast bound; otherwise a
-    shuffle join whose catalogue side is already partitioned by the join keys.
+    Broadcast when the raw catalogue and the factors are within the broadcast bound;
+    otherwise a shuffle join whose catalogue side is already partitioned by the join keys.
     """
     cat = catalogue_lookup(verisk_events, euws_factors)
-    # The grouped catalogue has at most as many rows as the raw one.
-    if is_bounded(verisk_events):
+    # The grouped catalogue has at most as many rows as the raw one, its arrays as many factors.
+    if is_bounded(verisk_events) and is_bounded(euws_factors):
         cat = F.broadcast(cat)
     return ranked.join(cat, CAT_KEYS, "left")
 

@@ -41,7 +41,8 @@ def with_risklink_event_days(ylt: DataFrame, risklink_events: DataFrame,
     The staged catalogue is unique per (event, occurrence year, region peril), so the
     join never multiplies rows. It is broadcast when ``catalogue_small`` (callers pass
     the size check of the *raw* catalogue, an upper bound that needs no aggregation);
-    when unknown, the staged catalogue itself is checked. Otherwise it is shuffled.
+    when unknown, the staged catalogue itself is checked. Otherwise the same join is
+    shuffled on the event keys, which spread the other base models' rows too.
     """
     cat = risklink_events.select(
         F.col("event_id").alias("_ev"), F.col("model_occurrence_year"), F.col("region_peril_id").alias("_rp"),
@@ -50,30 +51,15 @@ def with_risklink_event_days(ylt: DataFrame, risklink_events: DataFrame,
     if catalogue_small is None:
         catalogue_small = is_bounded(cat)
     is_rl = F.col("base_model") == "risklink"
-    if catalogue_small:
-        # One pass: broadcast left join that only risklink rows can match, then keep
-        # other base models and matched risklink rows (null base model drops).
-        x = ylt.join(
-            F.broadcast(cat),
-            (ylt["event_id"] == cat["_ev"]) & (ylt["year_id"] == cat["model_occurrence_year"])
-            & (ylt["region_peril_id"] == cat["_rp"]) & is_rl,
-            "left",
-        )
-        return x.where(~is_rl | F.col("_ev").isNotNull()).drop("_ev", "_rp")
-    # Large catalogue: only the risklink half is shuffled against it.
-    others = (
-        ylt.where(~is_rl)
-        .withColumn("model_occurrence_year", F.lit(None).cast("long"))
-        .withColumn("risklink_event_day", F.lit(None).cast("long"))
+    # One pass: a left join that only risklink rows can match, then keep other base
+    # models and matched risklink rows (null base model drops).
+    x = ylt.join(
+        F.broadcast(cat) if catalogue_small else cat,
+        (ylt["event_id"] == cat["_ev"]) & (ylt["year_id"] == cat["model_occurrence_year"])
+        & (ylt["region_peril_id"] == cat["_rp"]) & is_rl,
+        "left",
     )
-    rl = ylt.where(is_rl)
-    matched = rl.join(
-        cat,
-        (rl["event_id"] == cat["_ev"]) & (rl["year_id"] == cat["model_occurrence_year"])
-        & (rl["region_peril_id"] == cat["_rp"]),
-        "inner",
-    ).drop("_ev", "_rp")
-    return others.unionByName(matched, allowMissingColumns=True)
+    return x.where(~is_rl | F.col("_ev").isNotNull()).drop("_ev", "_rp")
 
 
 def fanout(ylt: DataFrame, risklink_events: DataFrame, catalogue_small: bool | None = None) -> DataFrame:

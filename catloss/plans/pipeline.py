@@ -12,7 +12,6 @@ Order of work (one Spark application):
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +32,8 @@ WIDE_YLT_FILE = "mts_tbl_ylt_combined_all_factors_wide.parquet"
 DIALSUP_YLT_FILE = "mts_tbl_ylt_dialsup.parquet"
 EVENT_VALIDATION_FILE = "mts_event_validation.parquet"
 EP_REPORT_FILE = "ep_report.csv"
+COVERAGE_FILE = "modelled_lob_peril_anti_join_report.csv"
+INPUT_AAL_FILE = "input_ylt_aal_by_lob_peril_summary.csv"
 MARTS_DIR = "marts"
 ANALYSIS_DIR = "analysis"
 DEBUG_DIR = "debug"
@@ -101,10 +102,12 @@ def run(
             (TPL.DIALSUP_TABLE, dialsup_long),
             (TPL.WIDE_TABLE, W.read_parquet(spark, wide_path)),
             ("mts_event_validation", W.read_parquet(spark, event_path)),
+            *((f.rsplit("/", 1)[-1].removesuffix(".parquet"), W.read_parquet(spark, f)) for f in mart_files),
             *inputs.seeds.items(),
         ]
         if report is not None:
-            tables.append((TPL.REPORT_TABLE, report))
+            written = spark.read.schema(report.schema).option("header", True).csv(report_path)
+            tables.append((TPL.REPORT_TABLE, written))
         W.register_tables(tables)
 
     return RunResult(
@@ -129,19 +132,18 @@ def build_ep_report(spark: SparkSession, output_root: str, params: RunParams | N
 
 
 def validation_reports(inputs: RunInputs, params: RunParams | None = None) -> dict[str, DataFrame]:
-    """Validate-only mode: coverage report and input AAL summary (empty when blocked)."""
+    """Validate-only mode, by file name: coverage report and input AAL summary (empty when blocked)."""
     params = params or RunParams()
     return {
-        "modelled_dimension_coverage": QL.dimension_coverage(inputs),
-        "input_ylt_aal_by_lob_peril": QL.input_aal_summary(inputs, params),
+        COVERAGE_FILE: QL.dimension_coverage(inputs),
+        INPUT_AAL_FILE: QL.input_aal_summary(inputs, params),
     }
 
 
 def write_validation_reports(inputs: RunInputs, output_root: str, params: RunParams | None = None) -> list[str]:
-    out = []
-    for name, df in validation_reports(inputs, params).items():
-        out.append(W.write_csv(df, _join(output_root, ANALYSIS_DIR, f"{name}.csv")))
-    return out
+    """Both reports are staged before either replaces its predecessor."""
+    reports = validation_reports(inputs, params)
+    return W.write_csvs({_join(output_root, ANALYSIS_DIR, name): df for name, df in reports.items()})
 
 
-__all__ = ["run", "RunResult", "build_ep_report", "validation_reports", "write_validation_reports", "os"]
+__all__ = ["run", "RunResult", "build_ep_report", "validation_reports", "write_validation_reports"]

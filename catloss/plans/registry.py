@@ -154,6 +154,10 @@ def q_quality_rules(spark, sf_dir):
     return QL.quality_report(frames(spark, sf_dir).inputs)
 
 
+def q_quality_rules_raw(spark, sf_dir):
+    return QL.evaluate_contract(B.ep_raw(spark, sf_dir), QL.ep_contract())
+
+
 def _with_views(spark, sf_dir, wide: bool = False) -> RollupFrames:
     fr = frames(spark, sf_dir)
     register_output_views(fr, wide=wide)
@@ -238,6 +242,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_coverage": q_dimension_coverage,
     "input_aal_summary": q_input_aal_summary,
     "quality_rules": q_quality_rules,
+    "quality_rules_raw": q_quality_rules_raw,
     "q_inventory_counts": q_inventory_counts,
     "q_report_totals": q_report_totals,
     "q_top_losses": q_top_losses,
@@ -299,23 +304,49 @@ def _input_aal_oracle() -> str:
 
 
 def _quality_oracle() -> str:
+    tables = {
+        "verisk_ylt": "raw_verisk_ylt", "risklink_ylt": "raw_risklink_ylt", "ep_summaries": "ep_long",
+        "verisk_events": "raw_verisk_events", "risklink_flood22_model_events": "raw_risklink_events",
+        "euws_rate_factors": "euws_rate_factors",
+    }
+    return _contracts_oracle([*QL.ylt_contracts(), QL.ep_contract(), *QL.catalogue_contracts()], tables)
+
+
+def _quality_raw_oracle() -> str:
+    t = "CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR)"
+    raw = (
+        "(SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'other' ELSE 'verisk' END AS vendor, "
+        "CAST(c_custkey AS VARCHAR) AS analysis_id, 'LOB' || CAST(c_custkey % 5 AS VARCHAR) AS modelled_lob, "
+        "CASE WHEN c_custkey % 13 = 0 THEN ' ' ELSE 'VP0' END AS modelled_peril, "
+        "CASE WHEN c_mktsegment = 'BUILDING' THEN 'TVAR' ELSE 'AEP' END AS ep_type, "
+        "CASE WHEN c_custkey % 5 = 0 THEN 'n/a' ELSE '200' END AS return_period, "
+        f"CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN substr({t}, 1, 1) || ',' || substr({t}, 2, 100) "
+        f"ELSE {t} END AS loss FROM customer)"
+    )
+    extra = "SELECT 'ep_summaries', 'EP_SUMMARY_SCHEMA', 'schema_matches', 'note', 1"
+    return f"{_contracts_oracle([QL.ep_contract()], {'ep_summaries': raw})} UNION ALL {extra}"
+
+
+def _contracts_oracle(contracts: list[QL.TableContract], tables: dict[str, str]) -> str:
     parts = []
-    tables = {"verisk_ylt": "raw_verisk_ylt", "risklink_ylt": "raw_risklink_ylt", "ep_summaries": "ep_long"}
-    contracts = [*QL.ylt_contracts(), QL.ep_contract()]
     for c in contracts:
         src = tables[c.table]
-        for col in c.columns:
+        for col, kind in c.columns.items():
             parts.append(f"SELECT '{c.table}' AS \"table\", '{c.code}' AS code, 'schema_matches' AS \"check\", "
                          f"'{col}' AS \"column\", CAST(0 AS BIGINT) AS violations")
+            if c.mode == "castable":
+                sql_type = "VARCHAR" if kind == "string" else kind
+                parts.append(f"SELECT '{c.table}', '{c.code}', 'schema_castable', '{col}', CAST(COUNT(*) FILTER "
+                             f"(WHERE {col} IS NOT NULL AND TRY_CAST({col} AS {sql_type}) IS NULL) AS BIGINT) FROM {src}")
         for r in c.rules:
             if r.kind == "not_null":
                 bad = f"{r.column} IS NULL OR {O.strip(r.column)} = ''"
             elif r.kind == "valid_range":
                 conds = []
                 if r.min is not None:
-                    conds.append(f"{r.column} < {r.min}")
+                    conds.append(f"TRY_CAST({r.column} AS DOUBLE) < {r.min}")
                 if r.max is not None:
-                    conds.append(f"{r.column} > {r.max}")
+                    conds.append(f"TRY_CAST({r.column} AS DOUBLE) > {r.max}")
                 bad = " OR ".join(conds) or "FALSE"
             else:
                 vals = ", ".join(f"'{v}'" for v in r.values)
@@ -410,6 +441,7 @@ ORACLE_SELECT: dict[str, str] = {
     "ep_wide_to_long": _ep_wide_long_oracle(),
     "dimension_coverage": _coverage_oracle(),
     "quality_rules": _quality_oracle(),
+    "quality_rules_raw": _quality_raw_oracle(),
     "q_inventory_counts": (
         "SELECT 'ep_report' AS table_name, COUNT(*) AS rows FROM ep_report UNION ALL "
         "SELECT 'mts_tbl_ylt_combined_all_factors', COUNT(*) FROM main_long UNION ALL "

@@ -102,16 +102,41 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def write_csv(df: DataFrame, path: str) -> str:
     """A small result as one headed CSV part inside directory ``path``, atomically."""
-    spark = df.sparkSession
-    fs = _FS(spark, path)
-    fs.mkdirs(_parent(path))
-    staged = f"{_parent(path)}/.{_name(path)}-staging-{uuid.uuid4().hex}"
+    return write_csvs({path: df})[0]
+
+
+def write_csvs(reports: Mapping[str, DataFrame]) -> list[str]:
+    """Small results as headed CSVs, replaced together.
+
+    All are staged first, so a report that fails to compute leaves every old file; a
+    move that fails puts the files already replaced back.
+    """
+    moves: list[tuple[_FS, str, str, str]] = []
+    done: list[tuple[_FS, str, str]] = []
     try:
-        df.coalesce(1).write.mode("errorifexists").option("header", True).csv(staged)
-        _swap(fs, staged, path)
+        for path, df in reports.items():
+            fs = _FS(df.sparkSession, path)
+            fs.mkdirs(_parent(path))
+            tag = f"{_parent(path)}/.{_name(path)}-{uuid.uuid4().hex}"
+            moves.append((fs, f"{tag}-staging", path, f"{tag}-old"))
+            df.coalesce(1).write.mode("errorifexists").option("header", True).csv(f"{tag}-staging")
+        for fs, staged, path, old in moves:
+            if fs.exists(path):
+                fs.rename(path, old)
+            done.append((fs, path, old))
+            fs.rename(staged, path)
+    except Exception:
+        for fs, path, old in reversed(done):
+            fs.delete(path)
+            if fs.exists(old):
+                fs.rename(old, path)
+        raise
     finally:
-        fs.delete(staged)
-    return path
+        for fs, staged, _, _ in moves:
+            fs.delete(staged)
+    for fs, _, _, old in moves:
+        fs.delete(old)
+    return list(reports)
 
 
 def fanout_file_name(base_model: F.Column, forecast_date: F.Column, metric: F.Column) -> F.Column:
@@ -124,11 +149,11 @@ def fanout_file_name(base_model: F.Column, forecast_date: F.Column, metric: F.Co
 
 def write_fanout_partitions(fanouts: Mapping[str, DataFrame], marts_dir: str) -> list[str]:
     """One 8-column parquet per (forecast date, base model, metric), named like
-    ``HiscoAIR_202601_euws_override.parquet``, published together in ``marts_dir``.
+    ``HiscoAIR_202601_euws_override.parquet``, published together as ``marts_dir``.
 
-    All fanouts are written in one partitioned pass to a staging directory; only when
-    it succeeded are the partition folders moved in and stale ``*.parquet`` outputs
-    of earlier runs removed.
+    All fanouts are written in one partitioned pass to a staging directory, which then
+    replaces ``marts_dir`` in one swap: a failure keeps all files of the earlier run, a
+    success none. Two forecast dates of one month share a name and are rejected.
     """
     if not fanouts:
         raise ValueError("fanout_partitions: fanouts must not be empty")
@@ -139,30 +164,29 @@ def write_fanout_partitions(fanouts: Mapping[str, DataFrame], marts_dir: str) ->
             raise ValueError(f"fanout_partitions: fanout '{name}' missing required columns {missing}")
         frames.append(df.select(
             fanout_file_name(F.col("base_model"), F.col("forecast_date"), F.col("metric")).alias("_file"),
-            *FANOUT_FILE_COLUMNS,
+            F.col("forecast_date").alias("_date"), *FANOUT_FILE_COLUMNS,
         ))
     union = frames[0]
     for f in frames[1:]:
         union = union.unionByName(f)
     spark = union.sparkSession
     fs = _FS(spark, marts_dir)
-    fs.mkdirs(marts_dir)
     staged = f"{_parent(marts_dir)}/.{_name(marts_dir)}-fanout-{uuid.uuid4().hex}"
     published: list[str] = []
     try:
-        # Every task writes its share of every file (no shuffle, no single-task file):
-        # each published ``*.parquet`` is a directory of parts, like every other output.
-        union.write.mode("errorifexists").partitionBy("_file").parquet(staged)
-        staged_parts = {
-            _name(c).split("=", 1)[1] + ".parquet": c for c in fs.children(staged) if "_file=" in _name(c)
-        }
-        for c in fs.children(marts_dir):
-            if _name(c).endswith(".parquet") and _name(c) not in staged_parts and _name(c).startswith("Hisco"):
-                fs.delete(c)
-        for file_name, src in sorted(staged_parts.items()):
-            target = f"{marts_dir.rstrip('/')}/{file_name}"
-            _swap(fs, src, target)
-            published.append(target)
+        # Rebalanced by file, so that parts are of even size however many tasks there are;
+        # AQE splits a large file over several tasks. Each published ``*.parquet`` is a
+        # directory of parts, like every other output.
+        union.hint("rebalance", "_file").write.mode("errorifexists").partitionBy("_file", "_date").parquet(f"{staged}/parts")
+        fs.mkdirs(f"{staged}/marts")
+        for part in sorted(c for c in fs.children(f"{staged}/parts") if _name(c).startswith("_file=")):
+            file_name = _name(part).split("=", 1)[1] + ".parquet"
+            dates = [c for c in fs.children(part) if _name(c).startswith("_date=")]
+            if len(dates) > 1:
+                raise ValueError(f"fanout_partitions: {len(dates)} forecast dates share the file {file_name}")
+            fs.rename(dates[0], f"{staged}/marts/{file_name}")
+            published.append(f"{marts_dir.rstrip('/')}/{file_name}")
+        _swap(fs, f"{staged}/marts", marts_dir.rstrip("/"))
     finally:
         fs.delete(staged)
     return published
@@ -220,6 +244,6 @@ def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 __all__ = [
-    "write_parquet", "write_csv", "write_fanout_partitions", "write_wide", "write_debug",
+    "write_parquet", "write_csv", "write_csvs", "write_fanout_partitions", "write_wide", "write_debug",
     "register_tables", "read_parquet", "SC",
 ]

@@ -222,6 +222,23 @@ def ep_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ep_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long EP summary as raw text from ``customer``, with missing, blank, uncastable, negative and
+    unknown values and a further column."""
+    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    t = F.floor(F.col("c_acctbal")).cast("long").cast("string")
+    return _table(spark, sf_dir, "customer").select(
+        F.when(segment == "MACHINERY", "other").otherwise("verisk").alias("vendor"),
+        key.cast("string").alias("analysis_id"),
+        F.concat(F.lit("LOB"), (key % 5).cast("string")).alias("modelled_lob"),
+        F.when(key % 13 == 0, " ").otherwise("VP0").alias("modelled_peril"),
+        F.when(segment == "BUILDING", "TVAR").otherwise("AEP").alias("ep_type"),
+        F.when(key % 5 == 0, "n/a").otherwise("200").alias("return_period"),
+        F.when(key % 11 == 0, F.lit(None)).when(key % 3 == 0, F.concat(F.substring(t, 1, 1), F.lit(","), F.substring(t, 2, 100))).otherwise(t).alias("loss"),
+        F.col("c_name").alias("note"),
+    )
+
+
 def literal_seeds(spark: SparkSession) -> dict[str, DataFrame]:
     return {
         "lobs": _lit_seed(spark, "lobs", LOBS),

@@ -78,6 +78,52 @@ def test_report_from_existing_outputs_and_validate_only(spark):
     assert cov.count() == 0 and aal.count() > 0
 
 
+def _fanout(spark, dates, broken=False):
+    loss = F.raise_error(F.lit("boom")).cast("double") if broken else F.lit(1.5)
+    rows = spark.createDataFrame([(d,) for d in dates], "d string")
+    return rows.select(
+        F.to_date("d").alias("forecast_date"), F.lit("verisk").alias("base_model"), F.lit("euws_override").alias("metric"),
+        *[(loss if c == "ModelGrossLoss" else F.lit(1)).alias(c) for c in W.FANOUT_FILE_COLUMNS])
+
+
+def test_fanout_publish_replaces_all_or_nothing(spark):
+    marts = os.path.join(_tmp(), "marts")
+    first = W.write_fanout_partitions({"a": _fanout(spark, ["2026-01-01", "2026-02-01"])}, marts)
+    assert [os.path.basename(p) for p in first] == ["HiscoAIR_202601_euws_override.parquet", "HiscoAIR_202602_euws_override.parquet"]
+    os.makedirs(os.path.join(marts, "other.parquet"))
+    before = sorted(os.listdir(marts))
+    with pytest.raises(Exception, match="boom"):
+        W.write_fanout_partitions({"a": _fanout(spark, ["2026-03-01"], broken=True)}, marts)
+    with pytest.raises(ValueError, match="share the file"):
+        W.write_fanout_partitions({"a": _fanout(spark, ["2026-03-01", "2026-03-15"])}, marts)
+    assert sorted(os.listdir(marts)) == before and os.listdir(os.path.dirname(marts)) == ["marts"]
+    W.write_fanout_partitions({"a": _fanout(spark, ["2026-03-01"])}, marts)
+    assert os.listdir(marts) == ["HiscoAIR_202603_euws_override.parquet"]
+    assert spark.read.parquet(os.path.join(marts, "HiscoAIR_202603_euws_override.parquet")).columns == W.FANOUT_FILE_COLUMNS
+
+
+def test_reports_are_replaced_together(spark):
+    out = _tmp()
+    a, b = os.path.join(out, "a.csv"), os.path.join(out, "b.csv")
+    W.write_csvs({a: spark.range(2), b: spark.range(3)})
+    bad = spark.range(1).select(F.raise_error(F.lit("boom")).cast("string").alias("id"))
+    with pytest.raises(Exception, match="boom"):
+        W.write_csvs({a: spark.range(5), b: bad})
+    read = lambda p: spark.read.option("header", True).csv(p).count()
+    assert (read(a), read(b)) == (2, 3) and sorted(os.listdir(out)) == ["a.csv", "b.csv"]
+    W.write_csvs({a: spark.range(5), b: spark.range(6)})
+    assert (read(a), read(b)) == (5, 6) and sorted(os.listdir(out)) == ["a.csv", "b.csv"]
+
+
+def test_grown_source_is_judged_anew(spark):
+    from catloss.functions.joins import is_bounded
+    path = os.path.join(_tmp(), "lookup")
+    spark.range(10).write.parquet(path)
+    assert is_bounded(spark.read.parquet(path), max_rows=100, max_bytes=0)
+    spark.range(1000).write.mode("append").parquet(path)
+    assert not is_bounded(spark.read.parquet(path), max_rows=100, max_bytes=0)
+
+
 def test_duplicate_inspection_names_rejected(spark):
     with pytest.raises(ValueError, match="duplicate inspection table names"):
         W.register_tables([("ep_report", spark.range(1)), ("ep_report", spark.range(2))])
