@@ -4,10 +4,14 @@ Instead of fixed cutoffs, each rule's limit is taken from the corpus itself: eve
 rule value goes into a mergeable quantile sketch (counts of logarithmic buckets, relative
 error ``SKETCH_ERROR``) of its (lang, source) group. Sketches merge by adding counts,
 so the same rows also give the sketches of a language and of the corpus, which serve
-groups of fewer than ``MIN_DOCS`` documents. A group's limit lies ``SPREADS`` times the
-distance from median to 90th percentile above the median, but never below the rule's
-floor (rules are mostly zero in clean groups). The limits are joined back and filter
-the documents.
+groups of fewer than ``MIN_DOCS`` documents. A group's limit lies ``SPREADS`` times its
+spread above the median. The spread is the distance from median to 90th percentile, but at
+most a multiple of the distances to lower percentiles (``LEVELS``): where bad documents,
+up to 40% of a group, hold the upper ones, these bound it. Rules are mostly zero in clean
+groups, so the limit lies at least as far above the median as chance moves a document of
+the group's median size (1 / sqrt of its words or lines: two standard deviations of a
+share). No group's limit exceeds its language's. The limits are joined back and filter the
+documents.
 
 Defined cases: null text has no words; a null lang or source is a group of its own;
 an empty table gives an empty result; repeated rows are judged alike; other columns
@@ -27,14 +31,17 @@ from catloss.llm.common import WS, materialize, maybe_broadcast, null_safe
 SKETCH_ERROR = 0.02
 MIN_DOCS = 200
 SPREADS = 6.0
+#: Percentile: how often its distance from the median bounds the spread (long-tailed clean values stay below).
+LEVELS = {0.9: 1.0, 0.75: 3.0, 0.6: 10.0}
 SYMBOLS = "#*$%&|<>"
-#: Rule name: (numerator, lowest limit that a group can have).
+#: Rule name: (numerator, denominator).
 RULES = {
-    "symbols_per_word": ("n_symbols", 0.3),
-    "duplicate_lines": ("n_dup_lines", 0.3),
-    "repeated_words": ("n_repeat_words", 0.2),
-    "chars_per_word": ("word_chars", 12.0),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "duplicate_lines": ("n_dup_lines", "n_lines"),
+    "repeated_words": ("n_repeat_words", "n_words"),
+    "chars_per_word": ("word_chars", "n_words"),
 }
+SIZES = ("n_words", "n_lines")
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 
@@ -75,15 +82,15 @@ def measures(column: str = "text") -> Column:
 
 
 def rule_value(rule: str):
-    top = F.col(f"_m.{RULES[rule][0]}")
-    below = F.col("_m.n_lines") if rule == "duplicate_lines" else F.col("_m.n_words")
+    top, below = (F.col(f"_m.{c}") for c in RULES[rule])
     return F.when(below > 0, top / below).otherwise(F.lit(0.0))
 
 
 def sketches(measured: DataFrame) -> DataFrame:
     """Rows (lang, source, rule, bucket, n): the sketch of every group; bucket null is the value zero."""
     gamma = (1 + SKETCH_ERROR) / (1 - SKETCH_ERROR)
-    values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), rule_value(r).alias("v")) for r in RULES])).alias("x")
+    each = {**{r: rule_value(r) for r in RULES}, **{c: F.col(f"_m.{c}").cast("double") for c in SIZES}}
+    values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("v")) for r, v in each.items()])).alias("x")
     return (
         measured.where(F.col("_m.n_words") > 0)
         .select("lang", "source", values)
@@ -98,17 +105,27 @@ def limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
     gamma = (1 + SKETCH_ERROR) / (1 - SKETCH_ERROR)
     merged = sketch.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "rule")  # bounded by the number of buckets
-    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(gamma), F.col("bucket")) * 2 / (1 + gamma))
     ranked = merged.select(
-        *keys, "rule", value.alias("v"),
+        *keys, "rule", "bucket", "n",
         F.sum("n").over(group.orderBy(F.col("bucket").asc_nulls_first())).alias("upto"), F.sum("n").over(group).alias("docs"),
     )
-    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("docs"), F.col("v")))
-    floor = F.create_map(*[F.lit(x) for r, (_, low) in RULES.items() for x in (r, low)])
-    return (
-        ranked.groupBy(*keys, "rule").agg(F.max("docs").alias("docs"), at(0.5).alias("mid"), at(0.9).alias("high"))
-        .select(*keys, "rule", "docs", F.greatest(floor[F.col("rule")], F.col("mid") + SPREADS * (F.col("high") - F.col("mid"))).alias("limit"))
-    )
+
+    def at(q: float) -> Column:
+        """The quantile, by its rank inside its bucket."""
+        part = F.greatest((q * F.col("docs") - F.col("upto") + F.col("n")) / F.col("n"), F.lit(0.0))
+        value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(gamma), F.col("bucket") - 1 + part))
+        return F.min(F.when(F.col("upto") >= q * F.col("docs"), value))
+
+    found = ranked.groupBy(*keys, "rule").agg(
+        F.max("docs").alias("docs"), at(0.5).alias("mid"), *[at(q).alias(f"q{q:g}".replace(".", "_")) for q in LEVELS],
+        F.min(F.when(F.col("upto") >= 0.5 * F.col("docs"), F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(gamma), "bucket")))).alias("edge"))
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))  # a row a rule and size
+    sizes = {c: F.greatest(F.max(F.when(F.col("rule") == c, F.col("mid"))).over(whole), F.lit(1.0)) for c in SIZES}
+    spread = F.least(*[times * (F.col(f"q{q:g}".replace(".", "_")) - F.col("mid")) for q, times in LEVELS.items()])
+    below = F.when(F.col("rule") == "duplicate_lines", sizes["n_lines"]).otherwise(sizes["n_words"])
+    chance = F.when(F.col("rule") == "chars_per_word", F.col("mid")).otherwise(F.lit(1.0)) / F.sqrt(below)
+    limit = F.greatest(F.col("mid") + F.greatest(SPREADS * spread, chance), F.col("edge"))  # the median itself always passes
+    return found.select(*keys, "rule", "docs", limit.alias("limit")).where(F.col("rule").isin(*RULES))
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
@@ -118,7 +135,7 @@ def thresholds(measured: DataFrame) -> DataFrame:
     lang = lang.select("lang", "rule", F.col("docs").alias("lang_docs"), F.col("limit").alias("lang_limit"))
     whole = whole.select("rule", F.col("limit").alias("whole_limit"))
     joined = null_safe(own, lang, ["lang", "rule"]).join(F.broadcast(whole), "rule")  # one row a rule
-    chosen = F.when(F.col("docs") >= MIN_DOCS, F.col("limit")).when(F.col("lang_docs") >= MIN_DOCS, F.col("lang_limit")).otherwise(F.col("whole_limit"))
+    chosen = F.when(F.col("docs") >= MIN_DOCS, F.least("limit", "lang_limit")).when(F.col("lang_docs") >= MIN_DOCS, F.col("lang_limit")).otherwise(F.col("whole_limit"))
     pairs = joined.groupBy("lang", "source").agg(F.collect_list(F.struct("rule", chosen.alias("limit"))).alias("x"))  # one entry a rule
     return pairs.select("lang", "source", F.map_from_entries("x").alias("limits"))
 

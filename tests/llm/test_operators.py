@@ -98,6 +98,33 @@ def test_sketch_quantiles_are_near_exact(spark):
     assert limit == pytest.approx(mid + quality_rules.SPREADS * (high - mid), rel=0.06)
 
 
+def test_limits_follow_the_clean_part_of_a_group(spark):
+    measures = "lang string, source string, _m struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,n_lines:long>"
+    rows = []
+    for bad in (0, 15, 30):
+        for i in range(600):
+            chars = int(400 * RNG.gauss(5, 0.2))
+            rows.append((f"x{bad}", "a", (400, 400 * 15, 400, 9, 100, 10) if i % 100 < bad else (400, chars, i % 50 == 49, 0, 0, 10)))
+    # far above clean values, far below the fixed cutoffs of before
+    rows += [("x0", "a", (400, 400 * 9, 0, 0, 0, 10)), ("x0", "a", (400, 2000, 60, 0, 0, 10)), ("x0", "b", (400, 2000, 60, 0, 0, 10))]
+    frame = spark.createDataFrame([(a, s, tuple(map(int, m))) for a, s, m in rows], measures)
+    judged = quality_rules.judge(frame, quality_rules.thresholds(frame)).collect()
+    assert len(judged) == len(rows)
+    for r in judged:
+        m = r["_m"]
+        assert r["kept"] == (m["word_chars"] < 400 * 7 and m["n_symbols"] < 2 and m["n_dup_lines"] == 0), r
+    limits = {r["lang"]: r["limits"] for r in quality_rules.thresholds(frame).where("source = 'a'").collect()}
+    assert limits["x0"]["chars_per_word"] < 8 and limits["x30"]["chars_per_word"] < 13 and limits["x30"]["duplicate_lines"] < 0.4
+
+
+def test_no_limit_above_the_language(spark):
+    measures = "lang string, source string, _m struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,n_lines:long>"
+    rows = [("en", "good", (100, 500 + i % 9, 0, 0, 0, 10)) for i in range(2000)] + [("en", "junk", (100, 500, 50 + i % 50, 0, 0, 10)) for i in range(300)]
+    frame = spark.createDataFrame(rows, measures)
+    kept = quality_rules.judge(frame, quality_rules.thresholds(frame)).where("kept").groupBy("source").count().collect()
+    assert [tuple(r) for r in kept] == [("good", 2000)]
+
+
 def test_line_dedup(docs):
     rows = {r["doc_id"]: r["kept"] for r in line_dedup.line_report(docs).collect()}
     # 2, 5, 11 are within a word of line 0 of 1; 7 keeps its own first line only
