@@ -54,7 +54,9 @@ class Sequence:
         top = int(values[-1]) + 1 if n else 1
         bits = max(0, (top // max(1, n)).bit_length() - 1)
         low = values & np.uint64((1 << bits) - 1)
-        packed = np.packbits(((low[:, None] >> np.arange(bits, dtype="uint64")) & np.uint64(1)).astype("u1").ravel(), bitorder="little").tobytes()
+        every = np.arange(bits, dtype="uint64")
+        slices = (low[i : i + AT_ONCE, None] >> every & np.uint64(1) for i in range(0, n, AT_ONCE))  # whole bytes each
+        packed = b"".join(np.packbits(x.astype("u1").ravel(), bitorder="little").tobytes() for x in slices)
         packed += bytes(8 + -(len(packed) + 8) % 8)  # room for reading 8 bytes at any value
         high = (values >> np.uint64(bits)).astype("int64")
         length = (int(high[-1]) if n else 0) + n + 2

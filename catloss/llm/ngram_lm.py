@@ -5,8 +5,8 @@ token. Words get P1 = (c - D) / N + D * V / N / (V + 1) (absolute discounting ag
 uniform distribution of all V words and one unknown, D from the counts of counts); a word
 after another P = (1 - L) * P1 + L * c(first, word) / c(first), with L from deleted
 interpolation. As the logarithm of P is that of P1 plus that of P / P1, the tries hold the
-second part, quantised to a byte, for the bigrams seen at least ``SEEN`` times; all others
-add log10(1 - L), which never overestimates them.
+second part, quantised downwards to a byte, for every bigram of the training texts; those
+that never occurred add log10(1 - L). But for the quantisation, P sums to 1.
 
 Nothing of the model is held in one place. Words are dealt to shards by their hash and a
 shard holds its words' counts and a trie of the bigrams that end in them; a frequent word
@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from catloss.llm.common import materialize, maybe_broadcast, text_or_empty
 from catloss.llm.elias_fano import Trie
 
-SEEN = 2
 SHARD_CHARS = 24_000_000
 END = xxhash.xxh64_intdigest(b" ")  # no word has a space; a text's first word comes after an end
 SHIFT = np.uint64(24)  # 40 bits of a hash remain
@@ -167,7 +166,7 @@ def frequent(counts: DataFrame, least: int) -> dict[int, int]:
 
 
 def bigram_counts(texts: DataFrame, shards: int, heavy: np.ndarray) -> DataFrame:
-    """One row per shard with bigrams seen SEEN times or more: (shard, pairs: words, first words, counts)."""
+    """One row per shard with bigrams: (shard, pairs: words, first words, counts)."""
 
     def count(batches):
         for b in (part for batch in batches for part in parts(batch)):
@@ -193,8 +192,7 @@ def bigram_counts(texts: DataFrame, shards: int, heavy: np.ndarray) -> DataFrame
             firsts.append(_join40(f0, f1))
             counts.append(n.astype("int64"))
         (w, f), n = _summed([np.concatenate(words), np.concatenate(firsts)], np.concatenate(counts))
-        keep = n >= SEEN
-        return pd.DataFrame({"shard": pdf["shard"].iloc[:1].values, "pairs": [_planes(w[keep], f[keep], n[keep])]})
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1].values, "pairs": [_planes(w, f, n)]})
 
     dealt = texts.select("text").mapInArrow(count, "shard long, data binary")
     return dealt.groupBy("shard").applyInPandas(merge, "shard long, pairs binary")

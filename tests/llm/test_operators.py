@@ -239,6 +239,21 @@ def test_language_model(docs, spark):
         assert r["train_tokens"] == n and r["base_score"] == pytest.approx(want[r["doc_id"]]) and r["score"] < 0
 
 
+def test_language_model_keeps_bigrams_seen_once(spark):
+    texts = [f"a{i} b{i} c{i}" for i in range(300)] + ["xx yy"] * 200
+    frame = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    lines = [[" ", *t.split(), " "] for t in texts]
+    single, double = Counter(w for x in lines for w in x[1:]), Counter(p for x in lines for p in zip(x, x[1:]))
+    n, v = sum(single.values()), len(single)
+    share = sum(k for (a, b), k in double.items() if (k - 1) / max(single[a] - 1, 1) > (single[b] - 1) / (n - 1)) / n
+    one = lambda w: (single[w] - 0.5) / n + 0.5 * v / n / (v + 1)  # noqa: E731  (no word is seen twice)
+    chance = lambda a, b: (1 - share) * one(b) + share * double[a, b] / single[a]
+    assert share > 0 and sum(chance("a1", w) for w in single) == pytest.approx(1, abs=1e-3)
+    for r in ngram_lm.score_texts(frame, F.lit(True)).where("doc_id < 300").collect():
+        x = lines[r["doc_id"]]
+        assert r["score"] == pytest.approx(sum(math.log10(chance(*p)) for p in zip(x, x[1:])), abs=1e-3)
+
+
 def test_language(spark):
     other = ["xu", "vy", "wo", "zzi", "qe"]
     rows = [(i, prose(40), "en") for i in range(60)] + [(100 + i, " ".join("".join(RNG.choice(other) for _ in range(3)) for _ in range(40)), "xx") for i in range(60)]
