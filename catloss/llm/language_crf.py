@@ -6,9 +6,9 @@ affixes (border n-grams of length 4) and whether it is in a language's lexicon;
 of n-grams live in ``SLOTS`` hashed slots. Transitions between languages are learned. A
 document's language is the one with the highest mean word probability, which is its score.
 
-The model is fitted on the driver from a sample bounded by its parameters: about
-``PER_LANGUAGE`` labelled documents of each language, of at most ``MAX_CHARS`` characters
-each, chosen by hash. Documents carry one label but switch languages, so words are first
+The model is fitted on the driver from a sample bounded by its parameters: up to
+``PER_LANGUAGE`` distinct labelled texts of each language, chosen by hash; of a text of more
+than ``MAX_CHARS`` characters it sees a window of that size, placed by hash. Documents carry one label but switch languages, so words are first
 fitted independently, then relabelled by smoothing along the chain, and the chain's
 weights and transitions are fitted to that. Prediction reads whole texts of all rows; a
 chain starts anew with each line and after ``CHAIN`` words.
@@ -23,10 +23,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloss.llm.common import text_or_empty
+from catloss.llm.common import GAP, WORD, maybe_broadcast, text_or_empty
 
 PER_LANGUAGE = 250
 MAX_CHARS = 10_000
@@ -247,14 +247,26 @@ def fit_model(texts: list[str], labels: list[str]) -> Model:
 
 
 def fit(labelled: DataFrame) -> Model:
-    """Fit from rows (text, lang), on a bounded sample chosen by hash."""
-    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= MAX_CHARS)).select("text", "lang")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    """Fit from rows (text, lang), on a bounded sample of each language's distinct texts, chosen by hash."""
+    text = F.col("text").cast("string")
+    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(text.alias("text"), "lang", F.xxhash64(text).alias("h"))
+    pairs = rows.select("lang", "h").distinct()
+    counts = {r["lang"]: r["n"] for r in pairs.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
         return Model([], {})
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1_000_000, 1_000_000 * PER_LANGUAGE // n + 1))])
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")]).orderBy(F.xxhash64("text"), "lang").limit(2 * PER_LANGUAGE * len(counts))
-    got = sample.collect()
+    # twice as many as wanted by a threshold, then the first of them by hash: no window holds a whole language
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 40, (2 * PER_LANGUAGE << 40) // n + 1))])
+    near = pairs.where(F.pmod("h", F.lit(1 << 40)) < share[F.col("lang")])
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h")
+    chosen = near.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= PER_LANGUAGE).select("lang", "h")
+    chosen = maybe_broadcast(chosen)
+    begin = F.pmod(F.xxhash64("h"), F.length("text") - MAX_CHARS + 1).cast("int") + 1
+    window = F.substring(F.col("text"), begin, F.lit(MAX_CHARS))
+    for part in (f"^{WORD}(?={GAP})", f"{GAP}{WORD}$"):  # words that the window's borders may have cut
+        window = F.regexp_replace(window, part, "")
+    seen = F.when(F.length("text") > MAX_CHARS, window).otherwise(F.col("text"))
+    sample = rows.join(chosen, ["lang", "h"]).groupBy("lang", "h").agg(F.min(seen).alias("text"))  # copies are one text
+    got = sorted(sample.collect(), key=lambda r: (r["h"], r["lang"]))
     return fit_model([r["text"] for r in got], [r["lang"] for r in got])
 
 

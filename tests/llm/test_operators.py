@@ -267,6 +267,18 @@ def test_language(spark):
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (501, 502, None))
 
 
+def test_language_learns_every_label(spark):
+    make = lambda parts, n: " ".join("".join(RNG.choice(parts) for _ in range(3)) for _ in range(n))
+    kinds = {"aa": ["ba", "co", "di"], "bb": ["xu", "vy", "wo"], "cc": ["zzi", "qe", "ky"]}
+    rows = [(make(kinds["aa"], 30), "aa") for _ in range(300)] + [(make(kinds["bb"], 3000), "bb") for _ in range(8)]
+    assert all(len(t) > language_crf.MAX_CHARS for t, a in rows if a == "bb")
+    rows += [(make(kinds["cc"], 30), "cc") for _ in range(3)] * 400
+    model = language_crf.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.langs == ["aa", "bb", "cc"]
+    asked = spark.createDataFrame([(f"{a}{i}", make(x, 20)) for a, x in kinds.items() for i in range(5)], "doc_id string, text string")
+    assert all(r["lang_pred"] == r["doc_id"][:2] for r in language_crf.predict(asked, model).collect())
+
+
 def test_licenses(docs):
     got = {r["doc_id"]: [m["license"] for m in r["matches"]] for r in licenses.scan(docs).collect()}
     assert got[10] == ["MIT"] and not any(x for i, x in got.items() if i != 10)
