@@ -1,13 +1,15 @@
 """Token counts by a compiled transducer.
 
-The merge list becomes a deterministic transducer (``bpe.CountTransducer``) whose
-transitions carry emitted-token counts. ASCII white space always returns it to its start
-state, so the state map of a chunk of text is: the symbols before the chunk's first gap
-(still open to the left), the count between first and last gap, and the symbols after the
-last gap (open to the right); a chunk without a gap is open on both sides. Such maps
-compose associatively. Texts of up to ``CHUNK`` characters are counted where they lie;
+Words of up to ``LONG`` symbols are counted by the merge list's automaton, longer ones by a
+deterministic transducer compiled from it (``bpe.CountTransducer``), whose transitions carry
+emitted-token counts. Both start anew at ASCII white space, so what a chunk of text does is
+told by its map: the text before the chunk's first gap (still open to the left), the count
+between first and last gap, and the text after the last gap (open to the right); a chunk
+without a gap is open on both sides and is its own map. Such maps compose associatively.
+They are not maps between transducer states: text without gaps is put together again and
+counted in one task. Texts of up to ``CHUNK`` characters are counted where they lie;
 longer ones are cut into chunks that Spark spreads over the cluster, and each document's
-state maps are composed by a parallel prefix scan (pairs, then pairs of pairs).
+maps are composed in one task, neighbours first, then neighbouring pairs, until one is left.
 
 Normalisation and the split into words are the tokenizers library's own, applied to
 each distinct stretch without gaps; both leave gaps where they are.
@@ -138,14 +140,10 @@ class Counter:
         return self.count(m[1]) + m[2] + self.count(m[3])
 
     def scan(self, maps: list[tuple]) -> list[tuple]:
-        """Inclusive prefix compositions, in a logarithmic number of rounds."""
-        if len(maps) < 2:
-            return maps
-        pairs = self.scan([self.compose(a, b) for a, b in zip(maps[::2], maps[1::2])])
-        out = [maps[0]]
-        for i in range(1, len(maps)):
-            out.append(pairs[i // 2] if i % 2 else self.compose(pairs[i // 2 - 1], maps[i]))
-        return out
+        """The composition of all maps as the only entry, in a logarithmic number of rounds that keep no prefixes."""
+        while len(maps) > 1:
+            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps
 
 
 def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:

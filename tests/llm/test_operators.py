@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -77,6 +78,17 @@ def test_streams_and_state_maps_agree_for_any_cut():
         assert "".join(codec.decode(codec.encode(text))) == text
 
 
+def test_text_without_gaps_is_composed_in_linear_space():
+    counter = token_counts.Counter(vocabulary("word_bpe_49k.json"))
+    parts = ["x" * 4096] * 500
+    maps = [counter.state_map(x) for x in parts]
+    tracemalloc.start()
+    whole = counter.scan(maps)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert whole[-1][1] == "".join(parts) and peak < 5 * len(whole[-1][1])
+
+
 def test_detokenize_is_the_round_trip(docs):
     back = bpe_codec.detokenize(bpe_codec.token_ids(docs.where("doc_id <> 8"), vocabulary("byte_bpe_50k.json")), vocabulary("byte_bpe_50k.json"))
     assert all(r["decoded"] == (r["text"] or "") for r in back.collect())
