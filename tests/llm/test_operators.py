@@ -296,6 +296,36 @@ def test_licenses(docs):
     assert got[10] == ["MIT"] and not any(x for i, x in got.items() if i != 10)
 
 
+HEADERS = {
+    "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+                "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.", "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n Copyright (C) 1989"],
+    "GPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+                "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n Copyright (C) 2007"],
+    "LGPL": ["under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License", "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007"],
+    "AGPL-3.0": ["under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "Apache-2.0": ["Apache License\n Version 2.0, January 2004\n http://www.apache.org/licenses/"],
+    "MPL-1.1": ["The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0\n 1. Definitions"],
+    "EPL-1.0": ["All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution"],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at", "Eclipse Public License - v 2.0"],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0. (See accompanying file)", "Boost Software License - Version 1.0 - August 17th, 2003"],
+    "Artistic-2.0": ["you can redistribute it and/or modify it under the terms of the Artistic License 2.0."],
+}
+
+
+def test_canonical_license_headers(spark):
+    rows = [(i, name, f"{BASE}\n{text}\n{BASE}") for i, (name, text) in enumerate((n, x) for n, texts in HEADERS.items() for x in texts)]
+    got = {r["doc_id"]: sorted({m["license"] for m in r["matches"]}) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, name string, text string")).collect()}
+    assert got == {i: [name] for i, name, _ in rows}
+
+
+def test_notices_shorter_than_a_shingle(spark):
+    frame = spark.createDataFrame([(1, f"{BASE} All Rights-Reserved. {BASE}"), (2, "all rights reserved"), (3, "rights all reserved " * 3), (4, None)], "doc_id long, text string")
+    for notices in ({"X": ["all rights reserved"]}, {"X": ["all rights reserved"], **licenses.NOTICES}):
+        assert {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in licenses.scan(frame, notices).collect()} == {1: [("X", 1.0)], 2: [("X", 1.0)], 3: [], 4: []}
+
+
 def test_empty_tables(empty, spark):
     path = vocabulary("byte_bpe_50k.json")
     none = spark.createDataFrame([], "vec_id long, embedding array<double>")
