@@ -5,6 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +53,8 @@ def running_total(df: DataFrame, order: Sequence[str], sums: dict[str, str], par
     Range partitions of balanced size hold the order, so a hot key costs no more than
     other rows. They are written once (their bounds come from a sample and could differ
     when recomputed), each partition's total gives the next ones' offsets, and each
-    partition is then walked in order. ``order`` must be total for a repeatable result.
+    partition is then walked in order. ``order`` must be total for a repeatable result. A
+    null value adds nothing.
     """
     parts = parts or shuffle_width(df.sparkSession)
     ranged = df.repartitionByRange(parts, *[F.col(c) for c in order]).withColumn("_pid", F.spark_partition_id())
@@ -59,20 +63,26 @@ def running_total(df: DataFrame, order: Sequence[str], sums: dict[str, str], par
     before, start = dict.fromkeys(sums.values(), 0), {}
     for r in totals.orderBy("_pid").collect():  # one row a partition
         start[r["_pid"]] = dict(before)
-        before = {n: before[n] + r[n] for n in before}
+        before = {n: before[n] + (r[n] or 0) for n in before}
 
     def walk(batches):
         pid, at = None, {}
-        for pdf in batches:
-            for p, rows in pdf.groupby("_pid", sort=False):
-                if p != pid:
-                    pid, at = p, dict(start[int(p)])
-                cum = {n: rows[v].cumsum() + at[n] for v, n in sums.items()}
-                at = {n: int(x.iloc[-1]) for n, x in cum.items()}
-                yield rows.drop(columns="_pid").assign(**cum)
+        for b in batches:
+            pids = b.column("_pid").to_numpy()
+            cum = {n: np.zeros(len(pids), "int64") for n in sums.values()}
+            values = {n: pc.fill_null(b.column(v), 0).cast(pa.int64()).to_numpy() for v, n in sums.items()}
+            cuts = [0, *(np.flatnonzero(np.diff(pids)) + 1), len(pids)] if len(pids) else []
+            for lo, hi in zip(cuts, cuts[1:]):
+                if pids[lo] != pid:
+                    pid, at = pids[lo], dict(start[int(pids[lo])])
+                for n in cum:
+                    cum[n][lo:hi] = np.cumsum(values[n][lo:hi]) + at[n]
+                    at[n] = int(cum[n][hi - 1])
+            kept = [i for i, c in enumerate(b.schema.names) if c != "_pid"]  # as Arrow holds them: no value beside a null changes
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), *map(pa.array, cum.values())], [*(b.schema.names[i] for i in kept), *cum])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"`{n}` long" for n in sums.values())])
-    return ranged.repartition(parts, "_pid").sortWithinPartitions("_pid", *order).mapInPandas(walk, schema)
+    return ranged.repartition(parts, "_pid").sortWithinPartitions("_pid", *order).mapInArrow(walk, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -343,4 +343,4 @@ def test_stages_run_and_keep_the_columns(docs, spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, out, SF_SMALL).cache()
         assert out.columns == docs.columns and out.count() > 0, name
-    assert {"op%d" % n for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {"op%d" % n for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
