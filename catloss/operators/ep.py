@@ -1,14 +1,18 @@
 """EP-summary branch: enrich, select perils, align vendors, blend into uplift factors.
 
-All inputs here are seed-sized (one row per lob x peril x EP point), so every
-join against a seed is a checked broadcast and the aggregations are tiny.
+The seeds are joined as checked broadcasts. EP rows may be many (one per analysis, lob,
+peril and point), and one rollup cell may hold most of them, so what is needed of a cell
+comes from ``cell_losses``: one aggregation with map-side sums, after which a cell has a
+row per peril and point however many EP rows it had. Those rows are dealt once by
+(rollup_lob, rollup_peril); the winner's choice, the dialsup flags and the alignment of
+the vendors all work within that one partitioning, without joins.
 """
 
 from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catloss import schemas as SC
@@ -62,10 +66,28 @@ def select_dialsup_perils(enriched: DataFrame) -> DataFrame:
     return SC.conform(out, SC.EP_ENRICHED)
 
 
+CELL = ("rollup_lob", "rollup_peril")
+
+
+def cell_losses(enriched: DataFrame) -> DataFrame:
+    """A1: per vendor, modelled peril, its priority and the 7 keys, the summed loss, dealt by rollup cell."""
+    keys = list(dict.fromkeys(["vendor", *SC.EP_JOIN_KEYS, "modelled_peril", "selection_priority"]))
+    return enriched.groupBy(*keys).agg(sum0("loss").alias("loss")).repartition(*CELL)
+
+
+def winning_losses(cells: DataFrame) -> DataFrame:
+    """N3 + J2 on ``cell_losses``: the rows of each (vendor, rollup cell)'s winning peril; null keys win nothing."""
+    cell = Window.partitionBy(*CELL, "vendor")
+    best = F.min(F.struct("selection_priority", "modelled_peril")).over(cell)
+    named = cells.withColumn("_best", best).where(F.col("modelled_peril") == F.col("_best.modelled_peril"))
+    return named.where(~any_null(*SELECTION_KEYS)).drop("_best")
+
+
 def vendor_joined(selected: DataFrame) -> DataFrame:
     """A1 + J6: per 7 keys, each vendor's summed loss side by side.
 
-    One conditional aggregation replaces two aggregations and a full outer join.
+    One conditional aggregation replaces two aggregations and a full outer join; of
+    ``winning_losses`` it needs no further exchange.
     A vendor without rows in a group gets null; a vendor whose rows are all null
     gets 0.0. Groups with a null key stay split per vendor, as the outer join
     never matches null keys.
@@ -124,31 +146,20 @@ def blending_targets(points: DataFrame, weights: DataFrame, params: RunParams) -
     return SC.conform(out, SC.EP_TARGETS)
 
 
-def ep_branch(inputs, params: RunParams, materialize: bool = False) -> dict[str, DataFrame]:
-    """The whole EP branch from run inputs; returns every intermediate by name.
-
-    Everything here is seed-sized. ``materialize`` checkpoints the enriched EP table
-    (reliable checkpoint) when its inputs are expensive to re-read.
-    """
+def ep_branch(inputs, params: RunParams) -> dict[str, DataFrame]:
+    """The whole EP branch from run inputs; returns every intermediate by name."""
     from catloss.operators.staging import blend_weights
-    from catloss.session import ensure_checkpoint_dir
 
     enriched = enrich_ep(inputs.ep_summaries, inputs.seed("lobs"), inputs.seed("perils"))
-    if materialize:
-        ensure_checkpoint_dir(enriched.sparkSession)
-        enriched = enriched.coalesce(1).checkpoint(eager=True)
-    main = select_main_perils(enriched)
-    dialsup = select_dialsup_perils(enriched)
-    joined = vendor_joined(main)
+    joined = vendor_joined(winning_losses(cell_losses(enriched)))
     points = target_points(joined, params)
     weights = blend_weights(inputs.seed("blending_factors"))
-    targets = blending_targets(points, weights, params)
     return {
         "ep_enriched": enriched,
-        "ep_selected_main": main,
-        "ep_selected_dialsup": dialsup,
+        "ep_selected_main": select_main_perils(enriched),
+        "ep_selected_dialsup": select_dialsup_perils(enriched),
         "ep_vendor_joined": joined,
         "ep_target_points": points,
         "blend_weights": weights,
-        "ep_blending_targets": targets,
+        "ep_blending_targets": blending_targets(points, weights, params),
     }

@@ -77,6 +77,11 @@ class RollupFrames:
     def forecast_dates(self) -> DataFrame:
         return ST.forecast_dates(self.forecast_factors)
 
+    @cached_property
+    def candidate_dates(self) -> list[str]:
+        """The dates that forecast rows can have, as text."""
+        return WD.candidate_dates(self.forecast_dates)
+
     @cached_property
     def euws_factors(self) -> DataFrame:
         return self.inputs.seed("euws_rate_factors")
@@ -217,7 +222,7 @@ class RollupFrames:
         return WD.wide_source(self.main_final_long, self.dialsup_long)
 
     def wide_output(self, check_grain: bool = True) -> DataFrame:
-        return WD.wide_output(self.main_final_long, self.dialsup_long, check_grain=check_grain)
+        return WD.wide_output(self.main_final_long, self.dialsup_long, self.candidate_dates, check_grain)
 
     @cached_property
     def report_annual(self) -> DataFrame:

@@ -48,7 +48,7 @@ def _seed_ctes() -> list[tuple[str, str]]:
     ]
 
 
-def _bridge_ctes(lob_mod: int = B.VERISK_LOB_MOD, include_unmapped: bool = True) -> list[tuple[str, str]]:
+def _bridge_ctes(lob_mod: int = B.VERISK_LOB_MOD, include_unmapped: bool = True, repeat_events: bool = False) -> list[tuple[str, str]]:
     unmapped = (
         "UNION ALL SELECT 'verisk', 'VP0', 'LOB9', 'VP0', 'AAL', CAST(0 AS BIGINT), 1.0"
         if include_unmapped else ""
@@ -69,13 +69,15 @@ SELECT CAST(900 + o_custkey % 8 AS BIGINT) AS anlsid,
        CAST(o_orderkey AS BIGINT) AS eventid,
        o_totalprice / 10.0 AS loss
 FROM orders"""),
-        ("raw_verisk_events", """
+        ("listed_verisk_events", """
 SELECT DISTINCT CAST(1000000 + l_orderkey * 2 + l_linenumber % 2 AS BIGINT) AS EventID,
        CAST(41 + l_linenumber % 2 AS BIGINT) AS ModelID,
        CAST(l_orderkey AS BIGINT) AS Event,
        CAST(1 + l_orderkey % 10000 AS BIGINT) AS Year,
        CAST(1 + l_orderkey % 365 AS BIGINT) AS Day
 FROM lineitem WHERE l_orderkey % 7 <> 0"""),
+        ("raw_verisk_events", "SELECT * FROM listed_verisk_events"
+         + (" UNION ALL SELECT * FROM listed_verisk_events WHERE Event % 10 = 1" if repeat_events else "")),
         ("raw_risklink_events", """
 SELECT CAST(o_orderkey AS BIGINT) AS ModelEventID, CAST(1 + o_orderkey % 100000 AS BIGINT) AS ModelOccurrenceYear,
        CAST(216 AS BIGINT) AS RegionPerilID, CAST(o_orderdate AS TIMESTAMP) AS ModelOccurrenceDate
@@ -260,8 +262,8 @@ FROM (SELECT *, (CASE vendor {years} ELSE NULL END) / rnk AS rp FROM {stream}_yl
     ]
 
 
-def all_ctes(lob_mod: int = B.VERISK_LOB_MOD, include_unmapped: bool = True) -> list[tuple[str, str]]:
-    ctes = _seed_ctes() + _bridge_ctes(lob_mod, include_unmapped) + _staging_ctes() + _ep_ctes()
+def all_ctes(lob_mod: int = B.VERISK_LOB_MOD, include_unmapped: bool = True, repeat_events: bool = False) -> list[tuple[str, str]]:
+    ctes = _seed_ctes() + _bridge_ctes(lob_mod, include_unmapped, repeat_events) + _staging_ctes() + _ep_ctes()
     ctes += _stream_ctes("main", "ep_main") + _stream_ctes("dialsup", "ep_dialsup")
     from catloss.plans import oracle_streams
 

@@ -81,7 +81,7 @@ def run(
     event_path = W.write_parquet(
         MT.event_validation(main_fan, dialsup_fan), _join(output_root, EVENT_VALIDATION_FILE)
     )
-    wide_path = W.write_wide(main_long, dialsup_long, _join(output_root, WIDE_YLT_FILE))
+    wide_path = W.write_wide(main_long, dialsup_long, _join(output_root, WIDE_YLT_FILE), fr.candidate_dates)
     marts_dir = _join(output_root, MARTS_DIR)
     mart_files = W.write_fanout_partitions({"main_fanout": main_fan, "dialsup_fanout": dialsup_fan}, marts_dir)
 

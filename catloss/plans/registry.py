@@ -8,12 +8,14 @@ compared as they are.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catloss import schemas as SC
+from catloss.operators import contracts as CT
 from catloss.operators import ep_convert as EC
 from catloss.operators import quality as QL
 from catloss.operators import report as RP
@@ -21,7 +23,10 @@ from catloss.operators import wide as WD
 from catloss.params import RunParams
 from catloss.plans import oracle as O
 from catloss.plans.frames import RollupFrames
+from catloss.plans.oracle_tables import with_table_ctes
 from catloss.sources import bridge as B
+from catloss.sources import raw_seeds as RS
+from catloss.sources.table_bridge import table_inputs
 from catloss.sql import templates as TPL
 
 def frames(spark: SparkSession, sf_dir: str, **bridge_kw) -> RollupFrames:
@@ -89,6 +94,16 @@ def _q(attr: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _ep(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A result of the EP branch over EP summaries and seeds from the tables."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return RollupFrames(table_inputs(spark, sf_dir), RunParams()).ep[name]
+
+    run.__name__ = name
+    return run
+
+
 def q_ylt_enriched(spark, sf_dir):
     return frames(spark, sf_dir).enriched("main")
 
@@ -121,6 +136,11 @@ def q_duplicate_grain(spark, sf_dir):
     return WD.duplicate_grain(frames(spark, sf_dir).wide_source)
 
 
+def q_duplicate_grain_repeats(spark, sf_dir):
+    """Over a catalogue that lists some events twice."""
+    return WD.duplicate_grain(frames(spark, sf_dir, repeat_events=True).wide_source)
+
+
 def q_aal_report(spark, sf_dir):
     return _sums(RP.aal(frames(spark, sf_dir).report_annual))
 
@@ -155,7 +175,17 @@ def q_quality_rules(spark, sf_dir):
 
 
 def q_quality_rules_raw(spark, sf_dir):
-    return QL.evaluate_contract(B.ep_raw(spark, sf_dir), QL.ep_contract())
+    return CT.evaluate_contract(B.ep_raw(spark, sf_dir), CT.CONTRACTS["ep_summaries"])
+
+
+def q_quality_rules_seeds(spark, sf_dir):
+    parts = [CT.evaluate_contract(RS.raw_seed(spark, sf_dir, t), CT.CONTRACTS[t]) for t in RS.RAW_SEEDS]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_quality_violations(spark, sf_dir):
+    parts = [CT.violations(RS.raw_seed(spark, sf_dir, t), CT.CONTRACTS[t], RS.KEY) for t in RS.RAW_SEEDS]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _with_views(spark, sf_dir, wide: bool = False) -> RollupFrames:
@@ -193,7 +223,7 @@ def q_wide_check(spark, sf_dir):
 
 def q_portfolio_waterfall(spark, sf_dir):
     fr = _with_views(spark, sf_dir)
-    dates = WD.forecast_months(fr.wide_source)
+    dates = WD.forecast_months(fr.wide_source, fr.candidate_dates)
     return _rounded(_sums(TPL.portfolio_waterfall(spark, dates)), {"avg_blend_factor": AVERAGE})
 
 
@@ -213,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_verisk_events": _q("verisk_events"),
     "stage_risklink_events": _q("risklink_events"),
     "normalize_ylt": _q("normalized"),
+    **{name: _ep(name) for name in ("ep_enriched", "ep_selected_main", "ep_selected_dialsup", "ep_vendor_joined", "ep_target_points", "blend_weights", "ep_blending_targets")},
     "ylt_enriched": q_ylt_enriched,
     "ylt_base_selected": q_ylt_base_selected,
     "ylt_ranked": q_ylt_ranked,
@@ -234,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_validation": _q("event_validation"),
     "wide_output": q_wide_output,
     "duplicate_grain": q_duplicate_grain,
+    "duplicate_grain_repeats": q_duplicate_grain_repeats,
     "aal_report": q_aal_report,
     "annual_aep": q_annual_aep,
     "annual_oep": q_annual_oep,
@@ -243,6 +275,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "input_aal_summary": q_input_aal_summary,
     "quality_rules": q_quality_rules,
     "quality_rules_raw": q_quality_rules_raw,
+    "quality_rules_seeds": q_quality_rules_seeds,
+    "quality_violations": q_quality_violations,
     "q_inventory_counts": q_inventory_counts,
     "q_report_totals": q_report_totals,
     "q_top_losses": q_top_losses,
@@ -306,10 +340,45 @@ def _input_aal_oracle() -> str:
 def _quality_oracle() -> str:
     tables = {
         "verisk_ylt": "raw_verisk_ylt", "risklink_ylt": "raw_risklink_ylt", "ep_summaries": "ep_long",
-        "verisk_events": "raw_verisk_events", "risklink_flood22_model_events": "raw_risklink_events",
-        "euws_rate_factors": "euws_rate_factors",
+        "verisk_events": "raw_verisk_events", "risklink_flood22_model_events": "raw_risklink_events", "forecast_factors": "forecast_factors_raw",
     }
-    return _contracts_oracle([*QL.ylt_contracts(), QL.ep_contract(), *QL.catalogue_contracts()], tables)
+    return _contracts_oracle([*CT.CONTRACTS.values()], {t: tables.get(t, t) for t in CT.CONTRACTS})
+
+
+def _quality_seeds_oracle() -> str:
+    raw = {t: f"({RS.projection(t, 'duckdb')})" for t in RS.RAW_SEEDS}
+    extra = " UNION ALL ".join(
+        f"SELECT '{t}', '{CT.CONTRACTS[t].code}', 'schema_matches', '{c}', 1" for t, cols in RS.RAW_SEEDS.items() for c in cols[1] if c not in CT.CONTRACTS[t].columns)
+    return f"{_contracts_oracle([CT.CONTRACTS[t] for t in RS.RAW_SEEDS], raw)} UNION ALL {extra}"
+
+
+def _violations_oracle() -> str:
+    parts = []
+    for t in RS.RAW_SEEDS:
+        contract, src = CT.CONTRACTS[t], RS.projection(t, "duckdb")
+        for code, kind, column, bad in _row_checks(contract):
+            parts.append(f"SELECT '{t}' AS \"table\", '{code}' AS code, '{kind}' AS \"check\", '{column}' AS \"column\", "
+                         f"CAST({RS.KEY} AS VARCHAR) AS \"key\", {column} AS value FROM ({src}) WHERE {bad}")
+    return " UNION ALL ".join(parts)
+
+
+def _row_checks(c: CT.TableContract) -> list[tuple[str, str, str, str]]:
+    """(code, check, column, SQL condition) of every check of rows."""
+    found = []
+    if c.mode == "castable":
+        for col, kind in c.columns.items():
+            sql_type = {"string": "VARCHAR"}.get(kind, kind)
+            found.append((c.code, "schema_castable", col, f"{col} IS NOT NULL AND TRY_CAST({col} AS {sql_type}) IS NULL"))
+    for r in c.rules:
+        if r.kind == "not_null":
+            bad = f"{r.column} IS NULL OR {O.strip(r.column)} = ''"
+        elif r.kind == "valid_range":
+            number = f"TRY_CAST({r.column} AS DOUBLE)"
+            bad = " OR ".join(f"{number} {op} {x}" for op, x in (("<", r.min), (">", r.max)) if x is not None)
+        else:
+            bad = f"{r.column} IS NOT NULL AND CAST({r.column} AS VARCHAR) NOT IN ({', '.join(map(repr, r.values))})"
+        found.append((r.code, r.kind, r.column, bad))
+    return found
 
 
 def _quality_raw_oracle() -> str:
@@ -324,35 +393,16 @@ def _quality_raw_oracle() -> str:
         f"ELSE {t} END AS loss FROM customer)"
     )
     extra = "SELECT 'ep_summaries', 'EP_SUMMARY_SCHEMA', 'schema_matches', 'note', 1"
-    return f"{_contracts_oracle([QL.ep_contract()], {'ep_summaries': raw})} UNION ALL {extra}"
+    return f"{_contracts_oracle([CT.CONTRACTS["ep_summaries"]], {"ep_summaries": raw})} UNION ALL {extra}"
 
 
-def _contracts_oracle(contracts: list[QL.TableContract], tables: dict[str, str]) -> str:
+def _contracts_oracle(contracts: list[CT.TableContract], tables: dict[str, str]) -> str:
     parts = []
     for c in contracts:
-        src = tables[c.table]
-        for col, kind in c.columns.items():
-            parts.append(f"SELECT '{c.table}' AS \"table\", '{c.code}' AS code, 'schema_matches' AS \"check\", "
-                         f"'{col}' AS \"column\", CAST(0 AS BIGINT) AS violations")
-            if c.mode == "castable":
-                sql_type = "VARCHAR" if kind == "string" else kind
-                parts.append(f"SELECT '{c.table}', '{c.code}', 'schema_castable', '{col}', CAST(COUNT(*) FILTER "
-                             f"(WHERE {col} IS NOT NULL AND TRY_CAST({col} AS {sql_type}) IS NULL) AS BIGINT) FROM {src}")
-        for r in c.rules:
-            if r.kind == "not_null":
-                bad = f"{r.column} IS NULL OR {O.strip(r.column)} = ''"
-            elif r.kind == "valid_range":
-                conds = []
-                if r.min is not None:
-                    conds.append(f"TRY_CAST({r.column} AS DOUBLE) < {r.min}")
-                if r.max is not None:
-                    conds.append(f"TRY_CAST({r.column} AS DOUBLE) > {r.max}")
-                bad = " OR ".join(conds) or "FALSE"
-            else:
-                vals = ", ".join(f"'{v}'" for v in r.values)
-                bad = f"{r.column} IS NOT NULL AND {r.column} NOT IN ({vals})"
-            parts.append(f"SELECT '{c.table}', '{r.code}', '{r.kind}', '{r.column}', "
-                         f"CAST(COUNT(*) FILTER (WHERE {bad}) AS BIGINT) FROM {src}")
+        parts += [f"SELECT '{c.table}' AS \"table\", '{c.code}' AS code, 'schema_matches' AS \"check\", '{col}' AS \"column\", CAST(0 AS BIGINT) AS violations"
+                  for col in c.columns]
+        parts += [f"SELECT '{c.table}', '{code}', '{kind}', '{col}', CAST(COUNT(*) FILTER (WHERE {bad}) AS BIGINT) FROM {tables[c.table]}"
+                  for code, kind, col, bad in _row_checks(c)]
     return " UNION ALL ".join(parts)
 
 
@@ -442,6 +492,8 @@ ORACLE_SELECT: dict[str, str] = {
     "dimension_coverage": _coverage_oracle(),
     "quality_rules": _quality_oracle(),
     "quality_rules_raw": _quality_raw_oracle(),
+    "quality_rules_seeds": _quality_seeds_oracle(),
+    "quality_violations": _violations_oracle(),
     "q_inventory_counts": (
         "SELECT 'ep_report' AS table_name, COUNT(*) AS rows FROM ep_report UNION ALL "
         "SELECT 'mts_tbl_ylt_combined_all_factors', COUNT(*) FROM main_long UNION ALL "
@@ -497,11 +549,21 @@ LIMIT 500""",
 }
 
 
+# The EP branch on the tables: query -> the oracle's common table.
+EP_TABLES = {
+    "ep_enriched": "ep_enriched", "ep_selected_main": "ep_main", "ep_selected_dialsup": "ep_dialsup", "ep_vendor_joined": "ep_vendor_joined",
+    "ep_target_points": "ep_target_points", "blend_weights": "weights", "ep_blending_targets": "ep_blending_targets",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, select in ORACLE_SELECT.items():
         if name == "input_aal_summary":
             continue
         out[name] = O.with_ctes(select)
+    out["duplicate_grain_repeats"] = O.with_ctes(ORACLE_SELECT["duplicate_grain"], repeat_events=True)
+    for name, table in EP_TABLES.items():
+        out[name] = with_table_ctes(f"SELECT * FROM {table}")
     out["input_aal_summary"] = O.with_ctes(_input_aal_oracle(), lob_mod=5, include_unmapped=False)
     return out

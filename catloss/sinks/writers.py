@@ -1,21 +1,25 @@
 """Sinks: all-or-nothing publishing of Spark outputs.
 
-Spark writes directories. Every output is written to a staging directory beside
-its target and swapped in only after the write succeeded, so a failed run leaves
-the previous output in place. File operations go through the Hadoop FileSystem
-of the target path, so HDFS and object stores work like local disks.
+Spark writes directories. ``publish`` stages one or several outputs in a hidden folder beside
+their targets, then commits them together by renaming one small journal file, and only then
+moves them to their targets. A run that stops before the commit leaves the old outputs, one
+that stops after it is finished by ``recover``, which every write and ``read_parquet`` call
+first: what is read is a complete old or a complete new output. Steps can be repeated, and
+don't need directory renames to be atomic. One writer at a time is assumed per folder. File
+operations go through the Hadoop FileSystem of the target path.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
+from pyspark.sql import types as T
 
-from catloss import schemas as SC
 from catloss.operators import wide as WD
 from catloss.params import VENDOR_LABELS
 
@@ -29,7 +33,7 @@ class _FS:
     """Thin helper over the Hadoop FileSystem of one path."""
 
     def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
+        self._jvm = jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self.path = self._Path(path)
         self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -48,6 +52,9 @@ class _FS:
         if self.fs.exists(self.p(path)):
             self.fs.delete(self.p(path), True)
 
+    def is_dir(self, path: str) -> bool:
+        return self.fs.getFileStatus(self.p(path)).isDirectory()
+
     def mkdirs(self, path: str) -> None:
         self.fs.mkdirs(self.p(path))
 
@@ -56,6 +63,18 @@ class _FS:
             return []
         return [s.getPath().toString() for s in self.fs.listStatus(self.p(path))]
 
+    def write(self, path: str, text: str) -> None:
+        out = self.fs.create(self.p(path), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def read(self, path: str) -> str:
+        stream = self.fs.open(self.p(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
 
 def _parent(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[0]
@@ -65,78 +84,95 @@ def _name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _swap(fs: _FS, staged: str, target: str) -> None:
-    """Replace ``target`` by ``staged``; the old target is removed only after the move."""
-    backup = f"{_parent(target)}/.{_name(target)}-old-{uuid.uuid4().hex}"
-    had_old = fs.exists(target)
-    if had_old:
-        fs.rename(target, backup)
+PUBLISHING = ".publish-"
+JOURNAL = "journal.json"
+
+
+def publish(spark: SparkSession, parent: str, build: Callable[[str], Mapping[str, str]]) -> list[str]:
+    """Publish together what ``build(folder)`` writes below ``folder``: it returns {target: staged}, targets in ``parent``."""
+    fs = _FS(spark, parent)
+    fs.mkdirs(parent)
+    recover(spark, parent)
+    folder = f"{parent}/{PUBLISHING}{uuid.uuid4().hex}"
     try:
-        fs.rename(staged, target)
-    except Exception:
-        if had_old:
-            fs.rename(backup, target)
+        moves = dict(build(folder))
+        elsewhere = [t for t in moves if _parent(t) != parent.rstrip("/")]
+        if elsewhere:
+            raise ValueError(f"outputs published together lie in {parent}, these don't: {elsewhere}")
+        fs.write(f"{folder}/{JOURNAL}.tmp", json.dumps([[staged, target] for target, staged in moves.items()]))
+        fs.rename(f"{folder}/{JOURNAL}.tmp", f"{folder}/{JOURNAL}")  # the commit
+    except BaseException:
+        fs.delete(folder)
         raise
-    if had_old:
-        fs.delete(backup)
+    _finish(fs, folder)
+    return list(moves)
+
+
+def recover(spark: SparkSession, parent: str) -> list[str]:
+    """Finish the committed publications of a folder that were stopped; returns their targets."""
+    fs = _FS(spark, parent)
+    done = []
+    for folder in sorted(fs.children(parent)):
+        if _name(folder).startswith(PUBLISHING) and fs.exists(f"{folder}/{JOURNAL}"):
+            done += _finish(fs, folder)
+    return done
+
+
+def _finish(fs: _FS, folder: str) -> list[str]:
+    moves = json.loads(fs.read(f"{folder}/{JOURNAL}"))
+    for i, (staged, target) in enumerate(moves):
+        if not fs.exists(f"{folder}/cleared-{i}"):
+            fs.delete(target)
+            fs.write(f"{folder}/cleared-{i}", "")  # from now on all of the target is new
+        _move(fs, staged, target)
+    fs.delete(folder)
+    return [target for _, target in moves]
+
+
+def _move(fs: _FS, source: str, target: str) -> None:
+    """Move a folder; of one that was moved in part, what is left."""
+    if not fs.exists(source):
+        return
+    if not fs.exists(target):
+        fs.rename(source, target)
+        return
+    for child in fs.children(source):
+        if fs.is_dir(child):
+            _move(fs, child, f"{target}/{_name(child)}")
+        else:
+            fs.delete(f"{target}/{_name(child)}")
+            fs.rename(child, f"{target}/{_name(child)}")
+    fs.delete(source)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as parquet at ``path`` (a directory named ``*.parquet``) atomically."""
-    if not path.rstrip("/").endswith(".parquet"):
-        raise ValueError(f"parquet output path must end with .parquet: {path}")
-    spark = df.sparkSession
-    fs = _FS(spark, path)
-    fs.mkdirs(_parent(path))
-    staged = f"{_parent(path)}/.{_name(path)}-staging-{uuid.uuid4().hex}"
-    try:
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(staged)
-        _swap(fs, staged, path)
-    finally:
-        fs.delete(staged)
-    return path
+    """Write ``df`` as parquet at ``path`` (a directory named ``*.parquet``), all or nothing."""
+    path = path.rstrip("/")
+    if not path.endswith(".parquet"):
+        raise ValueError(f"a parquet output is named *.parquet: {path}")
+
+    def build(folder: str) -> dict[str, str]:
+        df.write.partitionBy(*(partition_by or [])).parquet(f"{folder}/{_name(path)}")
+        return {path: f"{folder}/{_name(path)}"}
+
+    return publish(df.sparkSession, _parent(path), build)[0]
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """A small result as one headed CSV part inside directory ``path``, atomically."""
+    """A small result as one headed CSV part inside directory ``path``, all or nothing."""
     return write_csvs({path: df})[0]
 
 
 def write_csvs(reports: Mapping[str, DataFrame]) -> list[str]:
-    """Small results as headed CSVs, replaced together.
+    """Small results of one folder as headed CSVs, replaced together."""
+    first = next(iter(reports))
 
-    All are staged first, so a report that fails to compute leaves every old file; a
-    move that fails puts the files already replaced back.
-    """
-    moves: list[tuple[_FS, str, str, str]] = []
-    done: list[tuple[_FS, str, str]] = []
-    try:
+    def build(folder: str) -> dict[str, str]:
         for path, df in reports.items():
-            fs = _FS(df.sparkSession, path)
-            fs.mkdirs(_parent(path))
-            tag = f"{_parent(path)}/.{_name(path)}-{uuid.uuid4().hex}"
-            moves.append((fs, f"{tag}-staging", path, f"{tag}-old"))
-            df.coalesce(1).write.mode("errorifexists").option("header", True).csv(f"{tag}-staging")
-        for fs, staged, path, old in moves:
-            if fs.exists(path):
-                fs.rename(path, old)
-            done.append((fs, path, old))
-            fs.rename(staged, path)
-    except Exception:
-        for fs, path, old in reversed(done):
-            fs.delete(path)
-            if fs.exists(old):
-                fs.rename(old, path)
-        raise
-    finally:
-        for fs, staged, _, _ in moves:
-            fs.delete(staged)
-    for fs, _, _, old in moves:
-        fs.delete(old)
-    return list(reports)
+            df.coalesce(1).write.option("header", True).csv(f"{folder}/{_name(path)}")
+        return {path: f"{folder}/{_name(path)}" for path in reports}
+
+    return publish(reports[first].sparkSession, _parent(first), build)
 
 
 def fanout_file_name(base_model: F.Column, forecast_date: F.Column, metric: F.Column) -> F.Column:
@@ -147,66 +183,83 @@ def fanout_file_name(base_model: F.Column, forecast_date: F.Column, metric: F.Co
     return F.concat(F.lit("Hisco"), label, F.lit("_"), F.date_format(forecast_date, "yyyyMM"), F.lit("_"), metric)
 
 
+#: What a fanout needs: the columns that name its file, of these types, and those of the file.
+FANOUT_TYPES = {"forecast_date": (T.DateType, T.TimestampType, T.TimestampNTZType), "base_model": (T.StringType,), "metric": (T.StringType,)}
+
+
+def _fanout_rows(name: str, df: DataFrame) -> DataFrame:
+    found = {f.name: f.dataType for f in df.schema.fields}
+    problems = [f"no column {c}" for c in [*FANOUT_TYPES, *FANOUT_FILE_COLUMNS] if c not in found]
+    problems += [f"{c} is {found[c].simpleString()}" for c, kinds in FANOUT_TYPES.items() if c in found and not isinstance(found[c], kinds)]
+    if problems:
+        raise ValueError(f"{name} can't be fanned out: {', '.join(problems)}")
+    date = F.to_date("forecast_date")
+    return df.select(fanout_file_name(F.col("base_model"), date, F.col("metric")).alias("_file"), date.alias("_date"), *FANOUT_FILE_COLUMNS)
+
+
 def write_fanout_partitions(fanouts: Mapping[str, DataFrame], marts_dir: str) -> list[str]:
     """One 8-column parquet per (forecast date, base model, metric), named like
     ``HiscoAIR_202601_euws_override.parquet``, published together as ``marts_dir``.
 
-    All fanouts are written in one partitioned pass to a staging directory, which then
-    replaces ``marts_dir`` in one swap: a failure keeps all files of the earlier run, a
-    success none. Two forecast dates of one month share a name and are rejected.
+    All fanouts are staged in one partitioned pass; the folder then replaces ``marts_dir``:
+    a failure keeps all files of the earlier run, a success none. Two forecast dates of one
+    month share a name and are rejected.
     """
-    if not fanouts:
-        raise ValueError("fanout_partitions: fanouts must not be empty")
-    frames = []
-    for name, df in fanouts.items():
-        missing = [c for c in ["forecast_date", "base_model", "metric", *FANOUT_FILE_COLUMNS] if c not in df.columns]
-        if missing:
-            raise ValueError(f"fanout_partitions: fanout '{name}' missing required columns {missing}")
-        frames.append(df.select(
-            fanout_file_name(F.col("base_model"), F.col("forecast_date"), F.col("metric")).alias("_file"),
-            F.col("forecast_date").alias("_date"), *FANOUT_FILE_COLUMNS,
-        ))
-    union = frames[0]
-    for f in frames[1:]:
+    rows = [_fanout_rows(name, df) for name, df in fanouts.items()]
+    if not rows:
+        raise ValueError("there is no fanout to write")
+    union = rows[0]
+    for f in rows[1:]:
         union = union.unionByName(f)
-    spark = union.sparkSession
+    spark, marts_dir = union.sparkSession, marts_dir.rstrip("/")
     fs = _FS(spark, marts_dir)
-    staged = f"{_parent(marts_dir)}/.{_name(marts_dir)}-fanout-{uuid.uuid4().hex}"
-    published: list[str] = []
-    try:
+    names: list[str] = []
+
+    def build(folder: str) -> dict[str, str]:
         # Rebalanced by file, so that parts are of even size however many tasks there are;
         # AQE splits a large file over several tasks. Each published ``*.parquet`` is a
         # directory of parts, like every other output.
-        union.hint("rebalance", "_file").write.mode("errorifexists").partitionBy("_file", "_date").parquet(f"{staged}/parts")
-        fs.mkdirs(f"{staged}/marts")
-        for part in sorted(c for c in fs.children(f"{staged}/parts") if _name(c).startswith("_file=")):
+        union.hint("rebalance", "_file").write.partitionBy("_file", "_date").parquet(f"{folder}/parts")
+        fs.mkdirs(f"{folder}/marts")
+        for part in sorted(c for c in fs.children(f"{folder}/parts") if _name(c).startswith("_file=")):
             file_name = _name(part).split("=", 1)[1] + ".parquet"
             dates = [c for c in fs.children(part) if _name(c).startswith("_date=")]
             if len(dates) > 1:
-                raise ValueError(f"fanout_partitions: {len(dates)} forecast dates share the file {file_name}")
-            fs.rename(dates[0], f"{staged}/marts/{file_name}")
-            published.append(f"{marts_dir.rstrip('/')}/{file_name}")
-        _swap(fs, f"{staged}/marts", marts_dir.rstrip("/"))
-    finally:
-        fs.delete(staged)
-    return published
-
-
-def write_wide(main_long_df: DataFrame, dialsup_long_df: DataFrame, path: str) -> str:
-    """Dates (A10), pivot (A8) with the duplicate-grain check (A9) folded into the
-    same aggregation: the pivot counts rows per cell; the result is persisted, checked,
-    written without the count, then released."""
-    source = WD.wide_source(main_long_df, dialsup_long_df)
-    dates = WD.forecast_months(source)
-    pivot = WD.wide_pivot(source, dates, with_grain_check=True).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        dup = pivot.where(F.col("_grain_rows") > 1).limit(1).count()
-        if dup:
-            WD.raise_on_duplicate_grain(source)
-        write_parquet(pivot.drop("_grain_rows"), path)
-    finally:
-        pivot.unpersist()
-    return path
+                raise ValueError(f"{len(dates)} forecast dates share the file {file_name}")
+            fs.rename(dates[0], f"{folder}/marts/{file_name}")
+            names.append(f"{marts_dir}/{file_name}")
+        return {marts_dir: f"{folder}/marts"}
+
+    publish(spark, _parent(marts_dir), build)
+    return names
+
+
+def write_wide(main_long_df: DataFrame, dialsup_long_df: DataFrame, path: str, candidates: list[str]) -> str:
+    """Pivot (A8), grain check (A9) and dates present (A10) in one pass with one shuffle.
+
+    The pivot over the candidate dates is written to a staging folder while its duplicates
+    and the rows of each date are observed. Duplicates leave the target as it was. Columns
+    of dates without rows are left out by a second, shuffle-free copy, if there are any.
+    """
+    candidates = WD.check_months(candidates)
+    pivot = WD.wide_pivot(WD.wide_source(main_long_df, dialsup_long_df), candidates, grain=True)
+    spark, seen = pivot.sparkSession, Observation()
+    watched = [c for c in pivot.columns if c.startswith(("_dup_", "_rows_"))]
+    pivot = pivot.observe(seen, *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in watched]).drop(*watched)
+
+    def build(folder: str) -> dict[str, str]:
+        pivot.write.parquet(f"{folder}/all")
+        counts = seen.get
+        duplicates = {m: counts[f"_dup_{m}"] for m in WD.WIDE_METRICS}
+        if any(duplicates.values()):
+            raise WD.grain_error(duplicates)
+        dates = WD.check_months([d for d in candidates if counts[f"_rows_{d}"]])
+        if dates == candidates:
+            return {path: f"{folder}/all"}
+        spark.read.parquet(f"{folder}/all").select(*WD.wide_columns(dates)).write.parquet(f"{folder}/present")
+        return {path: f"{folder}/present"}
+
+    return publish(spark, _parent(path), build)[0]
 
 
 def write_debug(layers: Mapping[str, Mapping[str, DataFrame]], debug_dir: str) -> list[str]:
@@ -237,6 +290,8 @@ def register_tables(tables, persist_as_tables: bool = False) -> list[str]:
 
 
 def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A published output, after finishing a publication that was stopped."""
+    recover(spark, _parent(path))
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -244,6 +299,6 @@ def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 __all__ = [
-    "write_parquet", "write_csv", "write_csvs", "write_fanout_partitions", "write_wide", "write_debug",
-    "register_tables", "read_parquet", "SC",
+    "publish", "read_parquet", "recover", "register_tables", "write_csv", "write_csvs", "write_debug", "write_fanout_partitions",
+    "write_parquet", "write_wide",
 ]

@@ -122,9 +122,10 @@ def risklink_ylt(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def verisk_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def verisk_events(spark: SparkSession, sf_dir: str, repeat: bool = False) -> DataFrame:
+    """The event catalogue; ``repeat`` lists a tenth of the events twice."""
     li = _table(spark, sf_dir, "lineitem").where(F.col("l_orderkey") % 7 != 0)
-    return li.select(
+    events = li.select(
         (F.lit(VERISK_EVENT_BASE) + F.col("l_orderkey") * 2 + F.col("l_linenumber") % 2)
         .cast("long")
         .alias("EventID"),
@@ -133,6 +134,7 @@ def verisk_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1) + F.col("l_orderkey") % VERISK_YEARS_MOD).cast("long").alias("Year"),
         (F.lit(1) + F.col("l_orderkey") % 365).cast("long").alias("Day"),
     ).distinct()
+    return events.unionByName(events.where(F.col("Event") % 10 == 1)) if repeat else events
 
 
 def risklink_flood_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,10 +258,11 @@ def bridge_inputs(
     *,
     lob_mod: int = VERISK_LOB_MOD,
     include_unmapped: bool = True,
+    repeat_events: bool = False,
 ) -> RunInputs:
     """All run inputs derived from the test tables under ``sf_dir``."""
     seeds = literal_seeds(spark)
-    seeds["verisk_events"] = verisk_events(spark, sf_dir)
+    seeds["verisk_events"] = verisk_events(spark, sf_dir, repeat_events)
     seeds["risklink_flood22_model_events"] = risklink_flood_events(spark, sf_dir)
     seeds["euws_rate_factors"] = euws_rate_factors(spark, sf_dir)
     return RunInputs(

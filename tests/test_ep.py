@@ -85,3 +85,34 @@ def test_vendor_join_full_outer_semantics(spark):
     # null keys never match: the two null-lob rows stay apart; an all-null group sums to 0.0
     assert out == sorted([("A", "AAL", 2.0, 3.0), ("A", "OEP", None, 0.0),
                           (None, "AAL", 7.0, None), (None, "AAL", None, 5.0)], key=str)
+
+
+def _cells(spark, n=400):
+    """EP rows of both vendors with one cell that holds a third of them, tied and null priorities, and null keys."""
+    recs = []
+    for i in range(n):
+        cell = 0 if i % 3 == 0 else i % 11
+        peril = f"P{i % 5}" if i % 17 else None
+        recs.append(dict(
+            vendor="verisk" if i % 2 else "risklink", analysis_id=str(i), modelled_lob=f"L{cell}", modelled_peril=peril, ep_type=("AAL", "OEP")[i % 2 == i % 4], return_period=(0, 200)[i % 7 == 0],
+            loss=None if i % 13 == 0 else float(i), rollup_lob=None if i % 29 == 0 else f"R{cell}", rollup_peril=f"Q{cell % 2}", region_peril_id=cell % 3 or None,
+            blend_subregion_peril_id="a", base_model="verisk" if i % 5 else None, selection_priority=(99, 1, 2, 1, 99)[i % 5], is_dialsup=i % 2, is_euws=0))
+    return rows(spark, SC.EP_ENRICHED, recs)
+
+
+def test_winners_by_cell_equal_winners_by_row(spark):
+    enriched = _cells(spark).repartition(5)
+    by_row = EP.vendor_joined(EP.select_main_perils(enriched))
+    by_cell = EP.vendor_joined(EP.winning_losses(EP.cell_losses(enriched)))
+    assert by_row.count() > 20 and sorted(map(str, by_row.collect())) == sorted(map(str, by_cell.collect()))
+
+
+def test_vendors_are_aligned_within_one_partitioning(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = EP.vendor_joined(EP.winning_losses(EP.cell_losses(_cells(spark))))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [x for x in plan.splitlines() if "Exchange " in x]
+    # the map-side sums' exchange, then one by cell for choice and alignment; no join
+    assert len(exchanges) == 2 and "hashpartitioning(rollup_lob" in exchanges[0] and "REPARTITION_BY_COL" in exchanges[0] and "Join" not in plan

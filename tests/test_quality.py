@@ -1,10 +1,13 @@
 """Wide->long EP conversion (U12), coverage (U15), gate, input AAL, declarative rules."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from catloss import schemas as SC
 from catloss.inputs import RunInputs, check_seeds
+from catloss.operators import contracts as CT
 from catloss.operators import ep_convert as EC
 from catloss.operators import quality as QL
 from catloss.params import RunParams
@@ -97,3 +100,62 @@ def test_rules_count_violations(spark):
     assert got[("schema_matches", "n")] == 0 and got[("schema_matches", "missing")] == 1
     assert got[("not_null", "vendor_blank")] == 1 and got[("valid_range", "loss")] == 1
     assert got[("valid_values", "vendor")] == 1
+
+
+FILE = """
+rules:
+  - code: FACTORS_SCHEMA
+    checks:
+      - type: schema_matches
+        mode: castable
+        allow_extra_columns: false
+        columns: {id: int64, share: float64, flag: int64, day: date}
+  - code: FACTORS_REQUIRED
+    checks:
+      - type: not_null
+        columns: [id, share]
+  - code: FACTORS_SHARE
+    checks:
+      - {type: valid_range, columns: [share], min: 0, max: 1}
+  - code: FACTORS_FLAG
+    column: flag
+    checks:
+      - {type: valid_values, values: ["0", "1"]}
+"""
+
+
+def test_rule_files_compile_to_counts_and_rows(spark, tmp_path):
+    (tmp_path / "rules.yml").write_text(FILE)
+    contract = CT.read_contract(spark, str(tmp_path / "rules.yml"), "factors")
+    df = spark.createDataFrame([
+        ("1", "0.5", "1", "2026-01-01", "a"), ("two", "1.5", "2", "soon", "b"), (" ", None, "", None, "c"), (None, "-1", None, "2026-02-30", "d"),
+    ], "id string, share string, flag string, day string, note string")
+    counts = {(r.code, r.check, r.column): r.violations for r in CT.evaluate_contract(df, contract).collect()}
+    assert {k: n for k, n in counts.items() if n} == {
+        ("FACTORS_SCHEMA", "schema_matches", "note"): 1, ("FACTORS_SCHEMA", "schema_castable", "id"): 2, ("FACTORS_SCHEMA", "schema_castable", "flag"): 1,
+        ("FACTORS_SCHEMA", "schema_castable", "day"): 2, ("FACTORS_REQUIRED", "not_null", "id"): 2, ("FACTORS_REQUIRED", "not_null", "share"): 1,
+        ("FACTORS_SHARE", "valid_range", "share"): 2, ("FACTORS_FLAG", "valid_values", "flag"): 2,
+    }
+    rows = CT.violations(df, contract, "note").collect()
+    found = Counter((r.code, r.check, r.column) for r in rows)
+    assert found == {k: n for k, n in counts.items() if n and k[1] != "schema_matches"}
+    assert {(r.key, r.value) for r in rows if r.check == "valid_range"} == {("b", "1.5"), ("d", "-1")}
+    plan = CT.violations(df, contract, "note")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_typed_columns_keep_their_rules(spark):
+    df = spark.createDataFrame([(1, 0.5, 0, None), (2, 2.0, 3, None)], "id long, share double, flag long, day date")
+    counts = {(r.check, r.column): r.violations for r in CT.evaluate_contract(df, CT.parse_contract(FILE, "factors")).collect()}
+    assert counts["valid_range", "share"] == 1 and counts["valid_values", "flag"] == 1 and sum(counts.values()) == 2
+
+
+@pytest.mark.parametrize("text", ["rules: [{code: X, checks: [{type: unique, columns: [a]}]}]", "rules: [{code: X, checks: [{type: not_null}]}]",
+                                  "rules: [{code: X, checks: [{type: schema_matches, columns: {a: money}}]}]"])
+def test_rule_files_with_unknown_rules_are_rejected(text):
+    with pytest.raises(ValueError, match="X"):
+        CT.parse_contract(text, "t")
+
+
+def test_twelve_contracts():
+    assert len(CT.CONTRACTS) == 12 and CT.parse_contract("", "t").rules == ()

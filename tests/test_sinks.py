@@ -1,5 +1,7 @@
 """Atomic publishing, fanout partitions and the end-to-end run."""
 
+import contextlib
+import json
 import os
 import tempfile
 
@@ -55,7 +57,7 @@ def test_end_to_end_run_publishes_every_output(spark):
 
 def test_blocking_coverage_stops_the_run(spark):
     inputs = B.bridge_inputs(spark, SF_SMALL)  # LOB5 / LOB9 are unmapped on purpose
-    with pytest.raises(ValueError, match="input validation failed"):
+    with pytest.raises(ValueError, match="without a seed mapping"):
         PL.run(spark, inputs, _tmp())
 
 
@@ -137,3 +139,90 @@ def test_window_and_range_runs_publish_the_same_marts(spark):
     for path_a, path_b in [(a.mts_combined, b.mts_combined), (a.mts_dialsup, b.mts_dialsup), (a.mts_wide, b.mts_wide)]:
         da, db = spark.read.parquet(path_a), spark.read.parquet(path_b)
         assert da.exceptAll(db).count() == 0 and db.exceptAll(da).count() == 0
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(12))
+def test_a_publication_that_stops_leaves_old_or_new_outputs(spark, monkeypatch, step):
+    out = _tmp()
+    a, b = os.path.join(out, "a.csv"), os.path.join(out, "b.csv")
+    W.write_csvs({a: spark.range(2), b: spark.range(3)})
+    calls = [0]
+
+    def counted(name):
+        real = getattr(W._FS, name)
+
+        def call(self, *args):
+            calls[0] += 1
+            if calls[0] > step:
+                raise Stop
+            return real(self, *args)
+
+        return call
+
+    with monkeypatch.context() as m:
+        for name in ("rename", "delete", "write"):
+            m.setattr(W._FS, name, counted(name))
+        with pytest.raises(Stop) if step < 9 else contextlib.nullcontext():
+            W.write_csvs({a: spark.range(5), b: spark.range(6)})
+    W.recover(spark, out)
+    read = lambda p: spark.read.option("header", True).csv(p).count()
+    assert (read(a), read(b)) == ((2, 3) if step < 2 else (5, 6))
+    W.write_csvs({a: spark.range(7), b: spark.range(8)})
+    assert (read(a), read(b)) == (7, 8)
+
+
+def test_a_folder_moved_in_part_is_completed(spark):
+    out = _tmp()
+    path = os.path.join(out, "x.parquet")
+    W.write_parquet(spark.range(40).repartition(4), path)
+    folder = os.path.join(out, W.PUBLISHING + "1")
+    os.makedirs(os.path.join(folder, "x.parquet"))
+    moved = sorted(n for n in os.listdir(path) if n.startswith("part-"))[:2]
+    for n in moved:
+        os.rename(os.path.join(path, n), os.path.join(folder, "x.parquet", n))
+    fs = W._FS(spark, out)
+    fs.write(f"{folder}/cleared-0", "")
+    fs.write(f"{folder}/{W.JOURNAL}", json.dumps([[f"{folder}/x.parquet", path]]))
+    assert sorted(r.id for r in W.read_parquet(spark, path).collect()) == list(range(40)) and os.listdir(out) == ["x.parquet"]
+
+
+def _wide_rows(spark, dates, times=1):
+    from catloss import schemas as SC
+    from tests.conftest import ranked_row, rows
+    main = [dict(ranked_row(), metric="euws_override", forecast_date=d, loss=10.0, target_currency="EUR", output_use="cds_main") for d in dates] * times
+    dial = [dict(ranked_row(), metric="dialsup_localccy_forecast", forecast_date=d, loss=5.0, target_currency="EUR", output_use="cds_dialsup") for d in dates]
+    return rows(spark, SC.MAIN_LONG, main), rows(spark, SC.DIALSUP_LONG, dial)
+
+
+def test_wide_sink_observes_duplicates_and_dates_in_one_shuffle(spark):
+    import datetime as dt
+    path = os.path.join(_tmp(), "wide.parquet")
+    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 7, 1)
+    W.write_wide(*_wide_rows(spark, [d1, d2]), path, ["2026-07-01", "2026-01-01"])
+    first = W.read_parquet(spark, path)
+    assert [c for c in first.columns if c.endswith("_loss")] == [f"{m}_{x}_loss" for m in ("euws_override", "dialsup_localccy_forecast") for x in ("202601", "202607")]
+    assert first.count() == 1 and not any(c.startswith("_") for c in first.columns)
+    with pytest.raises(ValueError, match="2 duplicate grain rows of euws_override"):
+        W.write_wide(*_wide_rows(spark, [d1, d2], times=2), path, ["2026-01-01", "2026-07-01"])
+    with pytest.raises(ValueError, match="no forecast date"):
+        W.write_wide(*_wide_rows(spark, []), path, ["2026-01-01"])
+    assert W.read_parquet(spark, path).count() == 1
+    W.write_wide(*_wide_rows(spark, [d2]), path, ["2026-01-01", "2026-07-01"])  # a date without rows has no column
+    assert [c for c in W.read_parquet(spark, path).columns if c.endswith("_loss")] == ["euws_override_202607_loss", "dialsup_localccy_forecast_202607_loss"]
+    from catloss.operators import wide as WD
+    plan = WD.wide_pivot(WD.wide_source(*_wide_rows(spark, [d1])), ["2026-01-01"], grain=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fanout_input_is_checked(spark):
+    marts = os.path.join(_tmp(), "marts")
+    with pytest.raises(ValueError, match="no column ModelYOA"):
+        W.write_fanout_partitions({"a": _fanout(spark, ["2026-01-01"]).drop("ModelYOA")}, marts)
+    with pytest.raises(ValueError, match="forecast_date is string"):
+        W.write_fanout_partitions({"a": _fanout(spark, ["2026-01-01"]).withColumn("forecast_date", F.lit("2026-01-01"))}, marts)
+    with pytest.raises(ValueError, match="no fanout"):
+        W.write_fanout_partitions({}, marts)
