@@ -17,15 +17,17 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Unicode-aware leading/trailing whitespace (Spark's trim removes spaces only).
-_EDGE_WS = r"(?U)^\s+|\s+$"
 # Number text accepted by the loss parser (after commas and spaces are removed).
 _NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 
 
+# Fixed value: the characters that Unicode calls white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_ws(x: ColumnOrName) -> Column:
-    """Strip leading and trailing whitespace of a string column (keeps null)."""
-    return F.regexp_replace(_c(x).cast("string"), _EDGE_WS, "")
+    """Strip Unicode white space at both ends of a string column (Spark's plain ``trim`` strips blanks only); keeps null."""
+    return F.btrim(_c(x).cast("string"), F.lit(WHITE_SPACE))
 
 
 def ieee_div(a: ColumnOrName, b: ColumnOrName) -> Column:

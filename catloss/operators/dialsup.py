@@ -14,7 +14,7 @@ from catloss import schemas as SC
 from catloss.functions.exprs import ieee_div
 from catloss.functions.joins import bounded_broadcast
 from catloss.operators import lookups as LK
-from catloss.operators.main_stream import indexed
+from catloss.operators.main_stream import indexed, level
 
 DIALSUP_STAGES = ("dialsup_original", "dialsup_localccy", "dialsup_localccy_forecast")
 FINAL_DIALSUP_METRIC = "dialsup_localccy_forecast"
@@ -63,30 +63,30 @@ def dialsup_metric_stream(
     dates: DataFrame,
     factors: DataFrame,
     stages: tuple[str, ...] = DIALSUP_STAGES,
+    single: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """The three dialsup metrics in one pass (same rows as the union of ``dialsup_metric``).
 
-    Catalogue matches (left), FX rates (inner) and forecast dates are exploded with
-    ``inline`` so every level lands as flat columns; each leaf row emits the metrics.
+    Catalogue matches (left), FX rates (inner), forecast dates and factors are levels of one
+    row a match (``main_stream.level``); each leaf row emits the metrics. ``single`` names the
+    lookups known to hold one match a key at most.
     """
     base_cols = [c for c in SC.names(SC.YLT_RANKED) if c not in ("loss", "metric")]
     extra = [c for c in ranked_with_catalogue.columns if c not in SC.names(SC.YLT_RANKED) and c != "_cat"]
     x = ranked_with_catalogue.join(LK.fx_lookup(fx), "currency", "inner").crossJoin(LK.dates_lookup(dates))
     keep = [*base_cols, *extra, "loss", "_fx", "_dates"]
-    x = x.select(*keep, F.inline(indexed(
-        F.coalesce(F.col("_cat"), LK.no_catalogue_match()), "_cp",
-        model_event_id=lambda c: c.model_event_id, event_day=lambda c: c.event_day,
-    )))
+    x = level(
+        x, keep, F.coalesce(F.col("_cat"), LK.no_catalogue_match()), "_cp", "catalogue" in single,
+        model_event_id=lambda c: c.model_event_id, event_day=lambda c: c.event_day)
     keep = [k for k in keep if k != "_fx"] + ["model_event_id", "event_day"]
-    x = x.select(*keep, F.inline(indexed(
-        F.col("_fx"), "_fp", _fx_tc=lambda f: f.target_currency, fx_rate_date=lambda f: f.fx_rate_date,
-        fx_rate=lambda f: f.fx_rate,
-    )))
+    x = level(
+        x, [*keep, "_dates"], F.col("_fx"), "_fp", "fx" in single,
+        _fx_tc=lambda f: f.target_currency, fx_rate_date=lambda f: f.fx_rate_date, fx_rate=lambda f: f.fx_rate)
     keep = [k for k in keep if k != "_dates"] + ["_fx_tc", "fx_rate_date", "fx_rate"]
     x = x.select(*keep, F.inline(indexed(F.col("_dates"), "_dp", forecast_date=lambda d: d)))
     keep = [*keep, "forecast_date"]
     x = x.join(LK.factors_lookup(factors, date_col="forecast_date"), ["class", "office", "forecast_date"], "left")
-    x = x.select(*keep, F.inline_outer(indexed(F.col("_ff"), "_gp", _g=lambda g: g)))
+    x = level(x, keep, F.col("_ff"), "_gp", "factors" in single, _g=lambda g: g)
     factor = F.coalesce(F.col("_g"), F.lit(1.0))
     local = ieee_div("loss", "fx_rate")
 
@@ -100,5 +100,8 @@ def dialsup_metric_stream(
     }
     chosen = [s for name, s in emit.items() if name in stages]
     out_keep = [k for k in keep if k not in ("loss", "_fx_tc")]
-    out = x.select(*out_keep, F.inline(F.array(*chosen)))
+    if len(chosen) == 1:
+        out = x.select(*out_keep, chosen[0].alias("_s")).select(*out_keep, "_s.*")
+    else:
+        out = x.select(*out_keep, F.inline(F.array(*chosen)))
     return out.select(*[F.col(fl.name).cast(fl.dataType) for fl in SC.DIALSUP_METRIC.fields], *extra)

@@ -10,6 +10,9 @@ it is too large to broadcast.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +58,30 @@ def attach_catalogue(ranked: DataFrame, verisk_events: DataFrame, euws_factors:
     return ranked.join(cat, CAT_KEYS, "left")
 
 
+def written_catalogue(verisk_events: DataFrame, euws_factors: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, bool]:
+    """The catalogue lookup as a written table, and whether it is within the broadcast bound.
+
+    Rows whose join keys hold a null are left out: they match nothing.
+    """
+    listed = verisk_events.dropna(subset=CAT_KEYS)
+    known = euws_factors.where(F.col("model_event_id").isNotNull())
+    cat = write(catalogue_lookup(listed, known), "catalogue")
+    return cat, is_bounded(cat)
+
+
+def join_catalogue(rows: DataFrame, cat: DataFrame) -> DataFrame:
+    """J12 by a shuffle, of the rows that can match only.
+
+    Rows with a null key (all risklink rows: they have no model code) and, where the Bloom
+    filter of Spark applies, rows of events that the catalogue doesn't list stay where they are.
+    """
+    can = F.lit(True)
+    for k in CAT_KEYS:
+        can = can & F.col(k).isNotNull()
+    none = F.lit(None).cast(cat.schema["_cat"].dataType)
+    return rows.where(can).join(cat, CAT_KEYS, "left").unionByName(rows.where(~can).withColumn("_cat", none))
+
+
 def targets_lookup(targets: DataFrame) -> DataFrame:
     """J8 lookup: 6 keys -> array of (diagnostics, uplift)."""
     t = targets.select(
@@ -97,6 +124,18 @@ def overrides_lookup(overrides: DataFrame) -> DataFrame:
     return bounded_broadcast(g)
 
 
+def single_lookups(targets: DataFrame, fx: DataFrame, factors: DataFrame, overrides: DataFrame, cat: DataFrame) -> frozenset[str]:
+    """Which lookups hold at most one match for every key, from one job over them."""
+    several = {
+        "targets": targets.groupBy("rollup_lob", "rollup_peril", "region_peril_id", "blend_subregion_peril_id", "return_period", "base_model").count(),
+        "fx": fx.groupBy("currency").count(), "factors": factors.groupBy("class", "office", "forecast_date").count(),
+        "overrides": overrides.groupBy("rollup_lob").count(), "catalogue": cat.select(F.size("_cat").alias("count")),
+        "event_factors": cat.select(F.array_max(F.transform("_cat", lambda c: F.coalesce(F.size(c.factors), F.lit(0)))).alias("count")),
+    }
+    found = [df.where(F.col("count") > 1).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in several.items()]
+    return frozenset(r["name"] for r in functools.reduce(DataFrame.unionByName, found).collect() if not r["n"])
+
+
 def first_or_none(*positions: str) -> F.Column:
     """True on the single row where every exploded position is null or 0."""
     cond = F.lit(True)

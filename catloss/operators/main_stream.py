@@ -111,6 +111,18 @@ def indexed(arr: F.Column, pos: str, **fields) -> F.Column:
     return F.transform(arr, lambda x, i: F.struct(i.alias(pos), *[fn(x).alias(n) for n, fn in fields.items()]))
 
 
+def level(x: DataFrame, keep: list[str], arr: F.Column, pos: str, single: bool, **fields) -> DataFrame:
+    """One row per match in ``arr``: columns ``keep``, the match's position and ``fields``; without a match one row of nulls.
+
+    Where the lookup holds one match a key at most (``single``), that is a projection;
+    else the matches are exploded.
+    """
+    if not single:
+        return x.select(*keep, F.inline_outer(indexed(arr, pos, **fields)))
+    match = F.get(arr, F.lit(0))
+    return x.select(*keep, F.when(F.size(arr) > 0, F.lit(0)).alias(pos), *[fn(match).alias(n) for n, fn in fields.items()])
+
+
 def _stage(metric: str, loss: F.Column, *, diag: bool = False, ccy=None, date=None, cat: bool = False,
            raw=None, lfl=None) -> F.Column:
     def n(t):
@@ -139,6 +151,7 @@ def main_metric_stream(
     factors: DataFrame,
     overrides: DataFrame,
     stages: tuple[str, ...] = MAIN_STAGES,
+    single: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """All main stages from ranked rows that carry the ``_cat`` catalogue array.
 
@@ -146,7 +159,8 @@ def main_metric_stream(
     position 0 of every deeper level, so each stage row appears exactly once):
     targets -> original/blended; fx rates -> localccy; forecast dates x factor rows
     -> localccy_forecast; catalogue matches x euws factors -> euws; overrides ->
-    euws_override. ``stages`` limits which metrics are emitted.
+    euws_override. ``stages`` limits which metrics are emitted. ``single`` names the lookups
+    known to hold one match a key at most (``lookups.single_lookups``), which need no explode.
     """
     base_cols = [c for c in SC.names(SC.YLT_RANKED) if c not in ("loss", "metric")]
     extra = [c for c in ranked_with_catalogue.columns if c not in SC.names(SC.YLT_RANKED) and c != "_cat"]
@@ -157,39 +171,26 @@ def main_metric_stream(
         .crossJoin(LK.dates_lookup(dates))
     )
     keep = [*base_cols, *extra, "loss", "_cat", "_fx", "_ovr", "_dates"]
-    x = x.select(*keep, F.inline_outer(indexed(
-        F.col("_targets"), "_tp",
-        _t_rl=lambda t: t.risklink_blended_contribution,
-        _t_vk=lambda t: t.verisk_blended_contribution,
-        _t_up=lambda t: t.uplift_factor_on_base_model,
-    )))
+    x = level(
+        x, keep, F.col("_targets"), "_tp", "targets" in single,
+        _t_rl=lambda t: t.risklink_blended_contribution, _t_vk=lambda t: t.verisk_blended_contribution, _t_up=lambda t: t.uplift_factor_on_base_model)
     keep = [*keep, "_tp", "_t_rl", "_t_vk", "_t_up"]
-    x = x.select(*keep, F.inline_outer(indexed(
-        F.when(F.col("_tp").isNotNull(), F.col("_fx")), "_fp", _fx_rate=lambda f: f.fx_rate,
-    )))
+    x = level(x, keep, F.when(F.col("_tp").isNotNull(), F.col("_fx")), "_fp", "fx" in single, _fx_rate=lambda f: f.fx_rate)
     keep = [k for k in keep if k != "_fx"] + ["_fp", "_fx_rate"]
-    x = x.select(*keep, F.inline_outer(indexed(
-        F.when(F.col("_fp").isNotNull(), F.col("_dates")), "_dp", _d=lambda d: d,
-    )))
+    x = level(x, keep, F.when(F.col("_fp").isNotNull(), F.col("_dates")), "_dp", False, _d=lambda d: d)
     keep = [k for k in keep if k != "_dates"] + ["_dp", "_d"]
     x = x.join(LK.factors_lookup(factors), ["class", "office", "_d"], "left")
-    x = x.select(*keep, F.inline_outer(indexed(
-        F.when(F.col("_dp").isNotNull(), F.col("_ff")), "_gp", _g=lambda g: g,
-    )))
+    has_date = F.col("_dp").isNotNull()
+    x = level(x, keep, F.when(has_date, F.col("_ff")), "_gp", "factors" in single, _g=lambda g: g)
     keep = [*keep, "_gp", "_g"]
-    x = x.select(*keep, F.inline_outer(indexed(
-        F.when(F.col("_dp").isNotNull(), F.coalesce(F.col("_cat"), LK.no_catalogue_match())), "_cp",
-        _c_event=lambda c: c.model_event_id, _c_day=lambda c: c.event_day, _c_factors=lambda c: c.factors,
-    )))
+    x = level(
+        x, keep, F.when(has_date, F.coalesce(F.col("_cat"), LK.no_catalogue_match())), "_cp", "catalogue" in single,
+        _c_event=lambda c: c.model_event_id, _c_day=lambda c: c.event_day, _c_factors=lambda c: c.factors)
     keep = [k for k in keep if k != "_cat"] + ["_cp", "_c_event", "_c_day", "_c_factors"]
-    x = x.select(*keep, F.inline_outer(indexed(
-        F.when(F.col("_dp").isNotNull(), F.col("_c_factors")), "_ep", _e=lambda e: e,
-    )))
+    x = level(x, keep, F.when(has_date, F.col("_c_factors")), "_ep", "event_factors" in single, _e=lambda e: e)
     keep = [k for k in keep if k != "_c_factors"] + ["_ep", "_e"]
-    x = x.select(*keep, F.inline_outer(indexed(
-        F.when(F.col("_dp").isNotNull(), F.col("_ovr")), "_op",
-        _o_max=lambda o: o.max_rank, _o_factor=lambda o: o.factor,
-    )))
+    x = level(
+        x, keep, F.when(has_date, F.col("_ovr")), "_op", "overrides" in single, _o_max=lambda o: o.max_rank, _o_factor=lambda o: o.factor)
 
     blended = F.col("loss") * F.col("_t_up")
     local = ieee_div(blended, F.col("_fx_rate"))
@@ -198,7 +199,6 @@ def main_metric_stream(
     euws = fc * raw
     ovr_cond = F.col("_o_factor").isNotNull() & (F.col("rnk") <= F.col("_o_max")) & (raw == 0)
     final = F.when(ovr_cond, fc * F.col("_o_factor")).otherwise(euws)
-    has_date = F.col("_dp").isNotNull()
     ccy, date = F.col("currency"), F.col("_d")
     emit = {
         "original": (LK.first_or_none("_tp", "_fp", "_dp", "_gp", "_cp", "_ep", "_op"),
@@ -214,6 +214,10 @@ def main_metric_stream(
         "euws_override": (has_date,
                           _stage("euws_override", final, diag=True, ccy=ccy, date=date, cat=True, raw=raw, lfl=fc)),
     }
+    if len(stages) == 1:  # no row emits two: a filter instead of an explode
+        cond, made = emit[stages[0]]
+        out = x.where(cond).select(*base_cols, *extra, made.alias("_s")).select(*base_cols, *extra, "_s.*")
+        return out.select(*[F.col(fl.name).cast(fl.dataType) for fl in SC.MAIN_STREAM.fields], *extra)
     chosen = [F.when(cond, s) for name, (cond, s) in emit.items() if name in stages]
     out = x.select(*base_cols, *extra, F.inline(F.filter(F.array(*chosen), lambda s: s.isNotNull())))
     return out.select(*[F.col(fl.name).cast(fl.dataType) for fl in SC.MAIN_STREAM.fields], *extra)

@@ -1,8 +1,8 @@
 """Every model of a run as lazily built, shared DataFrames.
 
-``RollupFrames`` wires the operators in dependency order. Each property builds
+``RunFrames`` wires the operators in dependency order. Each property builds
 its frame once; frames used by several consumers are derived from one ranked
-frame (both streams are ranked in a single pass, tagged by ``_stream``), so
+table (all asked streams are ranked in a single pass and written by stream), so
 queries and the full run share the same plan pieces.
 """
 
@@ -25,17 +25,26 @@ from catloss.operators import staging as ST
 from catloss.operators import wide as WD
 from catloss.operators import ylt as YL
 from catloss.params import RunParams
+from catloss.session import Scratch
 
 STREAMS = ("main", "dialsup")
 
 
-class RollupFrames:
-    def __init__(self, inputs: RunInputs, params: RunParams | None = None, materialize_scored: bool = False):
-        """``materialize_scored`` checkpoints the ranked rows even when the rank strategy
-        does not (``window``), for runs where several outputs read them."""
+class RunFrames:
+    def __init__(self, inputs: RunInputs, params: RunParams | None = None, streams: tuple[str, ...] = STREAMS):
+        """``streams`` are those that may be asked for: no other is ranked."""
         self.inputs = inputs
         self.params = params or RunParams()
-        self.materialize_scored = materialize_scored
+        self.streams = streams
+
+    @cached_property
+    def scratch(self) -> Scratch:
+        return Scratch(self.inputs.ep_summaries.sparkSession)
+
+    def close(self) -> None:
+        """Remove the intermediate tables; frames that read them can't be used any more."""
+        if "scratch" in self.__dict__:
+            self.scratch.close()
 
     # --- staging ---------------------------------------------------------------
     @cached_property
@@ -105,32 +114,36 @@ class RollupFrames:
     def base_selected(self, stream: str = "main") -> DataFrame:
         return YL.select_base_rows(self.enriched(stream), self.params)
 
+    @cached_property
+    def dimensions(self) -> DataFrame:
+        return YL.dimension_rows({s: self.ep_selected(s) for s in self.streams}, self.scratch.write)
+
+    @cached_property
+    def catalogue(self) -> tuple[DataFrame, bool]:
+        return LK.written_catalogue(self.verisk_events, self.euws_factors, self.scratch.write)
+
     @cached_property
     def scored(self) -> DataFrame:
-        """Both streams' base rows with catalogue matches, ranked in one pass.
+        """All asked streams' base rows, ranked in one pass and written by stream as narrow rows.
 
-        The catalogue join does not depend on the rank, so it runs before ranking
-        and is materialised together with the ranked rows.
+        Dimensions and the catalogue's matches are joined when they are read. A catalogue
+        beyond the broadcast bound is joined before the ranking instead, once for all readers.
         """
-        tagged = self.ep_selected("main").withColumn("_stream", F.lit("main")).unionByName(
-            self.ep_selected("dialsup").withColumn("_stream", F.lit("dialsup"))
-        )
-        enriched = YL.enrich_ylt(self.normalized, tagged, carry=["_stream"])
-        base = YL.select_base_rows(enriched, self.params, carry=["_stream"])
-        with_cat = LK.attach_catalogue(base, self.verisk_events, self.euws_factors)
-        ranked = YL.rank_events(with_cat, self.params, cell=["_stream", *YL.RANK_CELL])
-        if self.materialize_scored and self.params.rank_strategy != "range":
-            from catloss.session import ensure_checkpoint_dir
+        narrow = YL.narrow_rows(self.normalized, self.dimensions, self.params)
+        cat, small = self.catalogue
+        return YL.rank_narrow(narrow if small else LK.join_catalogue(narrow, cat), self.params, self.scratch.write)
 
-            ensure_checkpoint_dir(ranked.sparkSession)
-            ranked = ranked.checkpoint(eager=True)
-        return ranked
+    def _ranked(self, stream: str, *carry: str) -> DataFrame:
+        if stream not in self.streams:
+            raise ValueError(f"stream {stream!r} is not among those ranked: {self.streams}")
+        return YL.widen(self.scored.where(F.col("_stream") == stream), self.dimensions, self.params, carry).drop("_stream")
 
     def ranked_with_catalogue(self, stream: str) -> DataFrame:
-        return self.scored.where(F.col("_stream") == stream).drop("_stream")
+        cat, small = self.catalogue
+        return self._ranked(stream).join(F.broadcast(cat), LK.CAT_KEYS, "left") if small else self._ranked(stream, "_cat")
 
     def ranked(self, stream: str = "main") -> DataFrame:
-        return SC.conform(self.ranked_with_catalogue(stream), SC.YLT_RANKED)
+        return SC.conform(self._ranked(stream), SC.YLT_RANKED)
 
     def ranked_single(self, stream: str = "main", strategy: str | None = None) -> DataFrame:
         """One stream ranked on its own (used to cross-check the shared ranking)."""
@@ -161,12 +174,16 @@ class RollupFrames:
     def euws_override(self) -> DataFrame:
         return MS.rank_override(self.euws, self.overrides)
 
+    @cached_property
+    def single_lookups(self) -> frozenset[str]:
+        return LK.single_lookups(self.targets, self.fx, self.forecast_factors, self.overrides, self.catalogue[0])
+
     # --- fused streams ---------------------------------------------------------------
     @cached_property
     def main_stream(self) -> DataFrame:
         return MS.main_metric_stream(
             self.ranked_with_catalogue("main"), self.targets, self.fx, self.forecast_dates,
-            self.forecast_factors, self.overrides,
+            self.forecast_factors, self.overrides, single=self.single_lookups,
         )
 
     @cached_property
@@ -178,7 +195,7 @@ class RollupFrames:
     @cached_property
     def dialsup_stream(self) -> DataFrame:
         return DS.dialsup_metric_stream(
-            self.ranked_with_catalogue("dialsup"), self.fx, self.forecast_dates, self.forecast_factors
+            self.ranked_with_catalogue("dialsup"), self.fx, self.forecast_dates, self.forecast_factors, single=self.single_lookups,
         )
 
     # --- marts -------------------------------------------------------------------------
@@ -191,7 +208,7 @@ class RollupFrames:
         """Only the published dialsup metric is generated (the mart keeps no other)."""
         final_only = DS.dialsup_metric_stream(
             self.ranked_with_catalogue("dialsup"), self.fx, self.forecast_dates, self.forecast_factors,
-            stages=(DS.FINAL_DIALSUP_METRIC,),
+            stages=(DS.FINAL_DIALSUP_METRIC,), single=self.single_lookups,
         )
         return MT.dialsup_long(final_only, self.params.threshold)
 
@@ -201,7 +218,7 @@ class RollupFrames:
         equal to ``main_long`` filtered on the final metric."""
         final_only = MS.main_metric_stream(
             self.ranked_with_catalogue("main"), self.targets, self.fx, self.forecast_dates,
-            self.forecast_factors, self.overrides, stages=(MS.FINAL_MAIN_METRIC,),
+            self.forecast_factors, self.overrides, stages=(MS.FINAL_MAIN_METRIC,), single=self.single_lookups,
         )
         return MT.main_long(final_only, self.params.threshold)
 
@@ -229,7 +246,7 @@ class RollupFrames:
         return RP.annual(RP.report_losses(self.main_final_long, self.dialsup_long, self.params))
 
     def ep_report(self, order: bool = True) -> DataFrame:
-        return RP.ep_report(self.main_final_long, self.dialsup_long, self.params, order=order)
+        return RP.ep_report(self.main_final_long, self.dialsup_long, self.params, order=order, write=self.scratch.write)
 
     # --- debug layers (W6) ---------------------------------------------------------
     def debug_layers(self) -> dict[str, dict[str, DataFrame]]:

@@ -3,8 +3,8 @@
 Order of work (one Spark application):
 
 1. required seeds + coverage gate (tiny actions);
-2. both streams ranked in one pass (``RollupFrames.scored``; the range rank
-   materialises it once with a reliable checkpoint);
+2. both streams ranked in one pass (``RunFrames.scored``:
+   writes narrow ranked rows once, which both long marts read);
 3. the two long marts are written; everything else reads them back, as the
    published files are column-pruned and filter-pushed scans;
 4. event validation, wide output, fanout partitions, EP report, inspection views.
@@ -22,7 +22,7 @@ from catloss.operators import marts as MT
 from catloss.operators import quality as QL
 from catloss.operators import report as RP
 from catloss.params import RunParams
-from catloss.plans.frames import RollupFrames
+from catloss.plans.frames import RunFrames
 from catloss.sinks import writers as W
 from catloss.sql import templates as TPL
 
@@ -68,8 +68,7 @@ def run(
 ) -> RunResult:
     params = params or RunParams()
     QL.validate_inputs(inputs)
-    # Both long marts (and the debug dump) read the ranked rows: materialise them once.
-    fr = RollupFrames(inputs, params, materialize_scored=True)
+    fr = RunFrames(inputs, params)
 
     combined = W.write_parquet(fr.main_long, _join(output_root, COMBINED_YLT_FILE))
     dialsup = W.write_parquet(fr.dialsup_long, _join(output_root, DIALSUP_YLT_FILE))
@@ -110,6 +109,7 @@ def run(
             tables.append((TPL.REPORT_TABLE, written))
         W.register_tables(tables)
 
+    fr.close()  # views read outputs and seeds, no intermediate table
     return RunResult(
         output_root=output_root,
         mts_combined=combined,

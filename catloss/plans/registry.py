@@ -22,15 +22,15 @@ from catloss.operators import report as RP
 from catloss.operators import wide as WD
 from catloss.params import RunParams
 from catloss.plans import oracle as O
-from catloss.plans.frames import RollupFrames
+from catloss.plans.frames import STREAMS, RunFrames
 from catloss.plans.oracle_tables import with_table_ctes
 from catloss.sources import bridge as B
 from catloss.sources import raw_seeds as RS
 from catloss.sources.table_bridge import table_inputs
 from catloss.sql import templates as TPL
 
-def frames(spark: SparkSession, sf_dir: str, **bridge_kw) -> RollupFrames:
-    return RollupFrames(B.bridge_inputs(spark, sf_dir, **bridge_kw), RunParams())
+def frames(spark: SparkSession, sf_dir: str, streams: tuple[str, ...] = STREAMS, **bridge_kw) -> RunFrames:
+    return RunFrames(B.bridge_inputs(spark, sf_dir, **bridge_kw), RunParams(), streams)
 
 
 # Registered results with averages or sums are rounded on both sides of the comparison, as
@@ -70,7 +70,7 @@ def _bridge_dates() -> list[str]:
     return sorted({r[3] for r in B.FORECAST_FACTORS})
 
 
-def register_output_views(fr: RollupFrames, wide: bool = True) -> None:
+def register_output_views(fr: RunFrames, wide: bool = True) -> None:
     """The published outputs and seeds as session views, named like the tables.
 
     The wide view needs one job to find its forecast-month columns, so templates that
@@ -86,9 +86,9 @@ def register_output_views(fr: RollupFrames, wide: bool = True) -> None:
 
 
 # --- spark side -------------------------------------------------------------------
-def _q(attr: str) -> Callable[[SparkSession, str], DataFrame]:
+def _q(attr: str, *streams: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(frames(spark, sf_dir), attr)
+        return getattr(frames(spark, sf_dir, streams or STREAMS), attr)
 
     run.__name__ = attr
     return run
@@ -98,7 +98,7 @@ def _ep(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """A result of the EP branch over EP summaries and seeds from the tables."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return RollupFrames(table_inputs(spark, sf_dir), RunParams()).ep[name]
+        return RunFrames(table_inputs(spark, sf_dir), RunParams()).ep[name]
 
     run.__name__ = name
     return run
@@ -121,11 +121,11 @@ def q_ylt_ranked_range(spark, sf_dir):
 
 
 def q_ylt_ranked_shared(spark, sf_dir):
-    return frames(spark, sf_dir).ranked("main")
+    return frames(spark, sf_dir, ("main",)).ranked("main")
 
 
 def q_ylt_ranked_dialsup(spark, sf_dir):
-    return frames(spark, sf_dir).ranked("dialsup")
+    return frames(spark, sf_dir, ("dialsup",)).ranked("dialsup")
 
 
 def q_wide_output(spark, sf_dir):
@@ -188,7 +188,7 @@ def q_quality_violations(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _with_views(spark, sf_dir, wide: bool = False) -> RollupFrames:
+def _with_views(spark, sf_dir, wide: bool = False) -> RunFrames:
     fr = frames(spark, sf_dir)
     register_output_views(fr, wide=wide)
     return fr
@@ -250,18 +250,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ylt_ranked_range": q_ylt_ranked_range,
     "ylt_ranked_shared": q_ylt_ranked_shared,
     "ylt_ranked_dialsup": q_ylt_ranked_dialsup,
-    "ylt_blended": _q("blended"),
-    "ylt_local_currency": _q("localccy"),
-    "ylt_forecast": _q("forecasted"),
-    "ylt_event_factor": _q("euws"),
-    "ylt_rank_override": _q("euws_override"),
-    "main_metric_stream": _q("main_stream"),
-    "dialsup_factor_base": _q("dialsup_factor_base"),
-    "dialsup_metrics": _q("dialsup_stream"),
-    "main_long": _q("main_long"),
-    "dialsup_long": _q("dialsup_long"),
-    "main_fanout": _q("main_fanout"),
-    "dialsup_fanout": _q("dialsup_fanout"),
+    "ylt_blended": _q("blended", "main"),
+    "ylt_local_currency": _q("localccy", "main"),
+    "ylt_forecast": _q("forecasted", "main"),
+    "ylt_event_factor": _q("euws", "main"),
+    "ylt_rank_override": _q("euws_override", "main"),
+    "main_metric_stream": _q("main_stream", "main"),
+    "dialsup_factor_base": _q("dialsup_factor_base", "dialsup"),
+    "dialsup_metrics": _q("dialsup_stream", "dialsup"),
+    "main_long": _q("main_long", "main"),
+    "dialsup_long": _q("dialsup_long", "dialsup"),
+    "main_fanout": _q("main_fanout", "main"),
+    "dialsup_fanout": _q("dialsup_fanout", "dialsup"),
     "event_validation": _q("event_validation"),
     "wide_output": q_wide_output,
     "duplicate_grain": q_duplicate_grain,

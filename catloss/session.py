@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "catloss") -> SparkSession:
@@ -49,3 +50,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="catloss-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+class Scratch:
+    """Intermediate tables of one run, as Parquet below the shared checkpoint folder.
+
+    What is written is read back from files that all executors see, so that a lost executor
+    costs its running tasks only; ``close`` removes them all.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/catloss-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        stream = [c for c in df.columns if c == "_stream"]
+        df.write.partitionBy(*stream).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def close(self) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

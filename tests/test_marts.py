@@ -1,6 +1,7 @@
 """Marts, fanout, wide output (worked examples U10, U11, U13, U14)."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from catloss import schemas as SC
 from catloss.operators import marts as MT
 from catloss.operators import wide as WD
+from catloss.params import RunParams
 from tests.conftest import ranked_row, rows
 
 D1, D2, D3 = dt.date(2026, 1, 1), dt.date(2026, 7, 1), dt.date(2026, 12, 31)
@@ -121,3 +123,43 @@ def test_fanout_join_paths_agree(spark, small):
     fan = MT.main_fanout(MT.main_long(s, 1000.0), events, catalogue_small=small)
     got = sorted((r.base_model, r.ModelEventID, r.ModelYear, r.ModelEventDay) for r in fan.collect())
     assert got == [("risklink", 7, 2025, 42), ("verisk", 99, 2026, 3)]
+
+
+def test_ranks_are_selected_as_by_sorting(spark):
+    """Ties, negative, zero, infinite, NaN and null losses; keys with nulls; ranks beyond a key's values."""
+    import random
+
+    from catloss.operators import report as RP
+    rng = random.Random(1)
+    odd = [0.0, -0.0, float("inf"), float("-inf"), float("nan"), None, 1e-300, -1e300, 5.0]
+    data = [("a" if i % 3 else None, rng.choice([*odd, rng.lognormvariate(3, 4), round(rng.uniform(-50, 50), 1)])) for i in range(900)] + [("tied", 7.5)] * 500
+    df = spark.createDataFrame(data, "k string, loss double").repartition(7)
+    ranks = [1, 2, 3, 50, 299, 300, 301, 499, 500, 501, 600, 9999]
+    targets = F.array(*[F.struct(F.lit(r).cast("long").alias("return_period"), F.lit(r).cast("long").alias("rank")) for r in ranks])
+    got = sorted((str(r.k), r["rank"], str(r.loss)) for r in RP.select_ranks(df, ["k"], targets).collect())
+    order = lambda x: (0, 0) if x is None else (2, 0) if math.isnan(x) else (1, x)
+    want = []
+    for k in ("a", None, "tied"):
+        held = sorted((x for j, x in data if j == k), key=order, reverse=True)
+        want += [(str(k), r, str(held[r - 1])) for r in ranks if r <= len(held)]
+    clean = lambda x: [(k, r, v.replace("-0.0", "0.0") if v == "-0.0" else v) for k, r, v in x]
+    assert clean(got) == clean(sorted(want))
+
+
+def test_report_sorts_no_years(spark):
+    main, dial = _long_frames(spark, [D1, D2])
+    plan = RP_plan(spark, main, dial)
+    # windows run over value ranges and over the distinct values of single ranges
+    assert plan.count("Window ") and "_range" in plan and "row_number" not in plan
+
+
+def RP_plan(spark, main, dial):
+    from catloss.operators import report as RP
+    return RP.ep_report(main, dial, RunParams(), order=False)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_report_rows_are_in_report_order(spark):
+    from catloss.operators import report as RP
+    from tests.test_streams import bridge_frames
+    got = [tuple(r) for r in bridge_frames(spark).ep_report().select(*RP.REPORT_ORDER).collect()]
+    assert len(got) > 50 and got == sorted(got, key=lambda r: tuple((x is not None, x) for x in r))

@@ -71,8 +71,8 @@ def test_report_from_existing_outputs_and_validate_only(spark):
             "mts_ylt_main_long.parquet"} <= dumped
     assert len(dumped) == 1 + 9 + 6 + 26 + 5
     again = PL.build_ep_report(spark, out)
-    from catloss.plans.frames import RollupFrames
-    direct = RollupFrames(inputs).ep_report()
+    from catloss.plans.frames import RunFrames
+    direct = RunFrames(inputs).ep_report()
     assert again.exceptAll(direct).count() == 0 and direct.exceptAll(again).count() == 0
     paths = PL.write_validation_reports(inputs, out)
     cov = spark.read.option("header", True).csv(paths[0])
