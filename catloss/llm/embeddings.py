@@ -1,44 +1,57 @@
 """Near-duplicate embeddings by collision counting on sorted projections.
 
 Equal vectors are joined first. Each distinct vector is scaled to length 1 and projected
-on random lines. Two vectors at cosine ``COSINE`` lie sqrt(2 - 2 * COSINE) apart, so their
-projections differ by at most ``WINDOW`` with a known probability (0.9886 for the values
-here): that is the query-centred window. In each of ``rounds`` groups, the first few
-projections form a grid of cells 2 windows wide; a vector also enters the neighbouring
-cell where it lies within a window of the border, so every pair whose grid projections
-collide meets in a cell. There, ``COUNTED`` further projections are sorted, the pairs in
-each other's windows counted, and pairs with at least ``least_count()`` collisions
-verified by their cosine in double precision. The numbers of groups and collisions are
-calibrated to find a pair at the bound with probability ``RECALL``; closer pairs more.
-
-The number of grid projections grows with the logarithm of the number of vectors, which
-keeps cells at about ``BLOCK`` vectors. A cell with more is cut into chunks and every pair
-of chunks is a task of its own. A pair counts in the first group, and the one cell of it,
-in which it meets, so link numbers add up without listing pairs; for the components each
-task passes on a spanning forest of its links only.
+on random lines, in fixed point, once. Two vectors at cosine ``COSINE`` lie
+sqrt(2 - 2 * COSINE) apart, so their projections differ by at most ``WINDOW`` with a known
+probability (0.9886 for the values here): that is the query-centred window. In each of
+``rounds`` groups, the first few projections form a grid of cells 2 windows wide; a vector
+also enters the neighbouring cell where it lies within a window of the border, so every
+pair whose grid projections collide meets in a cell. There, vectors are sorted by one
+projection, whose window ``SORTED`` misses one near pair in 16,000; the pairs in each
+other's windows have their collisions on ``COUNTED`` further projections counted, and are
+given up as soon as they can't reach ``least_count()``. Pairs that do are verified by their
+cosine in double precision. The numbers of groups and collisions are calibrated to find a
+pair at the bound with probability ``RECALL`` each; closer pairs more.
+
+What is dealt to cells is a vector's id and its counted projections (48 bytes), not the
+vector: a first pass finds the vectors with a pair that passes the count, and only theirs
+are joined and dealt again for the verification. The number of grid projections is the one
+that makes pairs tested plus entries dealt least (``grid_shape``). A cell with over
+``BLOCK`` vectors is cut into chunks, and every pair of chunks is a group of its own; groups are
+read from sorted partitions one after the other, and pairs in slices of ``SLICE``. A pair
+counts in the first round, and the one cell of it, in which it meets, so link numbers add
+up without listing pairs; for the components each group passes on a spanning forest of its
+links only.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components link
 with nothing; vectors of different length don't link; a null vec_id is never the smallest
 of a component and gets a null component_id where it stands alone; repeated rows are
-vectors of their own; an empty table gives no rows; labels are not read.
+vectors of their own; an empty table gives no rows; labels and further columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloss.llm.common import components, materialize, maybe_broadcast
+from catloss.llm.common import components, materialize, maybe_broadcast, shuffle_width
 
 COSINE = 0.95
 WINDOW = 0.8  # in standard deviations of a projection of a random unit vector
-COUNTED = 24
+SORTED = 4 * math.sqrt(2 - 2 * COSINE)  # four standard deviations of the difference of a pair at the bound
+COUNTED = 23
 RECALL = 0.999
 BLOCK = 1024
+SLICE = 1 << 16
 SEED = 5
+UNIT = 1 << 10  # fixed point: projections are whole multiples of 1 / UNIT
+ENTRY_COST = 200  # pairs tested in the time that dealing an entry takes
 
 
 def hit_rate() -> float:
@@ -56,21 +69,26 @@ def least_count() -> int:
     return 0
 
 
+#: Share of unrelated pairs that meet in a grid line's cells (of width 2 windows, entered from one side), and cells a vector enters.
+MEET, ENTERED = 0.55, 1.5
+
+
 def grid_shape(n: int) -> tuple[int, int]:
-    """(grid projections per group, groups) for n distinct vectors."""
-    k = max(1, math.ceil(math.log(max(1.0, n / BLOCK)) / math.log(2.2)))
-    return k, max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - hit_rate() ** k)))
+    """(grid projections per group, groups) for n distinct vectors: those of the least work."""
+    def rounds(k: int) -> int:
+        return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - hit_rate() ** k)))
 
+    def work(k: int) -> float:
+        return rounds(k) * (MEET**k * n * n / 2 + ENTRY_COST * ENTERED**k * n)
 
-_made: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}
+    k = min(range(1, 25), key=work)
+    return k, rounds(k)
 
 
-def _lines(d: int, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Directions of the grid's projections and of the counted ones, equal in every task."""
-    if (d, k, rounds) not in _made:
-        rng = np.random.default_rng(SEED + d)
-        _made[d, k, rounds] = rng.standard_normal((d, rounds * k)), rng.standard_normal((d, COUNTED))
-    return _made[d, k, rounds]
+def lines(d: int, k: int, rounds: int) -> np.ndarray:
+    """Directions of the grid's projections, of the sorted one and of the counted ones, equal in every task."""
+    rng = np.random.default_rng(SEED + d)
+    return np.hstack([rng.standard_normal((d, 1 + COUNTED)), rng.standard_normal((d, rounds * k))])
 
 
 def _unit(rows) -> np.ndarray:
@@ -78,18 +96,122 @@ def _unit(rows) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _collisions(x: np.ndarray, y: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """Number of windows in which each pair of x and y collides: per line, y is sorted and each x opens a window in it."""
-    counts = np.zeros((len(x), len(y)), "int8")
-    px, py = x @ lines, y @ lines
-    for c in range(lines.shape[1]):
-        order = np.argsort(py[:, c], kind="stable")
-        s = py[order, c]
-        low, high = np.searchsorted(s, px[:, c] - WINDOW, "left"), np.searchsorted(s, px[:, c] + WINDOW, "right")
-        place = np.empty(len(y), "int64")
-        place[order] = np.arange(len(y))
-        counts += (place >= low[:, None]) & (place < high[:, None])
-    return counts
+def _project(k: int, rounds: int):
+    """Add counted (the sorted and the counted projections, 16 bits each) and grid (32 bits each) to (id, d, copies, v)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for d, rows in pdf.groupby("d"):
+                if d not in made:
+                    made[d] = lines(int(d), k, rounds)
+                for at in range(0, len(rows), 2048):
+                    part = rows.iloc[at : at + 2048]
+                    p = np.rint(_unit(part["v"]) @ made[d] * UNIT)
+                    counted = np.clip(p[:, : 1 + COUNTED], -32768, 32767).astype("<i2")
+                    grid = p[:, 1 + COUNTED :].astype("<i4")
+                    yield part.assign(counted=[x.tobytes() for x in counted], grid=[x.tobytes() for x in grid])
+
+    return run
+
+
+def _matrix(column: pd.Series, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
+
+def _cell_keys(cells: np.ndarray, d: np.ndarray, r: int) -> np.ndarray:
+    """64-bit keys of rows of cell coordinates of a round."""
+    with np.errstate(over="ignore"):
+        h = np.full(len(cells), 0x9E3779B97F4A7C15, "uint64") * (d.astype("uint64") * np.uint64(1024) + np.uint64(r + 1))
+        for c in cells.T:
+            h = (h ^ c.astype("int64").view("uint64")) * np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(29)
+        h = h * np.uint64(0x94D049BB133111EB)
+    return (h ^ (h >> np.uint64(32))).view("int64")
+
+
+WIDTH, REACH = int(2 * WINDOW * UNIT), int(WINDOW * UNIT)
+
+
+def _entries(k: int, rounds: int):
+    """Each vector's cells in each round: its own, and the next one along every line where it lies within a window of the border."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for s in range(0, len(pdf), 512):
+                rows = pdf.iloc[s : s + 512]
+                grid, d = _matrix(rows["grid"], "<i4").astype("int64"), rows["d"].to_numpy()
+                home = grid // WIDTH
+                over = (home + 1) * WIDTH - grid <= REACH
+                for r in range(rounds):
+                    cell, o, at = home[:, r * k : r * k + k], over[:, r * k : r * k + k], np.arange(len(rows))
+                    for c in range(k):
+                        more = np.flatnonzero(o[at, c])
+                        moved = cell[more].copy()
+                        moved[:, c] += 1
+                        at, cell = np.concatenate([at, at[more]]), np.concatenate([cell, moved])
+                    yield pd.DataFrame({"id": rows["id"].to_numpy()[at], "key": _cell_keys(cell, d[at], r), "round": r, "counted": rows["counted"].to_numpy()[at]})
+
+    return run
+
+
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The groups (key, i, j) of sorted rows, each at most two chunks, one after the other."""
+    held = None
+    for pdf in batches:
+        pdf = pd.concat([held, pdf], ignore_index=True) if held is not None else pdf
+        if not len(pdf):
+            continue
+        names = pdf[["key", "i", "j"]].to_numpy()
+        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a > 1:
+                yield pdf.iloc[a:b]
+        held = pdf.iloc[cuts[-1] :]
+    if held is not None and len(held) > 1:
+        yield held
+
+
+def passing(counted: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (row of left, row of right) that reach the least count, in slices; of one chunk (``same``) each pair once."""
+    reach, allowed = int(SORTED * UNIT) + 1, COUNTED - least_count()
+    order = right[np.argsort(counted[right, 0], kind="stable")]
+    line = counted[order, 0].astype("int64")
+    at = counted[left, 0].astype("int64")
+    low, high = np.searchsorted(line, at - reach, "left"), np.searchsorted(line, at + reach, "right")
+    upto = np.cumsum(high - low)
+    start = 0
+    while start < len(left):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + SLICE, "right")))
+        n = (high - low)[start:end]
+        a = np.repeat(left[start:end], n)
+        b = order[np.arange(n.sum()) + np.repeat(low[start:end] - (np.cumsum(n) - n), n)]
+        if same:
+            a, b = a[a < b], b[a < b]
+        misses = np.zeros(len(a), "int8")
+        for c in range(1, 1 + COUNTED):
+            misses += np.abs(counted[a, c].astype("int32") - counted[b, c]) > REACH
+            keep = misses <= allowed
+            a, b, misses = a[keep], b[keep], misses[keep]
+        yield a, b
+        start = end
+
+
+def _sides(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
+    i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+    chunk = pdf["chunk"].to_numpy()
+    return np.flatnonzero(chunk == i), np.flatnonzero(chunk == j), i == j
+
+
+def _survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each group that have a pair that passes the count, without their projections."""
+    for pdf in _groups(batches):
+        counted = _matrix(pdf["counted"], "<i2")
+        hit = np.zeros(len(pdf), bool)
+        for a, b in passing(counted, *_sides(pdf)):
+            hit[a] = hit[b] = True
+        if hit.any():
+            yield pdf.loc[hit, ["key", "i", "j", "round", "chunk", "id"]]
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -106,66 +228,32 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _block(pdf: pd.DataFrame, d: int, k: int, rounds: int) -> pd.DataFrame:
-    """Links of one task (a cell, or two of its chunks): per vector its direct links, and a node that it is joined to."""
-    grid, counted = _lines(d, k, rounds)
-    r, i, j = (int(pdf[c].iloc[0]) for c in ("round", "i", "j"))
-    left, right = pdf[pdf["chunk"] == i], pdf[pdf["chunk"] == j]
-    cell = np.asarray(pdf["cell"].iloc[0])
-    x, y = _unit(left["v"]) if len(left) else np.zeros((0, d)), _unit(right["v"]) if len(right) else np.zeros((0, d))
-    out = []
-    gx, gy = x @ grid, y @ grid
-    width = 2 * WINDOW
-    for s in range(0, len(x), BLOCK):
-        for t in range(0, len(y), BLOCK):
-            xs, ys = x[s : s + BLOCK], y[t : t + BLOCK]
-            near = _collisions(xs, ys, counted) >= least_count()
-            a, b = np.nonzero(near)
-            ia, ib = left["id"].to_numpy()[s + a], right["id"].to_numpy()[t + b]
-            keep = ia < ib if i == j else ia != ib
-            a, b, ia, ib = a[keep], b[keep], ia[keep], ib[keep]
-            good = np.einsum("ij,ij->i", xs[a], ys[b]) >= COSINE
-            a, b, ia, ib = a[good], b[good], ia[good], ib[good]
-            met = (np.abs(gx[s + a] - gy[t + b]) <= WINDOW).reshape(len(a), rounds, k).all(axis=2)
-            first = met[:, r] & ~met[:, :r].any(axis=1)
-            own = np.maximum(np.floor(gx[s + a, r * k : r * k + k] / width), np.floor(gy[t + b, r * k : r * k + k] / width))
-            first &= (own == cell).all(axis=1)
-            out.append((ia[first], ib[first]))
-    ia, ib = (np.concatenate([p[c] for p in out]) if out else np.zeros(0, "int64") for c in (0, 1))
-    ids, inverse = np.unique(np.concatenate([ia, ib]), return_inverse=True)
-    weight = pdf.drop_duplicates("id").set_index("id")["copies"]
-    ca, cb = weight.reindex(ia).to_numpy("int64"), weight.reindex(ib).to_numpy("int64")
-    a, b = inverse[: len(ia)], inverse[len(ia) :]
-    n = np.bincount(a, cb, len(ids)) + np.bincount(b, ca, len(ids))
-    return pd.DataFrame({"id": ids, "links": n.astype("int64"), "joined": ids[_forest(len(ids), a, b)]})
-
-
-def _entries(k: int, rounds: int):
-    """Each vector's cells in each round: its own, and the next one along every line where it lies within a window of the border."""
-    width = 2 * WINDOW
-
-    def run(batches):
-        for pdf in batches:
-            for d, rows in pdf.groupby("d"):
-                grid, _ = _lines(int(d), k, rounds)
-                p = _unit(rows["v"]) @ grid
-                home = np.floor(p / width)
-                over = (home + 1) * width - p <= WINDOW
-                take, cells, rs = [], [], []
-                for r in range(rounds):
-                    h, o = home[:, r * k : r * k + k], over[:, r * k : r * k + k]
-                    at, cell = np.arange(len(rows)), h
-                    for c in range(k):
-                        more = np.nonzero(o[at, c])[0]
-                        moved = cell[more].copy()
-                        moved[:, c] += 1
-                        at, cell = np.concatenate([at, at[more]]), np.concatenate([cell, moved])
-                    take.append(at)
-                    cells.append(cell)
-                    rs.append(np.full(len(at), r))
-                at = np.concatenate(take)
-                out = rows.iloc[at].reset_index(drop=True)
-                yield out.assign(round=np.concatenate(rs), cell=list(np.concatenate(cells).astype("int32")))
+def _links(k: int, rounds: int):
+    """Verified links of each group: per vector its direct links, and a node that it is joined to."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _groups(batches):
+            counted, grid = _matrix(pdf["counted"], "<i2"), _matrix(pdf["grid"], "<i4").astype("int64")
+            x, ids, d = _unit(pdf["v"]), pdf["id"].to_numpy(), pdf["d"].to_numpy()
+            key, r = int(pdf["key"].iloc[0]), int(pdf["round"].iloc[0])
+            pairs = []
+            for a, b in passing(counted, *_sides(pdf)):
+                good = np.einsum("ij,ij->i", x[a], x[b]) >= COSINE
+                a, b = a[good], b[good]
+                met = (np.abs(grid[a] - grid[b]) <= REACH).reshape(len(a), rounds, k).all(axis=2)
+                own = np.maximum(grid[a], grid[b])[:, r * k : r * k + k] // WIDTH
+                first = met[:, r] & ~met[:, :r].any(axis=1) & (_cell_keys(own, d[a], r) == key)
+                pairs.append((a[first], b[first]))
+            a, b = (np.concatenate([p[c] for p in pairs]) if pairs else np.zeros(0, "int64") for c in (0, 1))
+            if len(a):
+                rows, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
+                copies, at, to = pdf["copies"].to_numpy(), inverse[: len(a)], inverse[len(a) :]
+                n = np.bincount(at, copies[b], len(rows)) + np.bincount(to, copies[a], len(rows))
+                order = np.argsort(ids[rows])  # roots are smallest ids
+                place = np.empty(len(rows), "int64")
+                place[order] = np.arange(len(rows))
+                joined = ids[rows][order][_forest(len(rows), place[at], place[to])]
+                yield pd.DataFrame({"id": ids[rows][order], "links": n[order].astype("int64"), "joined": joined})
 
     return run
 
@@ -178,23 +266,27 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     # a vector's key: two hashes of its components (minus zero as zero)
     plain = F.transform("v", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     marked = materialize(marked.select("vec_id", "fine", F.when(F.col("fine"), plain).alias("v"), F.xxhash64(plain).alias("h1"), F.xxhash64(F.lit(3), plain).alias("h2")), "vectors")
+    k, rounds = grid_shape(marked.where("fine").count())
     same = marked.where("fine").groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.first("v").alias("v"))
-    same = materialize(same.withColumn("id", F.monotonically_increasing_id()).withColumn("d", F.size("v")), "distinct")
-    k, rounds = grid_shape(same.count())
-    entries = same.select("id", "d", "copies", "v").mapInPandas(
-        _entries(k, rounds), "id long, d int, copies long, v array<double>, round int, cell array<int>")
-    entries = materialize(entries.withColumn("key", F.xxhash64("d", "round", "cell")), "entries")
-    # cells of one vector have no pairs; those above BLOCK are cut into chunks
-    sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("chunks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    placed = entries.join(maybe_broadcast(materialize(sizes, "cells")), "key").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    tasks = placed.withColumn("o", other).withColumn("i", F.least("chunk", "o")).withColumn("j", F.greatest("chunk", "o"))
-    schema = "id long, links long, joined long"
-
-    def block(pdf):
-        return _block(pdf, int(pdf["d"].iloc[0]), k, rounds)
-
-    found = materialize(tasks.groupBy("key", "d", "i", "j").applyInPandas(block, schema), "links")
+    same = same.withColumn("id", F.monotonically_increasing_id()).withColumn("d", F.size("v"))
+    same = materialize(same.mapInPandas(
+        _project(k, rounds), "h1 long, h2 long, copies long, v array<double>, id long, d int, counted binary, grid binary"), "distinct")
+    entries = same.select("id", "d", "counted", "grid").mapInPandas(_entries(k, rounds), "id long, key long, round int, counted binary")
+    entries = materialize(entries, "entries")
+    # cells above BLOCK are cut into chunks
+    crowded = materialize(entries.groupBy("key").count().where(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("chunks")), "cells")
+    placed = entries.join(maybe_broadcast(crowded), "key", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    group = ["key", "i", "j"]
+    width = shuffle_width(rows.sparkSession)
+
+    def grouped(df: DataFrame) -> DataFrame:
+        return df.repartition(width, *group).sortWithinPartitions(*group)
+
+    tasks = placed.select("key", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), "round", "chunk", "id", "counted")
+    near = materialize(grouped(tasks).mapInPandas(_survivors, "key long, i int, j int, round int, chunk int, id long"), "near")
+    met = grouped(near.join(same.select("id", "d", "copies", "v", "counted", "grid"), "id"))
+    found = materialize(met.mapInPandas(_links(k, rounds), "id long, links long, joined long"), "links")
     comps = components(found.select(F.col("id").alias("a"), F.col("joined").alias("b")))
     direct = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = same.join(direct, "id", "left").join(comps, F.col("id") == F.col("node"), "left").select(
