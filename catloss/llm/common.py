@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +112,25 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+def sliced(batch: pa.RecordBatch, most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``most`` bytes of text, or of one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def per_process(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` returns, made once in a worker process: modules sent with the plan are new in every task."""
+    held = sys.__dict__.setdefault("_catloss_held", {})
+    if key not in held:
+        held.clear()  # one at a time
+        held[key] = make()
+    return held[key]
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

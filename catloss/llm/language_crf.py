@@ -11,7 +11,7 @@ The model is fitted on the driver from a sample bounded by its parameters: up to
 than ``MAX_CHARS`` characters it sees a window of that size, placed by hash. Documents carry one label but switch languages, so words are first
 fitted independently, then relabelled by smoothing along the chain, and the chain's
 weights and transitions are fitted to that. Prediction reads whole texts of all rows; a
-chain starts anew with each line and after ``CHAIN`` words.
+chain is a line, however long.
 
 Defined cases: a null text and one without letters is ``und`` with score 0, as is any
 text if there is nothing to learn from; repeated rows are predicted alike; doc_id may be
@@ -26,13 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloss.llm.common import GAP, WORD, maybe_broadcast, text_or_empty
+from catloss.llm.common import GAP, WORD, maybe_broadcast, sliced, text_or_empty
 
 PER_LANGUAGE = 250
 MAX_CHARS = 10_000
 LEXICON = 300  # words per language
 SLOTS = 1 << 16
-CHAIN = 1024
+SAMPLE = 4000  # labelled texts of all languages together, but one of each
+AT_ONCE = 2_000_000  # bytes of text that a task labels at a time, unless one text is longer
 CELLS = 400_000  # words in a padded block
 STAY = 0.9  # of the smoothing that relabels words
 ROUNDS = (25, 12)  # of fitting words, then chains
@@ -67,10 +68,7 @@ class Words:
         new[1:] = (self.doc[1:] != self.doc[:-1]) | (line[1:] != line[:-1])
         begin = np.flatnonzero(new)
         length = np.diff(np.append(begin, n))
-        pieces = -(-length // CHAIN)
-        k = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        self.begin = np.repeat(begin, pieces) + k * CHAIN
-        self.length = np.minimum(np.repeat(length, pieces) - k * CHAIN, CHAIN)
+        self.begin, self.length = begin, length
 
     def features(self) -> tuple[np.ndarray, np.ndarray]:
         """(slots, word of each): n-grams and affixes of the distinct words."""
@@ -254,11 +252,12 @@ def fit(labelled: DataFrame) -> Model:
     counts = {r["lang"]: r["n"] for r in pairs.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
         return Model([], {})
+    most = max(1, min(PER_LANGUAGE, SAMPLE // len(counts)))
     # twice as many as wanted by a threshold, then the first of them by hash: no window holds a whole language
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 40, (2 * PER_LANGUAGE << 40) // n + 1))])
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 40, (2 * most << 40) // n + 1))])
     near = pairs.where(F.pmod("h", F.lit(1 << 40)) < share[F.col("lang")])
     first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h")
-    chosen = near.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= PER_LANGUAGE).select("lang", "h")
+    chosen = near.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= most).select("lang", "h")
     chosen = maybe_broadcast(chosen)
     begin = F.pmod(F.xxhash64("h"), F.length("text") - MAX_CHARS + 1).cast("int") + 1
     window = F.substring(F.col("text"), begin, F.lit(MAX_CHARS))
@@ -274,7 +273,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Rows (doc_id, lang_pred, score) for each document."""
 
     def run(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in sliced(batch, AT_ONCE)):
             langs, score = model.predict(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(langs, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
