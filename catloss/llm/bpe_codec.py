@@ -5,12 +5,13 @@ pattern, holding back what a later character could still change, and merges each
 from left to right (``bpe.MergeList``): a token goes out once it is settled, which the
 merge list decides within its lookahead (the longest proper beginning of a token). Words
 of usual length are merged at once and remembered; a longer word goes through
-``bpe.Stream`` symbol by symbol, so memory stays constant however long it is. The
+``bpe.Stream`` symbol by symbol, so memory stays constant however long it is (but for runs
+of white space, which are held back as a whole). The
 decoder maps ids to bytes and completes characters with an incremental UTF-8 machine.
 
 Defined cases: null and empty texts have no tokens and decode to the empty string;
 repeated rows give one result row each; very long texts are read in pieces of ``PIECE``
-characters; further columns are ignored by ``encode_documents``.
+characters; an empty table gives no rows; further columns are ignored by ``encode_documents``.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catloss.llm.bpe import MergeList, Stream, byte_symbols
-from catloss.llm.common import text_or_empty
+from catloss.llm.common import per_process, sliced, text_or_empty
 
 PIECE = 1 << 16
+AT_ONCE = 2_000_000  # bytes of text that a task holds as words, unless one text is longer
 LONG = 96  # bytes from which a word is streamed
-MEMO = 1_000_000  # distinct words from which on a task's memory of them starts anew
+MEMO = 500_000  # distinct words from which on a worker's memory of them starts anew
 
 # fixed value: the byte-level split pattern of the vocabulary
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -75,13 +77,13 @@ class Codec:
     def symbols(self, text: str) -> str:
         return text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.shown)
 
-    def learn(self, texts: Iterable[str]) -> None:
-        """Merge the new distinct words of a batch in sorted order, so that shared beginnings are merged once."""
+    def learn(self, splits: Iterable[list[str]]) -> None:
+        """Merge the new distinct words of some texts' splits in sorted order, so that shared beginnings are merged once."""
         if len(self.memo) > MEMO:
             self.memo.clear()
         new: set[str] = set()
-        for x in texts:
-            new.update(self.split(x))
+        for words in splits:
+            new.update(words)
         ids = self.merges.ids
         by_symbols = {self.symbols(w): w for w in new.difference(self.memo) if len(w) <= LONG}
         for s, lasts, _ in self.merges.walk(sorted(by_symbols)):
@@ -96,13 +98,24 @@ class Codec:
             return (m.span() for m in SPLIT.finditer(text))
         return (span for _, span in self.words(text))
 
+    def split_batch(self, texts: list[str], piece: int = PIECE) -> list[list[str] | None]:
+        """The words of each text, which are learned; None of one that is long or has special tokens."""
+        plain = [len(x) <= piece and not (self.special_re and self.special_re.search(x)) for x in texts]
+        splits = [self.split(x) if ok else None for x, ok in zip(texts, plain)]
+        self.learn(x for x in splits if x is not None)
+        return splits
+
+    def joined(self, words: list[str]) -> np.ndarray:
+        """Ids of a split text."""
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, words)), "<u4")
+
     def encode(self, text: str, piece: int = PIECE) -> Iterator[np.ndarray]:
         """Ids of the whole text, as arrays of settled ids."""
         for k, part in enumerate(self.special_re.split(text) if self.special_re else [text]):
             if k % 2:
                 yield np.array([self.special[part]], "<u4")
             elif len(part) <= piece:
-                yield np.frombuffer(b"".join(map(self.memo.__getitem__, self.split(part))), "<u4")
+                yield self.joined(self.split(part))
             else:
                 yield from (np.frombuffer(x, "<u4") for x in self._encode(part, piece))
 
@@ -112,7 +125,7 @@ class Codec:
             held += text[at : at + piece]
             last = at + piece >= len(text)
             if stream is not None:  # inside a long word: it goes on as long as its kind of character does
-                run = kind.match(held).end()
+                run = self._run(kind, held)
                 if run == len(held) and not last:
                     run = max(0, run - BEYOND)
                     yield self._ids(stream.feed(self.symbols(held[:run])))
@@ -125,7 +138,7 @@ class Codec:
                 if not last and b + BEYOND > len(held):
                     if b - a > LONG and (kind := self._kind(held[a:b])) is not None:
                         stream = Stream(self.merges)
-                        done = max(a + 1, kind.match(held, a + (held[a] == " ")).end() - BEYOND)
+                        done = max(a + 1, b - BEYOND)
                         out.append(self._ids(stream.feed(self.symbols(held[a:done]))))
                     break
                 out.append(self.memo[held[a:b]])
@@ -134,11 +147,15 @@ class Codec:
             yield b"".join(out)
 
     @staticmethod
-    def _kind(word: str):
-        """The character class that a long word goes on with; None for white space, whose end depends on what follows."""
-        if PLAIN.search(word) is not None:
-            return None
-        return next((k for k in (_LETTERS, _NUMBERS, _OTHERS) if k.fullmatch(word.removeprefix(" "))), None)
+    def _kind(word: str) -> str | None:
+        """A character of the class that a long word goes on with; None for white space, whose end depends on what follows."""
+        return next((c for c, k in RUNS.items() if k.fullmatch(word.removeprefix(" "))), None)
+
+    def _run(self, kind: str, text: str) -> int:
+        """How far a word of this class goes on into ``text``; the library says so where the text has rarer scripts."""
+        if PLAIN.search(text) is None:
+            return RUNS[kind].match(text).end()
+        return next(iter(self.words(kind + text)))[1][1] - 1
 
     def _ids(self, tokens: list[str]) -> bytes:
         return np.array([self.merges.ids[t] for t in tokens], "<u4").tobytes()
@@ -151,41 +168,41 @@ class Codec:
         yield machine.decode(b"", True)
 
 
-_LETTERS = regex.compile(r"[\p{L}&&[\x00-ԯ]]*", regex.V1)
-_NUMBERS = regex.compile(r"[\p{N}&&[\x00-ԯ]]*", regex.V1)
-_OTHERS = regex.compile(r"[[\x00-ԯ]--[\s\p{L}\p{N}]]*", regex.V1)
+#: A character of each class of characters that words are made of, with the runs of the class.
+RUNS = {"a": regex.compile(r"\p{L}*"), "1": regex.compile(r"\p{N}*"), "!": regex.compile(r"[^\s\p{L}\p{N}]*")}
 
 
-def digest(codec: Codec, text: str) -> tuple[list[np.ndarray], str, str]:
-    """(settled ids, SHA-256 of the ids as little-endian 32-bit integers, SHA-256 of the decoded text), made piece by piece."""
-    parts, ids_hash, text_hash = [], hashlib.sha256(), hashlib.sha256()
+def digest(codec: Codec, text: str, words: list[str] | None = None, keep: bool = False) -> tuple[list[np.ndarray], int, str, str]:
+    """(ids if they are kept, their number, SHA-256 of them as little-endian 32-bit integers, SHA-256 of the decoded text), made piece by piece."""
+    parts, n, ids_hash, text_hash = [], 0, hashlib.sha256(), hashlib.sha256()
 
     def ids():
-        for part in codec.encode(text):
-            ids_hash.update(part.tobytes())
-            parts.append(part)
+        nonlocal n
+        for part in codec.encode(text) if words is None else [codec.joined(words)]:
+            n += len(part)
+            ids_hash.update(part)
+            if keep:
+                parts.append(part)
             yield part
 
     for out in codec.decode(ids()):
         text_hash.update(out.encode("utf-8"))
-    return parts, ids_hash.hexdigest(), text_hash.hexdigest()
+    return parts, n, ids_hash.hexdigest(), text_hash.hexdigest()
 
 
 def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) for each document; with_ids adds token_ids: array<int>."""
 
     def run(batches):
-        codec = Codec(path)
-        for b in batches:
+        codec = per_process(("codec", path), lambda: Codec(path))
+        for b in (part for batch in batches for part in sliced(batch, AT_ONCE)):
             texts = b.column("text").to_pylist()
-            codec.learn(x for x in texts if len(x) <= PIECE)
             sizes, ids, digests = [], [], []
-            for x in texts:
-                parts, *hashes = digest(codec, x)
-                sizes.append(sum(map(len, parts)))
+            for x, words in zip(texts, codec.split_batch(texts)):
+                parts, n, *hashes = digest(codec, x, words, with_ids)
+                sizes.append(n)
                 digests.append(hashes)
-                if with_ids:
-                    ids += parts
+                ids += parts
             columns = [b.column("doc_id"), pa.array(sizes, pa.int64()), *(pa.array([d[i] for d in digests], pa.string()) for i in (0, 1))]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
@@ -207,7 +224,7 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(path)
         for texts in batches:
-            codec.learn(x for x in texts if len(x) <= PIECE)
+            codec.learn(codec.split(x) for x in texts if x and len(x) <= PIECE)
             yield texts.map(lambda t: np.concatenate([np.zeros(0, "<u4"), *codec.encode(t or "")]).astype("int32"))
 
     return docs.withColumn("token_ids", encode(text_or_empty()))

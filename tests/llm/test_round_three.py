@@ -256,3 +256,47 @@ def test_empty_tables(spark):
     chats = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.read_back(chat_format.format_turns(chat_format.table_turns(chats))).count() == 0
     assert chat_format.json_turns(none, "doc_id", "text").count() == 0
+
+
+BORDERS = ["—", "…", "日本", "٤٥", "Жд", "\U0001F600", "́", " ", "'s", "!", "a", "7", " x", " ", "\n\n "]
+
+
+def test_long_words_go_on_over_piece_borders_as_the_library_says():
+    from tokenizers import Tokenizer
+
+    from catloss.llm import bpe_codec
+    from catloss.llm.queries import vocabulary
+
+    path = vocabulary("byte_bpe_50k.json")
+    codec, lib = bpe_codec.Codec(path), Tokenizer.from_file(path)
+    for run in ('"', ".", "a", "é", "1", "日", "٤", "=-", "\U0001F600"):
+        for after in BORDERS:
+            for n in (99, 120, 131):
+                text = "x " + (run * n)[:n] + after + (run * 120) + " end"
+                want = lib.encode(text, add_special_tokens=False).ids
+                for piece in (100, 101, 123, 125):
+                    got = np.concatenate([np.zeros(0), *codec.encode(text, piece)]).tolist()
+                    assert got == want, (run, after, n, piece)
+
+
+def test_language_chains_are_whole_lines(spark):
+    from itertools import product
+
+    from catloss.llm import language_crf
+
+    rng = np.random.default_rng(1)
+    emit, start, move = rng.random((5, 1, 3)), rng.random(3), rng.random((3, 3))
+    p, _ = language_crf.marginals(emit, np.ones((5, 1), bool), start, move)[:2]
+    want = np.zeros((5, 3))
+    for chain in product(range(3), repeat=5):
+        w = start[chain[0]] * np.prod([emit[t, 0, c] for t, c in enumerate(chain)]) * np.prod([move[a, b] for a, b in pairwise(chain)])
+        for t, c in enumerate(chain):
+            want[t, c] += w
+    assert np.allclose(p[:, 0], want / want.sum(1, keepdims=True))
+    import pyarrow as pa
+    w = language_crf.Words(pa.array(["ab cd " * 5000 + "\nef", "gh"]))
+    assert w.length.tolist() == [10000, 1, 1]
+    rows = [(i, ("ba co di " if i % 2 else "xu vy wo ") * (4000 if i == 3 else 20), "ab"[i % 2]) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_crf.predict(frame, language_crf.fit(frame.where("doc_id > 3"))).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {i: a for i, _, a in rows}
