@@ -4,13 +4,12 @@ Equal vectors are joined first. Each distinct vector is scaled to length 1 and p
 on random lines, in fixed point, once. Two vectors at cosine ``COSINE`` lie
 sqrt(2 - 2 * COSINE) apart, so their projections differ by at most ``WINDOW`` with a known
 probability (0.9886 for the values here): that is the query-centred window. In each of
-``rounds`` groups, the first few projections form a grid of cells 2 windows wide; a vector
-also enters the neighbouring cell where it lies within a window of the border, so every
-pair whose grid projections collide meets in a cell. There, vectors are sorted by one
+``rounds`` rounds, a few projections with random offsets form a grid of cells ``WIDTH`` wide,
+and vectors of one cell meet. There, vectors are sorted by one
 projection, whose window ``SORTED`` misses one near pair in 16,000; the pairs in each
 other's windows have their collisions on ``COUNTED`` further projections counted, and are
 given up as soon as they can't reach ``least_count()``. Pairs that do are verified by their
-cosine in double precision. The numbers of groups and collisions are calibrated to find a
+cosine in double precision. The numbers of rounds and collisions are calibrated to find a
 pair at the bound with probability ``RECALL`` each; closer pairs more.
 
 What is dealt to cells is a vector's id and its counted projections (48 bytes), not the
@@ -19,8 +18,7 @@ are joined and dealt again for the verification. The number of grid projections
 that makes pairs tested plus entries dealt least (``grid_shape``). A cell with over
 ``BLOCK`` vectors is cut into chunks, and every pair of chunks is a group of its own; groups are
 read from sorted partitions one after the other, and pairs in slices of ``SLICE``. A pair
-counts in the first round, and the one cell of it, in which it meets, so link numbers add
-up without listing pairs; for the components each group passes on a spanning forest of its
+counts in the first round in which it meets, so link numbers add up without listing pairs; for the components each group passes on a spanning forest of its
 links only.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components link
@@ -69,26 +67,35 @@ def least_count() -> int:
     return 0
 
 
-#: Share of unrelated pairs that meet in a grid line's cells (of width 2 windows, entered from one side), and cells a vector enters.
-MEET, ENTERED = 0.55, 1.5
+WIDTH = 1.6
+#: Share of unrelated pairs in one cell of a grid line: projections of unit vectors are normal.
+MEET = WIDTH / (2 * math.sqrt(math.pi))
+
+
+def same_cell() -> float:
+    """Probability that a grid line of random offset has two vectors at the bound in one cell."""
+    sd = math.sqrt(2 - 2 * COSINE)
+    z = WIDTH / sd
+    return math.erf(z / math.sqrt(2)) - math.sqrt(2 / math.pi) / z * (1 - math.exp(-z * z / 2))
 
 
 def grid_shape(n: int) -> tuple[int, int]:
-    """(grid projections per group, groups) for n distinct vectors: those of the least work."""
+    """(grid projections per round, rounds) for n distinct vectors: those of the least work."""
     def rounds(k: int) -> int:
-        return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - hit_rate() ** k)))
+        return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - same_cell() ** k)))
 
     def work(k: int) -> float:
-        return rounds(k) * (MEET**k * n * n / 2 + ENTRY_COST * ENTERED**k * n)
+        return rounds(k) * (MEET**k * n * n / 2 + ENTRY_COST * n)
 
-    k = min(range(1, 25), key=work)
+    k = min(range(1, 33), key=work)
     return k, rounds(k)
 
 
-def lines(d: int, k: int, rounds: int) -> np.ndarray:
-    """Directions of the grid's projections, of the sorted one and of the counted ones, equal in every task."""
+def lines(d: int, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Directions of the sorted, the counted and the grid's projections, and the grid's offsets, equal in every task."""
     rng = np.random.default_rng(SEED + d)
-    return np.hstack([rng.standard_normal((d, 1 + COUNTED)), rng.standard_normal((d, rounds * k))])
+    counted = rng.standard_normal((d, 1 + COUNTED))
+    return np.hstack([counted, rng.standard_normal((d, rounds * k))]), rng.random(rounds * k) * WIDTH
 
 
 def _unit(rows) -> np.ndarray:
@@ -97,19 +104,19 @@ def _unit(rows) -> np.ndarray:
 
 
 def _project(k: int, rounds: int):
-    """Add counted (the sorted and the counted projections, 16 bits each) and grid (32 bits each) to (id, d, copies, v)."""
+    """Add counted (the sorted and the counted projections, 16 bits each) and grid (cells, 8 bits a line) to (id, d, copies, v)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made: dict[int, np.ndarray] = {}
+        made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for pdf in batches:
             for d, rows in pdf.groupby("d"):
                 if d not in made:
                     made[d] = lines(int(d), k, rounds)
                 for at in range(0, len(rows), 2048):
                     part = rows.iloc[at : at + 2048]
-                    p = np.rint(_unit(part["v"]) @ made[d] * UNIT)
-                    counted = np.clip(p[:, : 1 + COUNTED], -32768, 32767).astype("<i2")
-                    grid = p[:, 1 + COUNTED :].astype("<i4")
+                    p = _unit(part["v"]) @ made[d][0]
+                    counted = np.clip(np.rint(p[:, : 1 + COUNTED] * UNIT), -32768, 32767).astype("<i2")
+                    grid = np.clip(np.floor((p[:, 1 + COUNTED :] + made[d][1]) / WIDTH), -128, 127).astype("i1")
                     yield part.assign(counted=[x.tobytes() for x in counted], grid=[x.tobytes() for x in grid])
 
     return run
@@ -130,55 +137,47 @@ def _cell_keys(cells: np.ndarray, d: np.ndarray, r: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))).view("int64")
 
 
-WIDTH, REACH = int(2 * WINDOW * UNIT), int(WINDOW * UNIT)
+REACH = int(WINDOW * UNIT)
 
 
 def _entries(k: int, rounds: int):
-    """Each vector's cells in each round: its own, and the next one along every line where it lies within a window of the border."""
+    """Each vector's cell in each round."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for s in range(0, len(pdf), 512):
-                rows = pdf.iloc[s : s + 512]
-                grid, d = _matrix(rows["grid"], "<i4").astype("int64"), rows["d"].to_numpy()
-                home = grid // WIDTH
-                over = (home + 1) * WIDTH - grid <= REACH
+            for s in range(0, len(pdf), 1024):
+                rows = pdf.iloc[s : s + 1024]
+                grid, d = _matrix(rows["grid"], "i1"), rows["d"].to_numpy()
                 for r in range(rounds):
-                    cell, o, at = home[:, r * k : r * k + k], over[:, r * k : r * k + k], np.arange(len(rows))
-                    for c in range(k):
-                        more = np.flatnonzero(o[at, c])
-                        moved = cell[more].copy()
-                        moved[:, c] += 1
-                        at, cell = np.concatenate([at, at[more]]), np.concatenate([cell, moved])
-                    yield pd.DataFrame({"id": rows["id"].to_numpy()[at], "key": _cell_keys(cell, d[at], r), "round": r, "counted": rows["counted"].to_numpy()[at]})
+                    yield pd.DataFrame({"id": rows["id"], "key": _cell_keys(grid[:, r * k : r * k + k], d, r), "round": r, "counted": rows["counted"]})
 
     return run
 
 
 def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The groups (key, i, j) of sorted rows, each at most two chunks, one after the other."""
+    """Whole groups (key, i, j) of sorted rows, as many at a time as a batch has; a group has two chunks at most."""
     held = None
     for pdf in batches:
         pdf = pd.concat([held, pdf], ignore_index=True) if held is not None else pdf
         if not len(pdf):
             continue
         names = pdf[["key", "i", "j"]].to_numpy()
-        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1)]
-        for a, b in zip(cuts, cuts[1:]):
-            if b - a > 1:
-                yield pdf.iloc[a:b]
-        held = pdf.iloc[cuts[-1] :]
-    if held is not None and len(held) > 1:
+        cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+        last = int(cuts[-1]) if len(cuts) else 0
+        if last:
+            yield pdf.iloc[:last]
+        held = pdf.iloc[last:]
+    if held is not None and len(held):
         yield held
 
 
-def passing(counted: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (row of left, row of right) that reach the least count, in slices; of one chunk (``same``) each pair once."""
+def passing(counted: np.ndarray, group: np.ndarray, i: np.ndarray, j: np.ndarray, chunk: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a group (chunk i with chunk j) that reach the least count, each once, in slices."""
     reach, allowed = int(SORTED * UNIT) + 1, COUNTED - least_count()
-    order = right[np.argsort(counted[right, 0], kind="stable")]
-    line = counted[order, 0].astype("int64")
-    at = counted[left, 0].astype("int64")
-    low, high = np.searchsorted(line, at - reach, "left"), np.searchsorted(line, at + reach, "right")
+    left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+    line = (group.astype("int64") << 20) + counted[:, 0]  # one sorted line a group, far apart
+    order = right[np.argsort(line[right], kind="stable")]
+    low, high = np.searchsorted(line[order], line[left] - reach, "left"), np.searchsorted(line[order], line[left] + reach, "right")
     upto = np.cumsum(high - low)
     start = 0
     while start < len(left):
@@ -186,8 +185,8 @@ def passing(counted: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool
         n = (high - low)[start:end]
         a = np.repeat(left[start:end], n)
         b = order[np.arange(n.sum()) + np.repeat(low[start:end] - (np.cumsum(n) - n), n)]
-        if same:
-            a, b = a[a < b], b[a < b]
+        once = (a < b) | (i[a] != j[a])
+        a, b = a[once], b[once]
         misses = np.zeros(len(a), "int8")
         for c in range(1, 1 + COUNTED):
             misses += np.abs(counted[a, c].astype("int32") - counted[b, c]) > REACH
@@ -197,21 +196,19 @@ def passing(counted: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool
         start = end
 
 
-def _sides(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
-    i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-    chunk = pdf["chunk"].to_numpy()
-    return np.flatnonzero(chunk == i), np.flatnonzero(chunk == j), i == j
+def _pairs(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    key, i, j, chunk = (pdf[c].to_numpy() for c in ("key", "i", "j", "chunk"))
+    new = np.concatenate([[False], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+    return passing(_matrix(pdf["counted"], "<i2"), np.cumsum(new), i, j, chunk)
 
 
 def _survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rows of each group that have a pair that passes the count, without their projections."""
     for pdf in _groups(batches):
-        counted = _matrix(pdf["counted"], "<i2")
         hit = np.zeros(len(pdf), bool)
-        for a, b in passing(counted, *_sides(pdf)):
+        for a, b in _pairs(pdf):
             hit[a] = hit[b] = True
-        if hit.any():
-            yield pdf.loc[hit, ["key", "i", "j", "round", "chunk", "id"]]
+        yield pdf.loc[hit, ["key", "i", "j", "round", "chunk", "id"]]
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -229,31 +226,27 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _links(k: int, rounds: int):
-    """Verified links of each group: per vector its direct links, and a node that it is joined to."""
+    """Verified links of the groups: per vector its direct links, and a node that it is joined to."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _groups(batches):
-            counted, grid = _matrix(pdf["counted"], "<i2"), _matrix(pdf["grid"], "<i4").astype("int64")
-            x, ids, d = _unit(pdf["v"]), pdf["id"].to_numpy(), pdf["d"].to_numpy()
-            key, r = int(pdf["key"].iloc[0]), int(pdf["round"].iloc[0])
+            grid = _matrix(pdf["grid"], "i1").reshape(len(pdf), rounds, k)
+            ids, at, lengths = (pdf[c].to_numpy() for c in ("id", "round", "d"))
+            x = np.zeros((len(pdf), lengths.max()))
+            for d in np.unique(lengths):  # vectors of one length have cells of their own
+                x[lengths == d, :d] = _unit(pdf["v"][lengths == d])
             pairs = []
-            for a, b in passing(counted, *_sides(pdf)):
+            for a, b in _pairs(pdf):
                 good = np.einsum("ij,ij->i", x[a], x[b]) >= COSINE
                 a, b = a[good], b[good]
-                met = (np.abs(grid[a] - grid[b]) <= REACH).reshape(len(a), rounds, k).all(axis=2)
-                own = np.maximum(grid[a], grid[b])[:, r * k : r * k + k] // WIDTH
-                first = met[:, r] & ~met[:, :r].any(axis=1) & (_cell_keys(own, d[a], r) == key)
+                first = (grid[a] == grid[b]).all(axis=2).argmax(axis=1) == at[a]  # the first round in which the pair meets
                 pairs.append((a[first], b[first]))
             a, b = (np.concatenate([p[c] for p in pairs]) if pairs else np.zeros(0, "int64") for c in (0, 1))
             if len(a):
-                rows, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
-                copies, at, to = pdf["copies"].to_numpy(), inverse[: len(a)], inverse[len(a) :]
-                n = np.bincount(at, copies[b], len(rows)) + np.bincount(to, copies[a], len(rows))
-                order = np.argsort(ids[rows])  # roots are smallest ids
-                place = np.empty(len(rows), "int64")
-                place[order] = np.arange(len(rows))
-                joined = ids[rows][order][_forest(len(rows), place[at], place[to])]
-                yield pd.DataFrame({"id": ids[rows][order], "links": n[order].astype("int64"), "joined": joined})
+                rows, inverse = np.unique(np.concatenate([ids[a], ids[b]]), return_inverse=True)
+                copies, u, v = pdf["copies"].to_numpy(), inverse[: len(a)], inverse[len(a) :]
+                n = np.bincount(u, copies[b], len(rows)) + np.bincount(v, copies[a], len(rows))
+                yield pd.DataFrame({"id": rows, "links": n.astype("int64"), "joined": rows[_forest(len(rows), u, v)]})
 
     return run
 

@@ -35,7 +35,7 @@ def brute(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
-@pytest.mark.parametrize("shape, block", [((3, 4), 16), ((5, 5), 1024), (None, 1024)])
+@pytest.mark.parametrize("shape, block", [((3, 25), 16), ((5, 40), 1024), (None, 1024)])
 def test_links_and_components_equal_brute_force(spark, monkeypatch, shape, block):
     x = planted(np.random.default_rng(2), 900)
     if shape:
@@ -63,19 +63,22 @@ def test_pairs_at_the_bound_are_found_and_few_others_tested():
     noise /= np.linalg.norm(noise, axis=1, keepdims=True)
     b = embeddings.COSINE * a + math.sqrt(1 - embeddings.COSINE**2) * noise
     k, rounds = embeddings.grid_shape(50_000)
-    p = np.rint(np.vstack([a, b]) @ embeddings.lines(d, k, rounds) * embeddings.UNIT).astype("int64")
-    counted, grid = p[:, : 1 + embeddings.COUNTED], p[:, 1 + embeddings.COUNTED :]
+    directions, offsets = embeddings.lines(d, k, rounds)
+    p = np.vstack([a, b]) @ directions
+    counted = np.rint(p[:, : 1 + embeddings.COUNTED] * embeddings.UNIT).astype("int64")
+    grid = np.floor((p[:, 1 + embeddings.COUNTED :] + offsets) / embeddings.WIDTH).reshape(2 * n, rounds, k)
     near = np.abs(counted[:n] - counted[n:])
     passed = (near[:, 0] <= embeddings.SORTED * embeddings.UNIT) & ((near[:, 1:] <= embeddings.REACH).sum(axis=1) >= embeddings.least_count())
-    met = (np.abs(grid[:n] - grid[n:]) <= embeddings.REACH).reshape(n, rounds, k).all(axis=2).any(axis=1)
+    met = (grid[:n] == grid[n:]).all(axis=2).any(axis=1)
     assert passed.mean() > 0.995 and met.mean() > 0.995 and (passed & met).mean() > 0.99
-    pairs = sum(len(x) for x, _ in embeddings.passing(counted[:n].astype("int16"), np.arange(n), np.arange(n), True))
+    pairs = sum(len(x) for x, _ in embeddings.passing(counted[:n].astype("int16"), *np.zeros((4, n), int)))
     assert pairs < 1e-3 * n * n / 2
 
 
 def test_grid_tests_far_fewer_than_all_pairs_as_tables_grow():
-    shares = []
+    shares, entries = [], []
     for n in (50_000, 1_000_000, 100_000_000):
         k, rounds = embeddings.grid_shape(n)
         shares.append(rounds * embeddings.MEET**k)
-    assert shares[0] < 0.2 and shares[1] < 0.03 and shares[2] < 0.002
+        entries.append(rounds)
+    assert shares[0] < 0.1 and shares[1] < 0.01 and shares[2] < 0.001 and entries[0] < 40 and entries[2] < 200
