@@ -73,7 +73,10 @@ def test_report_from_existing_outputs_and_validate_only(spark):
     again = PL.build_ep_report(spark, out)
     from catloss.plans.frames import RunFrames
     direct = RunFrames(inputs).ep_report()
-    assert again.exceptAll(direct).count() == 0 and direct.exceptAll(again).count() == 0
+    keyed = lambda df: {tuple(r)[:-1]: r.loss for r in df.collect()}
+    a, b = keyed(again), keyed(direct)
+    # sums of doubles: the last bit depends on the order of addition
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
     paths = PL.write_validation_reports(inputs, out)
     cov = spark.read.option("header", True).csv(paths[0])
     aal = spark.read.option("header", True).csv(paths[1])
