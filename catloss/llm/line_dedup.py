@@ -2,8 +2,8 @@
 
 A line goes if an earlier line, by (doc_id, position), equals it or is within one word
 edit of it (a word inserted, deleted or replaced); of equal lines the earliest stays.
-Lines of fewer than ``MIN_WORDS`` words go only if equal to an earlier one; lines without
-a word stay.
+Lines of fewer than ``MIN_WORDS`` words go only if equal to an earlier one, but a line of
+``MIN_WORDS`` words goes also for an earlier one of a word less; lines without a word stay.
 
 Deleting a word from both of two lines within the bound leaves equal variants, but all
 variants of all lines are as many as the words. So the search has two levels. First, a
@@ -33,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloss.llm.common import GAP, materialize, maybe_broadcast, null_safe, text_or_empty
+from catloss.llm.common import WS, materialize, maybe_broadcast, null_safe, text_or_empty
 
 MIN_WORDS = 8
 #: Rows of one or two hashes that may be broadcast.
@@ -46,58 +46,67 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, GAP), lambda w: w != "")
+    """The words of a line, which holds no \\n; most lines have spaces alone, and splitting at one character needs no regex."""
+    spaced = F.when(line.rlike(r"[\x09-\x0D]"), F.translate(line, WS, " " * len(WS))).otherwise(line)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
-def _block_keys(hashes: Column, n: Column, rate: Column, finer: Callable[[], Column] | None = None) -> Column:
-    """Keys of a line's block deletions at a cut rate of one in ``rate`` words.
+def _has_word(line: Column) -> Column:
+    return F.ltrim(line, F.lit(WS)) != ""
+
+
+def _blocks(words: Column, rate: Column) -> Column:
+    """Hashes of a line's blocks: marks after the cut words, then one split at the marks; each block begins with a space."""
+    cut = lambda mask: F.transform(words, lambda w: F.when(F.xxhash64(w).bitwiseAND(mask) == 0, F.concat(w, F.lit("\n"))).otherwise(w))
+    marked = F.concat(F.lit(" "), F.array_join(bind(rate - 1, cut), " "))
+    return F.transform(F.array_remove(F.split(marked, "\n"), ""), lambda b: F.xxhash64(b))
+
+
+def _block_keys(words: Column, rate: Column, finer: Callable[[], Column] | None = None) -> Column:
+    """Keys of a line's block deletions at a cut rate of one in ``rate`` words, a power of two.
 
     Only if one of two lines within the bound is a single block can nothing of them be
     left, and the other has two blocks at most: such lines give the keys of ``finer`` too.
     """
     none = F.array().cast("array<bigint>")
-    cuts = F.filter(F.sequence(F.lit(1), n), lambda i: (F.pmod(F.get(hashes, i - 1), rate) == 0) | (i == n))
-
-    def blocks(ends: Column) -> Column:
-        return F.transform(ends, lambda e, i: bind(
-            F.when(i == 0, 0).otherwise(F.get(ends, i - 1)), lambda s: F.xxhash64(F.slice(hashes, s + 1, e - s))))
 
     def keys(b: Column, whole: Column) -> Column:
         # a block or two neighbours taken out of the exclusive or of all
         one = F.when(F.size(b) > 1, F.transform(b, lambda x: whole.bitwiseXOR(x))).otherwise(none)
-        two = F.when((rate > 1) & (F.size(b) > 2), F.transform(F.slice(b, 1, F.size(b) - 1), lambda x, i: whole.bitwiseXOR(x).bitwiseXOR(F.get(b, i + 1)))).otherwise(none)
+        two = F.when((rate > 1) & (F.size(b) > 2), F.zip_with(
+            F.slice(one, 1, F.size(b) - 1), F.slice(b, 2, F.size(b) - 1), lambda x, y: x.bitwiseXOR(y))).otherwise(none)
         more = F.when(F.size(b) <= 2, finer()).otherwise(none) if finer else none
         return F.concat(F.array(whole), one, two, more)
 
     def salted(b: Column) -> Column:
         return F.aggregate(b, F.xxhash64(rate), lambda x, y: x.bitwiseXOR(y))
 
-    return bind(cuts, lambda e: bind(blocks(e), lambda b: bind(salted(b), lambda w: keys(b, w))))
+    return bind(_blocks(words, rate), lambda b: bind(salted(b), lambda w: keys(b, w)))
 
 
-def _line_keys(hashes: Column) -> Column:
+def _line_keys(words: Column) -> Column:
     """Block keys of a line; for a length at a border those of both rates."""
     none = F.array().cast("array<bigint>")
 
-    def keys(hashes: Column, n: Column, step: Column) -> Column:
+    def keys(words: Column, n: Column, step: Column) -> Column:
         rate = F.when(step < 0, 1).otherwise(F.pow(F.lit(2), step + 2)).cast("bigint")
         lower = F.when(step <= 0, 1).otherwise(F.pow(F.lit(2), step + 1)).cast("bigint")
         border = n <= 16 * F.pow(F.lit(2), step) + 1
         rates = F.when((step >= 0) & border, F.array(rate, lower)).otherwise(F.array(rate))
-        finest = lambda: _block_keys(hashes, n, F.lit(1).cast("bigint"))
-        middle = lambda r: bind(F.greatest(F.floor(r / 4), F.lit(1)).cast("bigint"), lambda x: _block_keys(hashes, n, x, finest))
-        levels = F.transform(rates, lambda r: _block_keys(hashes, n, r, lambda: middle(r)))
-        return F.when(n >= MIN_WORDS, F.flatten(levels)).otherwise(none)
+        finest = lambda: _block_keys(words, F.lit(1).cast("bigint"))
+        middle = lambda r: bind(F.greatest(F.floor(r / 4), F.lit(1)).cast("bigint"), lambda x: _block_keys(words, x, finest))
+        levels = F.transform(rates, lambda r: _block_keys(words, r, lambda: middle(r)))
+        return F.when(n >= MIN_WORDS - 1, F.flatten(levels)).otherwise(none)
 
-    step = lambda n: F.greatest(F.floor(F.log2(n / 16.0)), F.lit(-1)).cast("int")  # noqa: E731  -1: 8 to 15 words
-    return bind(hashes, lambda h: bind(F.size(h), lambda n: bind(step(n), lambda s: keys(h, n, s))))
+    step = lambda n: F.greatest(F.floor(F.log2(n / 16.0)), F.lit(-1)).cast("int")  # noqa: E731  -1: up to 15 words
+    return bind(words, lambda w: bind(F.size(w), lambda n: bind(step(n), lambda s: keys(w, n, s))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, dh, pos, line, h1, h2) of the lines with a word."""
     text = text_or_empty()
     rows = docs.select("doc_id", F.xxhash64(text).alias("dh"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    return rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(9), "line")})
+    return rows.where(_has_word(F.col("line"))).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(9), "line")})
 
 
 def _place() -> Column:
@@ -117,12 +126,13 @@ def _within_one(a: Column, b: Column) -> Column:
 
 def _word_variants(cand: DataFrame) -> DataFrame:
     """Rows (key, full, place, h1, h2): each line's variants without one word, and itself."""
-    line = Window.partitionBy("h1", "h2")
-    upto = line.orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
-    words = cand.select("h1", "h2", "place", F.posexplode("words").alias("j", "w"))
+    words_in_order = Window.partitionBy("h1", "h2").orderBy("j")  # one order for both frames: one sort
+    line = words_in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = words_in_order.rowsBetween(Window.unboundedPreceding, 0)
+    words = cand.select("h1", "h2", "place", F.size("words").alias("n"), F.posexplode("words").alias("j", "w"))
     words = words.withColumns({"m": F.xxhash64("j", "w"), "s": F.xxhash64(F.col("j") - 1, "w")}).drop("w")
     sums = words.select(
-        "h1", "h2", "place", "j", "m", F.count("*").over(line).alias("n"), F.bit_xor("m").over(line).alias("all_m"), F.bit_xor("s").over(line).alias("all_s"),
+        "h1", "h2", "place", "j", "m", "n", F.bit_xor("m").over(line).alias("all_m"), F.bit_xor("s").over(line).alias("all_s"),
         F.bit_xor("m").over(upto).alias("upto_m"), F.bit_xor("s").over(upto).alias("upto_s"),
     )
     xor = lambda *c: F.col(c[0]).bitwiseXOR(xor(*c[1:])) if len(c) > 1 else F.col(c[0])
@@ -134,7 +144,7 @@ def _word_variants(cand: DataFrame) -> DataFrame:
 
 def kept_lines(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, dh, kept): positions of the lines with words that stay, for documents with any; dh is the text's hash."""
-    lines = _lines(docs).select(_place().alias("place"), "h1", "h2", _line_keys(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("keys"))
+    lines = _lines(docs).select(_place().alias("place"), "h1", "h2", _line_keys(_words(F.col("line"))).alias("keys"))
     distinct = materialize(lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("keys").alias("keys")), "lines")
 
     keys = distinct.select("h1", F.explode("keys").alias("key"))
@@ -157,6 +167,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     links = links.groupBy("h1", "h2").agg(F.min("earlier").alias("earlier"))
     both = links.join(cand.select("h1", "h2", "words"), ["h1", "h2"]).join(
         cand.select(F.col("place").alias("earlier"), F.col("words").alias("others")), "earlier")
+    both = both.where(F.size("words") >= MIN_WORDS)
     gone = materialize(both.where(_within_one(F.col("words"), F.col("others"))).select("h1", "h2"), "gone")
 
     stay = distinct.select("h1", "h2", "place").join(maybe_broadcast(gone, KEYS_BROADCAST), ["h1", "h2"], "left_anti")
@@ -167,7 +178,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_lines, n_kept, kept): lines with a word, and the positions of those that stay."""
     kept = materialize(kept_lines(docs), "kept")
     text = text_or_empty()
-    counts = docs.select("doc_id", F.xxhash64(text).alias("dh"), F.size(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).alias("n_lines"))
+    counts = docs.select("doc_id", F.xxhash64(text).alias("dh"), F.size(F.filter(F.split(text, "\n"), _has_word)).alias("n_lines"))
     joined = null_safe(counts, kept, ["doc_id", "dh"], "left")
     kept_or_none = F.coalesce("kept", F.array().cast("array<int>"))
     return joined.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size(kept_or_none).cast("long").alias("n_kept"), kept_or_none.alias("kept"))
