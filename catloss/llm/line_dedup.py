@@ -125,49 +125,47 @@ def _within_one(a: Column, b: Column) -> Column:
 
 
 def _word_variants(cand: DataFrame) -> DataFrame:
-    """Rows (key, full, place, h1, h2): each line's variants without one word, and itself."""
-    words_in_order = Window.partitionBy("h1", "h2").orderBy("j")  # one order for both frames: one sort
+    """Rows (key, full, r): each line's variants without one word, and itself."""
+    words_in_order = Window.partitionBy("r").orderBy("j")  # one order for both frames: one sort
     line = words_in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = words_in_order.rowsBetween(Window.unboundedPreceding, 0)
-    words = cand.select("h1", "h2", "place", F.size("words").alias("n"), F.posexplode("words").alias("j", "w"))
+    words = cand.select("r", F.size("words").alias("n"), F.posexplode("words").alias("j", "w"))
     words = words.withColumns({"m": F.xxhash64("j", "w"), "s": F.xxhash64(F.col("j") - 1, "w")}).drop("w")
     sums = words.select(
-        "h1", "h2", "place", "j", "m", "n", F.bit_xor("m").over(line).alias("all_m"), F.bit_xor("s").over(line).alias("all_s"),
+        "r", "j", "m", "n", F.bit_xor("m").over(line).alias("all_m"), F.bit_xor("s").over(line).alias("all_s"),
         F.bit_xor("m").over(upto).alias("upto_m"), F.bit_xor("s").over(upto).alias("upto_s"),
     )
     xor = lambda *c: F.col(c[0]).bitwiseXOR(xor(*c[1:])) if len(c) > 1 else F.col(c[0])
     replaced = F.struct(F.xxhash64(F.lit(1), "n", "j", xor("all_m", "m")).alias("key"), F.lit(None).cast("boolean").alias("full"))
     deleted = F.struct(F.xxhash64(F.lit(2), F.col("n") - 1, xor("upto_m", "m", "all_s", "upto_s")).alias("key"), F.lit(False).alias("full"))
     whole = F.when(F.col("j") == 0, F.struct(F.xxhash64(F.lit(2), "n", "all_m").alias("key"), F.lit(True).alias("full")))
-    return sums.select("h1", "h2", "place", F.explode(F.array_compact(F.array(replaced, deleted, whole))).alias("v")).select("v.key", "v.full", "place", "h1", "h2")
+    return sums.select("r", F.explode(F.array_compact(F.array(replaced, deleted, whole))).alias("v")).select("v.key", "v.full", "r")
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, dh, kept): positions of the lines with words that stay, for documents with any; dh is the text's hash."""
-    lines = _lines(docs).select(_place().alias("place"), "h1", "h2", _line_keys(_words(F.col("line"))).alias("keys"))
-    distinct = materialize(lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("keys").alias("keys")), "lines")
+    first = _lines(docs).groupBy("h1", "h2").agg(F.min(_place()).alias("place"), F.any_value("line").alias("line"))
+    distinct = materialize(first.withColumn("keys", _line_keys(_words(F.col("line")))), "lines")
 
     keys = distinct.select("h1", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
     shared = materialize(shared, "shared")
-    partners = keys.join(maybe_broadcast(shared, KEYS_BROADCAST), "key", "left_semi").select("h1").distinct()
-    wanted = materialize(distinct.select("h1", "h2", "place").join(partners, "h1", "left_semi"), "wanted")
+    partners = materialize(keys.join(maybe_broadcast(shared, KEYS_BROADCAST), "key", "left_semi").select("h1").distinct(), "partners")
 
-    found = _lines(docs).withColumn("at", _place()).join(maybe_broadcast(wanted), ["h1", "h2"])
-    cand = found.where(F.col("at") == F.col("place")).select("h1", "h2", "place", _words(F.col("line")).alias("words"))
-    cand = materialize(cand.dropDuplicates(["h1", "h2"]), "candidates")
+    # r grows with the place: range partitions in order, rows in order, written once
+    cand = distinct.select("h1", "h2", "place", "line").join(maybe_broadcast(partners, KEYS_BROADCAST), "h1", "left_semi")
+    cand = cand.repartitionByRange("place").sortWithinPartitions("place").withColumn("r", F.monotonically_increasing_id())
+    cand = materialize(cand.select("h1", "h2", "r", _words(F.col("line")).alias("words")), "candidates")
 
     variants = materialize(_word_variants(cand), "variants")
+    part = F.col("full").isNull() | ~F.col("full")
     firsts = variants.groupBy("key").agg(
-        F.count("*").alias("n"), F.min(F.when(F.col("full"), F.col("place"))).alias("full_place"),
-        F.min(F.when(F.col("full").isNull() | ~F.col("full"), F.col("place"))).alias("part_place")).where("n > 1").drop("n")
-    firsts = materialize(firsts, "firsts")
-    earlier = F.when(F.col("full").isNull() | F.col("full"), F.col("part_place")).otherwise(F.col("full_place"))
-    links = variants.join(maybe_broadcast(firsts), "key").withColumn("earlier", earlier).where("earlier < place")
-    links = links.groupBy("h1", "h2").agg(F.min("earlier").alias("earlier"))
-    both = links.join(cand.select("h1", "h2", "words"), ["h1", "h2"]).join(
-        cand.select(F.col("place").alias("earlier"), F.col("words").alias("others")), "earlier")
-    both = both.where(F.size("words") >= MIN_WORDS)
+        F.count("*").alias("n"), F.min(F.when(F.col("full"), F.col("r"))).alias("full_r"), F.min(F.when(part, F.col("r"))).alias("part_r"))
+    firsts = materialize(firsts.where("n > 1").drop("n"), "firsts")
+    earlier = F.when(F.col("full").isNull() | F.col("full"), F.col("part_r")).otherwise(F.col("full_r"))
+    links = variants.join(maybe_broadcast(firsts), "key").withColumn("earlier", earlier).where("earlier < r")
+    links = links.groupBy("r").agg(F.min("earlier").alias("earlier"))
+    both = links.join(cand.where(F.size("words") >= MIN_WORDS), "r").join(cand.select(F.col("r").alias("earlier"), F.col("words").alias("others")), "earlier")
     gone = materialize(both.where(_within_one(F.col("words"), F.col("others"))).select("h1", "h2"), "gone")
 
     stay = distinct.select("h1", "h2", "place").join(maybe_broadcast(gone, KEYS_BROADCAST), ["h1", "h2"], "left_anti")
