@@ -144,8 +144,8 @@ def _word_variants(cand: DataFrame) -> DataFrame:
 
 def kept_lines(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, dh, kept): positions of the lines with words that stay, for documents with any; dh is the text's hash."""
-    first = _lines(docs).groupBy("h1", "h2").agg(F.min(_place()).alias("place"), F.any_value("line").alias("line"))
-    distinct = materialize(first.withColumn("keys", _line_keys(_words(F.col("line")))), "lines")
+    lines = _lines(docs).select(_place().alias("place"), "h1", "h2", _line_keys(_words(F.col("line"))).alias("keys"))
+    distinct = materialize(lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("keys").alias("keys")), "lines")
 
     keys = distinct.select("h1", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
@@ -153,9 +153,14 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     partners = materialize(keys.join(maybe_broadcast(shared, KEYS_BROADCAST), "key", "left_semi").select("h1").distinct(), "partners")
 
     # r grows with the place: range partitions in order, rows in order, written once
-    cand = distinct.select("h1", "h2", "place", "line").join(maybe_broadcast(partners, KEYS_BROADCAST), "h1", "left_semi")
-    cand = cand.repartitionByRange("place").sortWithinPartitions("place").withColumn("r", F.monotonically_increasing_id())
-    cand = materialize(cand.select("h1", "h2", "r", _words(F.col("line")).alias("words")), "candidates")
+    wanted = distinct.select("h1", "h2", "place").join(maybe_broadcast(partners, KEYS_BROADCAST), "h1", "left_semi")
+    wanted = wanted.repartitionByRange("place").sortWithinPartitions("place").withColumn("r", F.monotonically_increasing_id())
+    wanted = materialize(wanted, "wanted")
+    text = text_or_empty()
+    found = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("dh"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    wanted = wanted.select("h1", "h2", "r", "place.*")
+    found = found.join(maybe_broadcast(wanted), ["dh", "pos"]).where(F.col("id").eqNullSafe(F.col("doc_id")))
+    cand = materialize(found.select("h1", "h2", "r", _words(F.col("line")).alias("words")).dropDuplicates(["r"]), "candidates")
 
     variants = materialize(_word_variants(cand), "variants")
     part = F.col("full").isNull() | ~F.col("full")
