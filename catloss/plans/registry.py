@@ -199,6 +199,19 @@ def q_inventory_counts(spark, sf_dir):
     return TPL.inventory_row_counts(spark)
 
 
+def q_inventory_columns(spark, sf_dir):
+    _with_views(spark, sf_dir, wide=True)
+    loss_bounds = F.when(F.col("table_name") == TPL.REPORT_TABLE, F.lit(SUM)).otherwise(F.lit(AVERAGE))
+    rounded = {c: (F.floor(F.col(c) * loss_bounds + F.lit(SHIFT)) / loss_bounds).alias(c) for c in ("min_number", "max_number")}
+    df = TPL.inventory_columns(spark)
+    return df.select(*[rounded.get(c, F.col(c)) for c in df.columns])
+
+
+def q_wide_check_months(spark, sf_dir):
+    _with_views(spark, sf_dir, wide=True)
+    return _rounded(_sums(TPL.wide_portfolio_months(spark)), {"avg_blend_factor": AVERAGE})
+
+
 def q_report_totals(spark, sf_dir):
     _with_views(spark, sf_dir)
     return _sums(TPL.report_totals(spark))
@@ -282,6 +295,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_top_losses": q_top_losses,
     "q_wide_events": q_wide_events,
     "q_wide_check": q_wide_check,
+    "q_inventory_columns": q_inventory_columns,
+    "q_wide_check_months": q_wide_check_months,
     "q_portfolio_waterfall": q_portfolio_waterfall,
     "q_stage_counts": q_stage_counts,
     "q_event_waterfall": q_event_waterfall,
@@ -449,6 +464,42 @@ def _portfolio_waterfall_oracle() -> str:
     return f"SELECT base_model, rollup_lob, rollup_peril, {', '.join(cols)} FROM main_long GROUP BY 1, 2, 3"
 
 
+def _inventory_columns_oracle() -> str:
+    """Rows of the column dictionary from each table's output contract, described one column at a time."""
+    fields = lambda schema: [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    types = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+    known = dict(fields(SC.MAIN_LONG))
+    wide = [(c, known.get(c, "double")) for c in WD.wide_columns(_bridge_dates())]
+    tables = {
+        TPL.MAIN_TABLE: ("main_long", fields(SC.MAIN_LONG), AVERAGE),
+        TPL.DIALSUP_TABLE: ("dialsup_long", fields(SC.DIALSUP_LONG), AVERAGE),
+        TPL.WIDE_TABLE: ("wide_output", wide, AVERAGE),
+        TPL.REPORT_TABLE: ("ep_report", fields(SC.EP_REPORT), SUM),
+    }
+
+    def column(table: str, i: int, name: str, kind: str, k: float) -> str:
+        number = kind in ("bigint", "int", "double")
+        bounds = [_sql_rounded(f"{f}(CAST(\"{name}\" AS DOUBLE))", k) if number else "CAST(NULL AS DOUBLE)" for f in ("MIN", "MAX")]
+        texts = ["CAST(NULL AS VARCHAR)" if number else f"{f}(CAST(\"{name}\" AS VARCHAR))" for f in ("MIN", "MAX")]
+        return (f"{{'table_name': '{table}', 'ordinal_position': {i}, 'column_name': '{name}', 'data_type': '{types[kind]}', "
+                f"'rows': COUNT(*), 'null_rows': COUNT(*) - COUNT(\"{name}\"), 'min_number': {bounds[0]}, 'max_number': {bounds[1]}, "
+                f"'min_text': {texts[0]}, 'max_text': {texts[1]}}}")
+
+    parts = []
+    for table, (source, columns, k) in tables.items():
+        rows = ", ".join(column(table, i, name, kind, k) for i, (name, kind) in enumerate(columns, 1))
+        parts.append(f"SELECT UNNEST([{rows}], recursive := true) FROM {source}")
+    return " UNION ALL ".join(f"({p})" for p in parts)
+
+
+def _wide_check_months_oracle() -> str:
+    months = [d.replace("-", "")[:6] for d in _bridge_dates()]
+    return " UNION ALL ".join(
+        f"SELECT base_model, rollup_lob, rollup_peril, COUNT(*) AS rows, {_sql_rounded('AVG(uplift_factor_on_base_model)')} AS avg_blend_factor, "
+        f"'{m}' AS forecast_month, {_xsum(f'euws_override_{m}_loss')} AS final_main_loss, "
+        f"{_xsum(f'dialsup_localccy_forecast_{m}_loss')} AS final_dialsup_loss FROM wide_output GROUP BY 1, 2, 3" for m in months)
+
+
 def _first_month() -> str:
     return _bridge_dates()[0].replace("-", "")[:6]
 
@@ -529,6 +580,8 @@ ORACLE_SELECT: dict[str, str] = {
         f"{_xsum(f'dialsup_localccy_forecast_{_first_month()}_loss')} AS final_dialsup_loss "
         f"FROM wide_output GROUP BY 1, 2, 3"
     ),
+    "q_wide_check_months": _wide_check_months_oracle(),
+    "q_inventory_columns": _inventory_columns_oracle(),
     "q_portfolio_waterfall": _portfolio_waterfall_oracle(),
     "q_stage_counts": (
         "SELECT forecast_date, base_model, rollup_lob, rollup_peril, metric, COUNT(*) AS rows, "

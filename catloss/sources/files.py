@@ -8,7 +8,10 @@ fails the job instead of turning into null).
 
 from __future__ import annotations
 
+import csv
 import posixpath
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,8 @@ from catloss.operators import ep_convert as EC
 from catloss.params import VENDORS
 
 EP_CANONICAL_COLUMNS = SC.names(SC.EP_LONG)
+#: Files whose column places (some 200 bytes a file) are broadcast.
+FILES_BROADCAST = 100_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -106,50 +111,84 @@ def load_seeds(spark: SparkSession, data_root: str) -> dict[str, DataFrame]:
     return frames
 
 
-def load_ep_summaries(spark: SparkSession, data_root: str) -> DataFrame:
-    """S3: ``*.long.csv`` files under ``ep_summaries/<vendor>/`` (any depth).
-
-    The first folder must be exactly a vendor name; each vendor needs at least one
-    file; every file must carry the 7 canonical columns (checked from its header);
-    ``vendor`` is taken from the folder, extra columns are dropped.
-    """
-    root = posixpath.join(data_root, "ep_summaries")
-    by_vendor: dict[str, list[str]] = {v: [] for v in VENDORS}
+def _ep_summary_entries(spark: SparkSession, root: str) -> dict[str, str]:
+    """Listed ``*.long.csv`` entries (files or Spark-written folders) and their vendors."""
+    entries = {}
     for path in _list(spark, root, recursive=True):
         if not path.endswith(".long.csv"):
             continue
-        rel = _rel(path, root)
-        parts = rel.split("/")
+        parts = _rel(path, root).split("/")
         if len(parts) < 2:
             raise ValueError(f"EP summary file must sit in a vendor folder: {path}")
-        if parts[0] not in by_vendor:
+        if parts[0] not in VENDORS:
             raise ValueError(f"unknown EP summary vendor folder {parts[0]!r}: {path}")
-        by_vendor[parts[0]].append(path)
-    frames = []
-    for vendor, paths in by_vendor.items():
-        if not paths:
+        entries[path] = parts[0]
+    for vendor in VENDORS:
+        if vendor not in entries.values():
             raise FileNotFoundError(f"no {vendor} EP summary files (*.long.csv) under {root}/{vendor}")
-        # Spark maps the columns of one CSV read by position, so files are read together only
-        # if their headers are equal
-        by_header: dict[tuple[str, ...], list[str]] = {}
-        for path in paths:
-            header = tuple(_csv_strings(spark, path).columns)
-            missing = [c for c in EP_CANONICAL_COLUMNS if c not in header]
-            if missing:
-                raise ValueError(f"{path} is missing EP summary columns {missing}")
-            by_header.setdefault(header, []).append(path)
-        digits = F.col("analysis_id").rlike(r"^[0-9]+$")
-        for same in by_header.values():
-            df = _csv_strings(spark, same).withColumns({
-                "vendor": F.lit(vendor),
-                # ids of digits only are numbers in the YLT, so they lose leading zeros (X11)
-                "analysis_id": F.when(digits, F.regexp_replace("analysis_id", r"^0+(?=[0-9])", "")).otherwise(F.col("analysis_id")),
-            })
-            frames.append(_cast_by_name(df, SC.EP_LONG, f"{root}/{vendor}"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return entries
+
+
+def _header_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """File -> its first line that is not blank, of all files in one job.
+
+    Rows of a file's first block come in the order of the file, so the least row id is
+    the header's; each task sends one line a file.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where((F.col("file_block_start") == 0) & (F.trim("value") != "")).withColumn("row", F.monotonically_increasing_id())
+    return {r.file_path: r.header for r in lines.groupBy("file_path").agg(F.min_by("value", "row").alias("header")).collect()}
+
+
+def _entry_of(file_path: str, entries: dict[str, str]) -> str:
+    """The listed entry a data file is, or lies in; the file's path may be URL-encoded and have another number of slashes."""
+    bare = lambda p: re.sub(r"^([a-z][a-z0-9+.-]*):/+", r"\1:/", p)
+    known = {bare(e): e for e in entries}
+    for path in (bare(file_path), bare(unquote(file_path))):
+        for candidate in (path, posixpath.dirname(path)):
+            if candidate in known:
+                return known[candidate]
+    raise ValueError(f"{file_path} belongs to no listed EP summary file")
+
+
+def load_ep_summaries(spark: SparkSession, data_root: str) -> DataFrame:
+    """S3: ``*.long.csv`` files under ``ep_summaries/<vendor>/`` (any depth), in one scan.
+
+    The first folder must be exactly a vendor name; each vendor needs at least one
+    file; every file must carry the 7 canonical columns (checked from its header);
+    ``vendor`` is taken from the folder, extra columns are dropped.
+
+    Spark maps the columns of a CSV scan by position. So the scan reads fields by number,
+    and a table of one row a file says which number holds which column: any mix of column
+    orders is one scan, and the jobs are as many for 500 files as for two.
+    """
+    root = posixpath.join(data_root, "ep_summaries")
+    entries = _ep_summary_entries(spark, root)
+    headers = {f: next(csv.reader([line.lstrip("\ufeff")])) for f, line in _header_lines(spark, list(entries)).items()}
+    wanted = [c for c in EP_CANONICAL_COLUMNS if c != "vendor"]
+    layout, seen = [], set()
+    for path, header in headers.items():
+        entry = _entry_of(path, entries)
+        seen.add(entry)
+        missing = [c for c in EP_CANONICAL_COLUMNS if header.count(c) != 1]
+        if missing:
+            raise ValueError(f"{entry} is missing EP summary columns {missing}, or repeats them")
+        layout.append((path, entries[entry], [header.index(c) for c in wanted]))
+    if empty := sorted(set(entries) - seen):
+        raise ValueError(f"{empty[0]} is missing EP summary columns {EP_CANONICAL_COLUMNS}: it has no header")
+
+    width = max(map(len, headers.values()))
+    fields = ", ".join(f"_{i} string" for i in range(width))
+    data = spark.read.schema(fields).option("header", True).csv(list(entries))
+    data = data.select(F.array(*[f"_{i}" for i in range(width)]).alias("fields"), "_metadata.file_path")
+    places = spark.createDataFrame(layout, "file_path string, vendor string, places array<int>")
+    # a row a file: broadcast, as one large file would be one key of a shuffle
+    rows = data.join(F.broadcast(places) if len(layout) <= FILES_BROADCAST else places, "file_path")
+    rows = rows.select("vendor", *[F.get("fields", F.get("places", i)).alias(c) for i, c in enumerate(wanted)])
+    digits = F.col("analysis_id").rlike(r"^[0-9]+$")
+    # ids of digits only are numbers in the YLT, so they lose leading zeros (X11)
+    number = F.regexp_replace("analysis_id", r"^0+(?=[0-9])", "")
+    return _cast_by_name(rows.withColumn("analysis_id", F.when(digits, number).otherwise(F.col("analysis_id"))), SC.EP_LONG, root)
 
 
 def load_inputs(spark: SparkSession, data_root: str) -> RunInputs:

@@ -10,8 +10,12 @@ months present in the data (the reference asks analysts to edit them by hand).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catloss.operators.main_stream import MAIN_STAGES
 
@@ -40,13 +44,38 @@ def inventory_row_counts(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM ({parts}) ORDER BY table_name")
 
 
-def inventory_columns(spark: SparkSession) -> DataFrame:
-    """Column dictionary of the registered views (catalogue metadata, no data job)."""
-    rows = []
-    for t in spark.catalog.listTables():
-        for i, c in enumerate(spark.catalog.listColumns(t.name)):
-            rows.append((t.name, i + 1, c.name, c.dataType))
-    return spark.createDataFrame(rows, "table_name string, ordinal_position int, column_name string, data_type string")
+def _data_type(data_type: T.DataType) -> str:
+    return {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE"}.get(
+        data_type.simpleString(), data_type.simpleString().upper())
+
+
+def _table_columns(spark: SparkSession, table: str) -> DataFrame:
+    """One row a column of ``table``: its type and, from one pass over the rows, what it holds."""
+    df = spark.table(table)
+
+    def described(i: int, f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        number = isinstance(f.dataType, T.NumericType)
+        as_number = c.cast("double") if number else F.lit(None).cast("double")
+        as_text = F.lit(None).cast("string") if number else c.cast("string")
+        return F.struct(
+            F.lit(i).alias("ordinal_position"), F.lit(f.name).alias("column_name"), F.lit(_data_type(f.dataType)).alias("data_type"),
+            F.count("*").alias("rows"), (F.count("*") - F.count(c)).alias("null_rows"),
+            F.min(as_number).alias("min_number"), F.max(as_number).alias("max_number"),
+            F.min(as_text).alias("min_text"), F.max(as_text).alias("max_text"))
+
+    columns = df.agg(F.array(*[described(i, f) for i, f in enumerate(df.schema.fields, 1)]).alias("columns"))
+    return columns.select(F.lit(table).alias("table_name"), F.inline("columns"))
+
+
+def inventory_columns(spark: SparkSession, tables: Sequence[str] = CORE_TABLES) -> DataFrame:
+    """Column dictionary with statistics: rows, nulls, least and greatest value of every column.
+
+    Numbers have their bounds as doubles, other types as text; an empty or all-null
+    column has none. Each table is read once, and a task sends one row.
+    """
+    parts = [_table_columns(spark, t) for t in tables]
+    return functools.reduce(DataFrame.unionByName, parts).orderBy("table_name", "ordinal_position")
 
 
 def wide_loss_columns(spark: SparkSession) -> list[str]:
@@ -107,6 +136,29 @@ GROUP BY 1, 2, 3
 ORDER BY final_main_loss DESC NULLS LAST""", args=_args(rollup_lob, rollup_peril))
 
 
+def wide_months(spark: SparkSession) -> list[str]:
+    """Forecast months (YYYYMM) that the wide table has both loss columns of."""
+    have = set(wide_loss_columns(spark))
+    months = sorted(c.split("_")[-2] for c in have if c.startswith("euws_override_"))
+    return [m for m in months if f"dialsup_localccy_forecast_{m}_loss" in have]
+
+
+def wide_portfolio_months(spark: SparkSession, rollup_lob: str | None = None, rollup_peril: str | None = None) -> DataFrame:
+    """The portfolio check of every forecast month, from one aggregation: a row per portfolio and month."""
+    months = wide_months(spark)
+    sums = ", ".join(f"SUM(euws_override_{m}_loss) AS main_{m}, SUM(dialsup_localccy_forecast_{m}_loss) AS dialsup_{m}" for m in months)
+    rows = ", ".join(f"'{m}', main_{m}, dialsup_{m}" for m in months)
+    return spark.sql(f"""
+SELECT base_model, rollup_lob, rollup_peril, rows, avg_blend_factor,
+       stack({len(months)}, {rows}) AS (forecast_month, final_main_loss, final_dialsup_loss)
+FROM (SELECT base_model, rollup_lob, rollup_peril, COUNT(*) AS rows,
+             AVG(uplift_factor_on_base_model) AS avg_blend_factor, {sums}
+      FROM {WIDE_TABLE}
+      WHERE {PORTFOLIO_FILTER}
+      GROUP BY 1, 2, 3)
+ORDER BY forecast_month, final_main_loss DESC NULLS LAST""", args=_args(rollup_lob, rollup_peril))
+
+
 # --- Q5 / Q6 long waterfall ----------------------------------------------------------
 def _stage_sum(metric: str, date: str | None = None) -> str:
     cond = f"metric = '{metric}'" + (f" AND forecast_date = DATE '{date}'" if date else "")

@@ -90,3 +90,48 @@ def test_ep_files_with_other_column_orders_load_by_name(spark):
     got = {tuple(r) for r in S.load_ep_summaries(spark, root).where("vendor = 'verisk'")
            .select("analysis_id", "modelled_lob", "modelled_peril", "ep_type", "return_period", "loss").collect()}
     assert got == {("7", "LOB0", "VP0", "AAL", 0, 1.5), ("12", "LOB9", "VP9", "OEP", 200, 3.5)}
+
+
+def test_many_ep_files_load_in_one_scan_with_constant_jobs(spark):
+    """Any number of files and column orders: one CSV scan, and no more jobs than for a few files."""
+
+    def tree(n: int) -> str:
+        root = tempfile.mkdtemp(prefix="catloss src %20")
+        columns = EP_HEADER.strip().split(",")
+        for i in range(n):
+            for v in ("verisk", "risklink"):
+                values = {"vendor": "?", "analysis_id": f"0{i}", "modelled_lob": f"L{i}", "modelled_peril": "P, Q",
+                          "ep_type": "OEP", "return_period": "200", "loss": f"{i}.5", "extra": "x"}
+                order = columns[i % len(columns):] + columns[: i % len(columns)]
+                cells = [f'"{values[c]}"' if "," in values[c] else values[c] for c in order]
+                _write(f"{root}/ep_summaries/{v}/d {i % 7}/f{i}.long.csv", f"\n{','.join(order)}\n{','.join(cells)}\n")
+        return root
+
+    def load(n: int):
+        sc = spark.sparkContext
+        group = f"ep-{n}-{os.getpid()}"
+        sc.setJobGroup(group, "load")
+        try:
+            df = S.load_ep_summaries(spark, tree(n))
+            got = df.collect()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return df, got, len(sc.statusTracker().getJobIdsForGroup(group))
+
+    _, few, few_jobs = load(20)
+    df, many, many_jobs = load(150)
+    assert len(few) == 40 and few_jobs >= many_jobs - 1
+    assert sorted(tuple(r) for r in many) == sorted(
+        (v, str(i), f"L{i}", "P, Q", "OEP", 200, i + 0.5) for i in range(150) for v in ("verisk", "risklink"))
+    assert df._jdf.queryExecution().sparkPlan().toString().count("FileScan csv") == 1
+
+
+def test_ep_file_without_or_with_repeated_columns_rejected(spark):
+    root = _tree(spark)
+    _write(f"{root}/ep_summaries/verisk/none.long.csv", "")
+    with pytest.raises(ValueError, match="none.long.csv is missing EP summary columns"):
+        S.load_ep_summaries(spark, root)
+    root = _tree(spark)
+    _write(f"{root}/ep_summaries/verisk/twice.long.csv", EP_HEADER.replace("extra", "loss"))
+    with pytest.raises(ValueError, match=r"\['loss'\], or repeats them"):
+        S.load_ep_summaries(spark, root)
