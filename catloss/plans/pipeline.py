@@ -12,18 +12,20 @@ Order of work (one Spark application):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from catloss import schemas as SC
-from catloss.inputs import RunInputs
+from catloss.inputs import RunInputs, check_seeds
 from catloss.operators import marts as MT
 from catloss.operators import quality as QL
 from catloss.operators import report as RP
 from catloss.params import RunParams
 from catloss.plans.frames import RunFrames
+from catloss.session import ensure_checkpoint_dir
 from catloss.sinks import writers as W
+from catloss.sources.files import load_inputs
 from catloss.sql import templates as TPL
 
 # Published file and folder names.
@@ -131,19 +133,61 @@ def build_ep_report(spark: SparkSession, output_root: str, params: RunParams | N
     return RP.ep_report(main_long, dialsup_long, params)
 
 
+def run_paths(
+    spark: SparkSession, data_root: str, output_root: str, params: RunParams | None = None, **options
+) -> RunResult:
+    """One call from a data folder to the published outputs (``options``: those of ``run``)."""
+    return run(spark, load_inputs(spark, data_root), output_root, params, **options)
+
+
+@dataclass(frozen=True)
+class Validation:
+    """Validate-only result: whether a run would start, and the two reports."""
+
+    is_valid: bool
+    coverage: DataFrame
+    input_aal: DataFrame
+    paths: tuple[str, ...] = ()
+
+
+def validate(inputs: RunInputs, params: RunParams | None = None) -> Validation:
+    """Validate-only mode: required seeds (a missing one is an error), coverage, input AAL (empty when blocked).
+
+    The coverage report is computed once and read for the verdict, the gate and the output.
+    """
+    check_seeds(inputs.seeds)
+    coverage = QL.dimension_coverage(inputs)
+    ensure_checkpoint_dir(coverage.sparkSession)
+    coverage = coverage.checkpoint()
+    aal = QL.input_aal_summary(inputs, params or RunParams(), coverage=coverage)
+    return Validation(not QL.has_blocking_errors(coverage), coverage, aal)
+
+
 def validation_reports(inputs: RunInputs, params: RunParams | None = None) -> dict[str, DataFrame]:
-    """Validate-only mode, by file name: coverage report and input AAL summary (empty when blocked)."""
-    params = params or RunParams()
-    return {
-        COVERAGE_FILE: QL.dimension_coverage(inputs),
-        INPUT_AAL_FILE: QL.input_aal_summary(inputs, params),
-    }
+    """The reports of validate-only mode, by file name."""
+    found = validate(inputs, params)
+    return {COVERAGE_FILE: found.coverage, INPUT_AAL_FILE: found.input_aal}
+
+
+def write_validation(inputs: RunInputs, output_root: str, params: RunParams | None = None) -> Validation:
+    """Both reports are staged before either replaces its predecessor; an invalid input still gets its reports."""
+    found = validate(inputs, params)
+    reports = {COVERAGE_FILE: found.coverage, INPUT_AAL_FILE: found.input_aal}
+    paths = W.write_csvs({_join(output_root, ANALYSIS_DIR, name): df for name, df in reports.items()})
+    return replace(found, paths=tuple(paths))
 
 
 def write_validation_reports(inputs: RunInputs, output_root: str, params: RunParams | None = None) -> list[str]:
-    """Both reports are staged before either replaces its predecessor."""
-    reports = validation_reports(inputs, params)
-    return W.write_csvs({_join(output_root, ANALYSIS_DIR, name): df for name, df in reports.items()})
+    """The paths that ``write_validation`` writes."""
+    return list(write_validation(inputs, output_root, params).paths)
+
+
+def validate_paths(spark: SparkSession, data_root: str, output_root: str, params: RunParams | None = None) -> Validation:
+    """Validate-only mode from a data folder."""
+    return write_validation(load_inputs(spark, data_root), output_root, params)
 
 
-__all__ = ["run", "RunResult", "build_ep_report", "validation_reports", "write_validation_reports"]
+__all__ = [
+    "run", "run_paths", "RunResult", "build_ep_report", "Validation", "validate", "validate_paths", "validation_reports", "write_validation",
+    "write_validation_reports",
+]
