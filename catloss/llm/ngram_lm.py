@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from catloss.llm.common import materialize, maybe_broadcast, text_or_empty
 from catloss.llm.elias_fano import Trie
 
-SHARD_CHARS = 24_000_000
+SHARD_CHARS = 12_000_000
 END = xxhash.xxh64_intdigest(b" ")  # no word has a space; a text's first word comes after an end
 SHIFT = np.uint64(24)  # 40 bits of a hash remain
 AT_ONCE = 5_000_000  # bytes of text that a task holds as tokens, unless one text is longer
@@ -47,7 +47,8 @@ class Batch:
     """Tokens of a batch of texts: hashes of the distinct words, and (text, word, first word) of each token."""
 
     def __init__(self, texts: pa.Array):
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        # lowered before the cast: pyarrow 23's ascii_lower misreads a slice that was cast, whose bytes begin later
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
         coded = split.flatten().dictionary_encode()
         known = coded.dictionary.cast(pa.large_binary()).to_pylist()
         self.hashes = np.array([*map(xxhash.xxh64_intdigest, known), END], "uint64")
@@ -322,7 +323,8 @@ def questions(docs: DataFrame, shards: int, heavy: np.ndarray) -> DataFrame:
                 for sh, x in _by_shard(shard):
                     w, runs = _runs(word[x])
                     d = slice(ends[x.start] - of[x.start], ends[x.stop - 1])
-                    rows.append((sh, block, _planes(k, w, runs.astype("<u4"), *_split40(first[x]), of[x].astype("<u2"), doc[d], times[d])))
+                    has, at = np.unique(doc[d], return_inverse=True)  # only their keys go there
+                    rows.append((sh, block, _planes(k[has], w, runs.astype("<u4"), *_split40(first[x]), of[x].astype("<u4"), at.astype("<u2"), times[d])))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["shard", "block", "data"])
 
@@ -359,8 +361,7 @@ def score_texts(docs: DataFrame, training: Column) -> DataFrame:
             c, base = np.repeat(c, runs), np.repeat(s.base(c), runs)
             per = lambda x: np.bincount(doc, np.repeat(x, of) * times, len(k))
             n, known, base, one = per(np.ones(len(c))), per(c > 0), per(base), per(one)
-            has = n > 0
-            out.append((block, _planes(k[has], n[has].astype("<u4"), known[has].astype("<u4"), base[has], one[has])))
+            out.append((block, _planes(k, n.astype("<u4"), known.astype("<u4"), base, one)))
         return pd.DataFrame(out, columns=["block", "sums"])
 
     def add(pdf):

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -251,6 +252,16 @@ def test_language_model(docs, spark):
         assert r["train_tokens"] == n and r["base_score"] == pytest.approx(want[r["doc_id"]]) and r["score"] < 0
 
 
+def test_language_model_reads_batches_in_parts(spark):
+    texts = pa.array(["A b c d e f", "5 6 7", "Q 1 1", "x"])
+    part = ngram_lm.Batch(texts.slice(1, 2))
+    assert part.doc.tolist() == [0, 0, 0, 0, 1, 1, 1, 1] and len(part.hashes) == 6
+    rows = [(1, "One two " * (ngram_lm.AT_ONCE // 8)), (2, "one three"), (3, "TWO " * 5)]
+    got = {r["doc_id"]: r for r in ngram_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), F.lit(True)).collect()}
+    assert {i: r["n_tokens"] for i, r in got.items()} == {i: len(t.split()) + 1 for i, t in rows}
+    assert all(r["n_known"] == r["n_tokens"] and r["train_tokens"] == sum(len(t.split()) + 1 for _, t in rows) for r in got.values())
+
+
 def test_language_model_keeps_bigrams_seen_once(spark):
     texts = [f"a{i} b{i} c{i}" for i in range(300)] + ["xx yy"] * 200
     frame = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
