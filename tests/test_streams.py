@@ -121,3 +121,11 @@ def test_only_asked_streams_are_ranked_and_scratch_is_removed(spark):
     assert os.path.isdir(folder)
     fr.close()
     assert not os.path.exists(folder)
+
+
+def test_stages_are_emitted_without_lambdas(spark):
+    """Lambdas over arrays are interpreted for every row; the streams of big tables must compile."""
+    fr = bridge_frames(spark)
+    for df in (fr.main_stream, fr.dialsup_stream, fr.main_long):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "lambdafunction" not in plan and "filter(array" not in plan
