@@ -22,12 +22,13 @@ from __future__ import annotations
 
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloss.llm.common import WS, materialize, maybe_broadcast, null_safe
+from catloss.llm.common import WS, materialize, maybe_broadcast, null_safe, sliced
 
+AT_ONCE = 1 << 20  # bytes of text that a task holds as Python strings, unless one text is longer
 SKETCH_ERROR = 0.02
 MIN_DOCS = 200
 SPREADS = 6.0
@@ -71,14 +72,28 @@ def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
     )
 
 
+def measured_texts(texts: pa.Array) -> pa.Array:
+    """The counts of every text, as structs."""
+    found = [[] for _ in MEASURES.split(", ")]
+    for part in sliced(pa.RecordBatch.from_arrays([texts], ["text"]), AT_ONCE):
+        for counts in map(measure, part.column(0).to_pylist()):
+            for held, n in zip(found, counts):
+                held.append(n)
+    return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in found], [c.split()[0] for c in MEASURES.split(", ")])
+
+
 def measures(column: str = "text") -> Column:
-    """The counts of a text column, as a struct."""
+    """The counts of a text column, as a struct.
+
+    Marked nondeterministic so that no filter on the counts is pushed below them: it would
+    work them out a second time, in a second Python worker of every task.
+    """
 
-    @F.pandas_udf(MEASURES)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([measure(x) for x in texts], columns=[c.split()[0] for c in MEASURES.split(", ")], dtype="int64")
+    @F.arrow_udf(MEASURES)
+    def run(texts: pa.Array) -> pa.Array:
+        return measured_texts(texts)
 
-    return run(F.col(column).cast("string"))
+    return run.asNondeterministic()(F.col(column).cast("string"))
 
 
 def rule_value(rule: str):

@@ -102,6 +102,16 @@ def test_quality_rules(docs, spark):
     assert {r["doc_id"] for r in quality_rules.filter_documents(docs).collect()} == {i for i, r in rows.items() if r["kept"]}
 
 
+def test_texts_are_measured_once_a_pass_and_in_parts(docs, monkeypatch):
+    measured = docs.select("lang", "source", quality_rules.measures().alias("_m"))
+    plan = quality_rules.sketches(measured)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # a filter on the counts would otherwise bring a second Python worker to every task
+    texts = pa.array(["a b", None, "", "$ \n$ \n", "x" * 90, "\u00c9 \u00e9"])
+    monkeypatch.setattr(quality_rules, "AT_ONCE", 8)
+    assert [tuple(x.values()) for x in quality_rules.measured_texts(texts).to_pylist()] == [quality_rules.measure(t) for t in texts.to_pylist()]
+    assert quality_rules.measured_texts(texts.slice(0, 0)).to_pylist() == []
+
+
 def test_sketch_quantiles_are_near_exact(spark):
     values = [RNG.lognormvariate(0, 1) for _ in range(4000)]
     measured = spark.createDataFrame([("en", "a", (1000, int(1000 * v), 0, 0, 0, 1)) for v in values],
