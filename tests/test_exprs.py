@@ -37,6 +37,16 @@ def test_strip_ws_removes_tabs_and_spaces(spark):
     assert _one(spark, strip_ws("s"), [(" \tSTC  \n",), (None,)], "s string") == ["STC", None]
 
 
+def test_strip_ws_equals_the_trim_of_all_white_space(spark):
+    from catloss.functions.exprs import WHITE_SPACE
+    ends = ["", " ", "\t", " \x0b ", "\u3000", "\x85", "\x1f", "\x7f", "\u00e9", "~", "!"]
+    texts = [a + m + b for a in ends for m in ("", "x", "x \t y", "\u2003") for b in ends]
+    frame = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert [r[0] for r in frame.select(strip_ws("s")).collect()] == [t.strip(WHITE_SPACE) for t in texts]
+    plan = frame.select(strip_ws("s").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan  # the trim of many characters is for odd ends only
+
+
 def test_parse_loss_guards_java_suffixes(spark):
     out = _one(spark, parse_loss("s"), [(" 1,750,472 ",), ("10d",), ("",), ("2.5e3",), ("-,123",)], "s string")
     assert out == [1750472.0, None, None, 2500.0, -123.0]
