@@ -15,6 +15,19 @@ import numpy as np
 AT_ONCE = 1 << 16  # queries whose bits are unpacked at a time
 
 
+def nth_one(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the rank-th (from 0) one of each 64-bit word, by halving the bits it can be among."""
+    word, rank, at = word.astype("uint64"), rank.astype("u1"), np.zeros(len(word), "u1")
+    for width in (32, 16, 8, 4, 2, 1):
+        ones = np.bitwise_count(word & np.uint64((1 << width) - 1))
+        later = rank >= ones
+        rank = rank - ones * later
+        step = later * np.uint8(width)
+        word = word >> step
+        at += step
+    return at.astype("int64")
+
+
 class Bits:
     """A bit vector with select, by the counts of ones before each 64-bit word."""
 
@@ -32,9 +45,7 @@ class Bits:
             r = rank[s : s + AT_ONCE]
             w = np.searchsorted(before, r, "right") - 1
             word = self.words[w] if bit else ~self.words[w]
-            inside = np.unpackbits(np.ascontiguousarray(word).view("u1").reshape(-1, 8), axis=1, bitorder="little")
-            nth = np.cumsum(inside, axis=1, dtype="u1") > (r - before[w]).astype("u1")[:, None]
-            out[s : s + AT_ONCE] = w * 64 + nth.argmax(1)
+            out[s : s + AT_ONCE] = w * 64 + nth_one(word, r - before[w])
         return out
 
 
@@ -69,8 +80,8 @@ class Sequence:
         if not self.low_bits:
             return np.zeros(len(i), "uint64")
         at = i * self.low_bits
-        eight = self.low[(at >> 3)[:, None] + np.arange(8)]
-        return (np.ascontiguousarray(eight).view("<u8").ravel() >> (at & 7).astype("uint64")) & np.uint64((1 << self.low_bits) - 1)
+        eight = np.ndarray(len(self.low) - 7, "<u8", self.low, strides=(1,))  # the 8 bytes from any byte on
+        return (eight[at >> 3] >> (at & 7).astype("uint64")) & np.uint64((1 << self.low_bits) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         return ((self.high.select(i, 1) - i).astype("uint64") << np.uint64(self.low_bits)) | self._low(i)

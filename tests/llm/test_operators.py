@@ -244,6 +244,8 @@ def test_embeddings(spark):
 def test_elias_fano():
     values = np.unique(np.random.default_rng(2).integers(0, 1 << 40, 5000).astype("uint64"))
     s = elias_fano.Sequence(np.frombuffer(elias_fano.Sequence.pack(values), "u1"))
+    words = np.array([1, 1 << 63, 0xF0F0F0F0F0F0F0F0, (1 << 64) - 1, (1 << 64) - 1], "uint64")
+    assert elias_fano.nth_one(words, np.array([0, 0, 31, 0, 63])).tolist() == [0, 63, 63, 0, 63]
     assert (s.get(np.arange(len(values))) == values).all()
     ask = np.concatenate([values, values + np.uint64(1)])
     place, hit = s.successor(ask)
@@ -287,6 +289,21 @@ def test_language_model_keeps_bigrams_seen_once(spark):
         assert r["score"] == pytest.approx(sum(math.log10(chance(*p)) for p in zip(x, x[1:])), abs=1e-3)
 
 
+def test_language_model_shards_get_places_not_keys(spark, monkeypatch):
+    rows = [(i, f"the w{i} and the w{i % 7} of x{i % 3}") for i in range(400)] + [(7, None), (7, None), (None, "the w1")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(tuple, ngram_lm.score_texts(frame, F.col("doc_id") > 100).collect()), key=repr)
+    keyed = frame.coalesce(1).select(F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    for shards in (8, 64):  # a batch's keys travel once, however many the shards
+        asked = [ngram_lm._unplanes(bytes(r["data"])) for r in ngram_lm.questions(keyed, shards, np.zeros(0, "uint64")).collect()]
+        assert sum(len(p) for x in asked for p in x if p.dtype == "int64") == len(rows)
+    monkeypatch.setattr(ngram_lm, "SHARD_CHARS", 1000)
+    parted = sorted(map(tuple, ngram_lm.score_texts(frame, F.col("doc_id") > 100).collect()), key=repr)
+    assert len(whole) == len(parted) == len(rows)
+    for a, b in zip(whole, parted):
+        assert a[:4] == b[:4] and a[4] == pytest.approx(b[4]) and a[5] == pytest.approx(b[5], abs=1e-2)
+
+
 def test_language(spark):
     other = ["xu", "vy", "wo", "zzi", "qe"]
     rows = [(i, prose(40), "en") for i in range(60)] + [(100 + i, " ".join("".join(RNG.choice(other) for _ in range(3)) for _ in range(40)), "xx") for i in range(60)]
