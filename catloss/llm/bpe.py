@@ -11,8 +11,11 @@ a token border is settled.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+
 
 def byte_symbols() -> list[str]:
     """The character that byte-level vocabularies write for each byte: itself if printable, else the next from U+0100."""
@@ -55,6 +58,11 @@ class MergeList:
         with open(path, encoding="utf-8") as f:
             return cls(json.load(f)["model"])
 
+    def forget(self, most: int) -> None:
+        """Bounds the memory of borders: they are worked out anew when asked for."""
+        if len(self._fits) > most:
+            self._fits.clear()
+
     def whole(self, token: str) -> bool:
         """Whether merging the token's own symbols gives the token."""
         if token not in self._whole:
@@ -194,44 +202,151 @@ class Stream:
 
 
 class CountTransducer:
-    """A lazily compiled deterministic transducer whose transitions carry the number of tokens they emit.
+    """A lazily compiled deterministic transducer over bytes, whose transitions carry the number of tokens they emit.
 
     A state is the window with the last token and the relative token count at each of its
-    positions: all that later symbols can depend on, hence finitely many states. ``step``
-    compiles a transition when it is first taken. When more than ``most`` transitions are
-    compiled the table starts anew, which bounds memory and changes no result.
+    positions: all that later bytes can depend on, hence finitely many states. ``step``
+    compiles a transition when it is first taken. Words go through it side by side, byte by
+    byte, by look-ups in an open hash table (key: state and byte; value: next state and
+    emitted tokens); words of over ``LONG`` bytes alone, with a dict. When more than ``most``
+    transitions are compiled the table starts anew, between ``BLOCK`` bytes of words or within
+    a long word, which bounds memory and changes no result.
     """
 
-    def __init__(self, merges: MergeList, most: int = 1_000_000):
+    LONG = 256
+    BLOCK = 1 << 18
+    EMPTY = -1
+    ZERO = 1 << 15  # a later byte can make tokens fewer, so less than none can be emitted
+
+    def __init__(self, merges: MergeList, end: int = 0, most: int = 600_000):
         self.m, self.most = merges, most
+        shown = byte_symbols()
+        self.symbols = [*shown, *(chr(ord(c) + end) for c in shown)]  # the second half for a word's last byte
         self._reset()
 
-    def _reset(self) -> None:
-        self.states = [("", (None,), (0,))]
-        self.number = {self.states[0]: 0}
-        self.table: dict[tuple[int, str], tuple[int, int]] = {}
-
-    def step(self, state: int, symbol: str) -> tuple[int, int]:
-        """(next state, tokens emitted)."""
-        if (got := self.table.get((state, symbol))) is None:
-            window, lasts, counts = self.states[state]
-            w = window + symbol
-            t, j = self.m.last_token(w, list(lasts))
-            lasts, counts = (*lasts, t), (*counts, counts[j] + 1)
-            k = 0 if w in self.m.prefixes else next((k for k in range(1, len(w)) if w[k:] in self.m.prefixes), len(w))
-            new = (w[k:], lasts[k:], tuple(x - counts[k] for x in counts[k:]))
-            if new not in self.number:
-                self.number[new] = len(self.states)
-                self.states.append(new)
-            got = self.table[state, symbol] = (self.number[new], counts[k])
+    def _reset(self, start: tuple = ("", (None,), (0,))) -> None:
+        """Forget all but the empty state, whose number is 0, and ``start``, whose number is the last."""
+        self.states, self.number = [], {}
+        for state in (("", (None,), (0,)), start):
+            self._state(*state)
+        self.taken: dict[int, int] = {}  # of long words
+        self.size = 0
+        self._room(16)
+
+    def _room(self, bits: int) -> None:
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, self.EMPTY, "int64"), np.zeros(1 << bits, "int64")
+
+    def _state(self, window: str, lasts: tuple, counts: tuple) -> int:
+        key = (sys.intern(window), lasts, counts)
+        if (got := self.number.get(key)) is None:
+            got = self.number[key] = len(self.states)
+            self.states.append(key)
         return got
 
-    def count(self, word: str) -> int:
-        """Tokens of a whole word: what the transitions emit, then what the last state still holds."""
-        if len(self.table) > self.most:
+    def step(self, key: int) -> int:
+        """key: state * 512 + byte, 256 more for a word's last byte. (Next state << 16) + ZERO + tokens emitted, of the last byte all that are left."""
+        window, lasts, counts = self.states[key >> 9]
+        w = window + self.symbols[key & 511]
+        t, j = self.m.last_token(w, lasts)
+        if key & 256:
+            return self.ZERO + counts[j] + 1
+        prefixes, k = self.m.prefixes, 0
+        while w[k:] not in prefixes and k < len(w):
+            k += 1
+        lasts, counts = (*lasts[k:], sys.intern(t)), (*counts, counts[j] + 1)
+        emitted = counts[k]
+        return (self._state(w[k:], lasts, tuple([x - emitted for x in counts[k:]]) if emitted else counts[k:]) << 16) + self.ZERO + emitted
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype("int64")
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' places in the table, -1 of those it lacks."""
+        at = self._home(keys)
+        found = self.keys[at]
+        rest = np.flatnonzero(found != keys)
+        while len(rest):
+            lacking = found[rest] == self.EMPTY
+            at[rest[lacking]] = -1
+            rest = rest[~lacking]
+            at[rest] = (at[rest] + 1) & self.mask
+            found[rest] = self.keys[at[rest]]
+            rest = rest[found[rest] != keys[rest]]
+        return at
+
+    def _put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add distinct keys that the table lacks; at most half of its places are taken."""
+        self.size += len(keys)
+        if 2 * self.size > len(self.keys):
+            held = self.keys != self.EMPTY
+            keys, values = np.concatenate([self.keys[held], keys]), np.concatenate([self.values[held], values])
+            self._room((2 * len(keys)).bit_length())
+        at = self._home(keys)
+        while len(keys):
+            free = self.keys[at] == self.EMPTY
+            self.keys[at[free]] = keys[free]  # of keys with the same place the last stays
+            put = self.keys[at] == keys
+            self.values[at[put]] = values[put]
+            keys, values, at = keys[~put], values[~put], (at[~put] + 1) & self.mask
+
+    def _take(self, keys: np.ndarray) -> np.ndarray:
+        """The values of the keys' transitions; new ones are compiled."""
+        at = self._find(keys)
+        if (at < 0).any():
+            new = np.unique(keys[at < 0])
+            self._put(new, np.fromiter(map(self.step, new.tolist()), "int64", len(new)))
+            at = self._find(keys)
+        return self.values[at]
+
+    def counts(self, words: bytes) -> np.ndarray:
+        """Token counts of words, none empty, with a line feed after each."""
+        text = np.frombuffer(words, "uint8")
+        ends = np.flatnonzero(text == 10)
+        starts = np.concatenate([[0], ends + 1])[: len(ends)]
+        order = np.argsort(ends - starts, kind="stable")
+        out = np.zeros(len(ends), "int64")
+        size = (ends - starts)[order]
+        many = int(np.searchsorted(size, self.LONG, "right"))
+        total = np.cumsum(size[:many])
+        lo = 0
+        while lo < many:
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + self.BLOCK)))
+            out[order[lo:hi]] = self._side_by_side(text, starts[order[lo:hi]], size[lo:hi])
+            lo = hi
+        for i in order[many:].tolist():
+            out[i] = self.count(words[starts[i] : ends[i]])
+        return out
+
+    def _side_by_side(self, text: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Token counts of words, the shorter ones first."""
+        if self.size > self.most:
             self._reset()
+        state, count = np.zeros(len(size), "int64"), np.zeros(len(size), "int64")
+        for i in range(int(size[-1])):
+            on = int(np.searchsorted(size, i, "right"))
+            symbol = text[starts[on:] + i].astype("int64")
+            symbol[: int(np.searchsorted(size, i + 1, "right")) - on] += 256
+            got = self._take((state[on:] << 9) + symbol)
+            count[on:] += (got & 0xFFFF) - self.ZERO
+            state[on:] = got >> 16
+        return count
+
+    def count(self, word: bytes) -> int:
+        """Tokens of a whole word: what the transitions emit, then what the last state still holds."""
         state = total = 0
-        for c in word:
-            state, n = self.step(state, c)
-            total += n
-        return total + self.states[state][2][-1]
+        for at in range(0, len(word), self.BLOCK):
+            if self.size > self.most:
+                self._reset(self.states[state])
+                state = len(self.states) - 1
+            part = word[at : at + self.BLOCK]
+            known = self.taken
+            last = len(part) - 1 if at + self.BLOCK >= len(word) else -1
+            for i, b in enumerate(part):
+                key = (state << 9) + b + 256 * (i == last)
+                if (got := known.get(key)) is None:
+                    got = known[key] = self.step(key)
+                    self.size += 1
+                total += (got & 0xFFFF) - self.ZERO
+                state = got >> 16
+        return total

@@ -1,15 +1,16 @@
 """Token counts by a compiled transducer.
 
-Words of up to ``LONG`` symbols are counted by the merge list's automaton, longer ones by a
-deterministic transducer compiled from it (``bpe.CountTransducer``), whose transitions carry
-emitted-token counts. Both start anew at ASCII white space, so what a chunk of text does is
-told by its map: the text before the chunk's first gap (still open to the left), the count
-between first and last gap, and the text after the last gap (open to the right); a chunk
-without a gap is open on both sides and is its own map. Such maps compose associatively.
-They are not maps between transducer states: text without gaps is put together again and
-counted in one task. Texts of up to ``CHUNK`` characters are counted where they lie;
+Words are counted by a deterministic transducer compiled from the merge list
+(``bpe.CountTransducer``), whose transitions carry emitted-token counts; a worker process
+makes it once and keeps what it has compiled. It starts anew at ASCII white space, so what
+a chunk of text does is told by its map: the text before the chunk's first gap (still open
+to the left), the count between first and last gap, and the text after the last gap (open to
+the right); a chunk without a gap is open on both sides and is its own map. Such maps compose
+associatively. They are not maps between transducer states: text without gaps is put together
+again and counted in one task. Texts of up to ``CHUNK`` characters are counted where they lie;
 longer ones are cut into chunks that Spark spreads over the cluster, and each document's
 maps are composed in one task, neighbours first, then neighbouring pairs, until one is left.
+Chunks and documents are dealt over all shuffle partitions: their bytes don't tell their work.
 
 Normalisation and the split into words are the tokenizers library's own, applied to
 each distinct stretch without gaps; both leave gaps where they are.
@@ -32,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catloss.llm.bpe import END, CountTransducer, MergeList, byte_symbols
-from catloss.llm.common import WS, text_or_empty
+from catloss.llm.common import WS, per_process, shuffle_width, sliced, text_or_empty
 
 CHUNK = 1 << 16
-LONG = 256  # symbols of a word from which on only the transducer's state is kept
+AT_ONCE = 32_000_000  # bytes of text that a task holds as words, unless one text is longer
+BORDERS = 400_000  # pairs of tokens from which on a worker's memory of them starts anew
 
 # fixed value: the word pattern of the vocabulary
 PLAIN_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -54,16 +56,15 @@ class Counter:
         special = [t.content for t in lib.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.merges = MergeList.load(path)
-        self.transducer = CountTransducer(self.merges)
-        self.shown = {b: c for b, c in enumerate(byte_symbols()) if b != 10}
-        self.last = {c: chr(ord(c) + END) for c in self.shown.values()}
+        self.byte = {ord(c): b for b, c in enumerate(byte_symbols())}
         self.end = END if any(ord(t[-1]) >= END for t in self.merges.ids) else 0
+        self.transducer = CountTransducer(self.merges, self.end)
 
-    def pieces(self, stretch: str) -> tuple[int, list[str]]:
-        """(special strings, words as symbols) of a stretch."""
+    def pieces(self, stretch: str) -> tuple[int, list[bytes]]:
+        """(special strings, words as bytes) of a stretch."""
         parts = self.special.split(stretch) if self.special else [stretch]
         words = [w for x in parts[::2] if x for w, _ in self.words(self.normalize(x))]
-        return len(parts) // 2, [w[:-1] + chr(ord(w[-1]) + self.end) for w in words]
+        return len(parts) // 2, [w.translate(self.byte).encode("latin-1") for w in words]
 
     def plain(self, texts: list[str]) -> list[str]:
         """Normalised plain stretches, whose words are runs of letters, single digits and runs of others.
@@ -74,14 +75,10 @@ class Counter:
         return unicodedata.normalize("NFC", "\n".join(texts)).lower().split("\n")
 
     def stretches(self, texts: list[str]) -> np.ndarray:
-        """Token counts of distinct stretches.
-
-        Their distinct words run through the automaton in sorted order, so that the states of
-        shared beginnings are made once; longer words run through the compiled transducer,
-        which keeps no more of a word than its state.
-        """
+        """Token counts of distinct stretches, whose words run through the transducer."""
+        self.merges.forget(BORDERS)
         special = np.zeros(len(texts), "int64")
-        owner, words = [], []
+        owner, words, others = [], [], []
         usual = [i for i, x in enumerate(texts) if NOT_PLAIN.search(x) is None] if self.end else []
         rest = set(range(len(texts))).difference(usual)
         for i, x in zip(usual, self.plain([texts[i] for i in usual])):
@@ -92,21 +89,19 @@ class Counter:
                 found = PLAIN_WORD.findall(x)
                 owner += [i] * len(found)
                 words += found
-        words = "\n".join(words).encode().decode("latin-1").translate(self.shown).split("\n") if words else []
-        words = [w[:-1] + self.last[w[-1]] for w in words]
         for i in rest:
             special[i], found = self.pieces(texts[i])
             owner += [i] * len(found)
-            words += found
-        counts = {w: n[-1] for w, _, n in self.merges.walk(sorted({w for w in words if len(w) <= LONG}))}
-        found = np.fromiter((counts[w] if len(w) <= LONG else self.transducer.count(w) for w in words), "int64", len(words))
+            others += found
+        words = "".join(f"{w}\n" for w in words).encode() + b"".join(w + b"\n" for w in others)
+        found = self.transducer.counts(words)
         return special + np.bincount(np.asarray(owner, "int64"), found, len(texts)).astype("int64")
 
     def count_all(self, texts: pa.Array) -> np.ndarray:
         """Token counts of texts: each distinct stretch of the batch is counted once."""
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        known = words.dictionary.to_pylist()
+        known = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         each = np.append(self.stretches(known), 0)  # the last for the empty strings at a text's ends
         each[[i for i, w in enumerate(known) if not w]] = 0
         total = np.concatenate([[0], np.cumsum(each[words.indices.to_numpy(zero_copy_only=False)])]).astype("int64")
@@ -146,6 +141,11 @@ class Counter:
         return maps
 
 
+def counter(path: str) -> Counter:
+    """The worker process's counter, made once: loading it takes longer than most tasks' chunks and documents."""
+    return per_process(("token_counts", path), lambda: Counter(path))
+
+
 def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """Rows (doc_id, n_bytes, n_tokens) for each document."""
     texts = docs.select("doc_id", text_or_empty().alias("text"))
@@ -153,8 +153,8 @@ def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     out = f"doc_id {id_type}, n_bytes long, n_tokens long"
 
     def short(batches):
-        c = Counter(path)
-        for b in batches:
+        c = counter(path)
+        for b in (part for batch in batches for part in sliced(batch, AT_ONCE)):
             text = b.column("text").cast(pa.large_string())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pc.binary_length(text), pa.array(c.count_all(text))], ["doc_id", "n_bytes", "n_tokens"])
 
@@ -167,13 +167,12 @@ def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
                     yield pd.DataFrame({"key": key, "copies": n, "n_bytes": bytes_, "k": list(k), "text": [parts[i] for i in k]})
 
     def maps(batches):
-        c = Counter(path)
         for pdf in batches:
-            m = [c.state_map(x) for x in pdf["text"]]
+            m = [counter(path).state_map(x) for x in pdf["text"]]
             yield pdf.drop(columns="text").assign(**{n: [x[i] for x in m] for i, n in enumerate(("open", "head", "n", "tail"))})
 
     def compose(pdf):
-        c = Counter(path)
+        c = counter(path)
         pdf = pdf.sort_values("k")
         whole = c.scan(list(zip(pdf["open"], pdf["head"], pdf["n"], pdf["tail"])))[-1]
         return pd.DataFrame({"key": pdf["key"].iloc[:1].values, "copies": pdf["copies"].iloc[:1].values, "n_bytes": pdf["n_bytes"].iloc[:1].values, "n_tokens": [c.close(whole)]})
@@ -184,7 +183,8 @@ def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     long = long.select("doc_id", F.sha2("text", 256).alias("hash"), "copies", F.octet_length("text").cast("long").alias("n_bytes"), "text")
     long = long.withColumn("key", F.struct("doc_id", "hash")).select(F.to_json("key", {"ignoreNullFields": "false"}).alias("key"), "copies", "n_bytes", "text")
     cut = long.mapInPandas(chunks, "key string, copies long, n_bytes long, k int, text string")
-    spread = cut.repartition(F.col("key"), F.col("k")).mapInPandas(maps, "key string, copies long, n_bytes long, k int, open boolean, head string, n long, tail string")
-    done = spread.groupBy("key").applyInPandas(compose, "key string, copies long, n_bytes long, n_tokens long")
+    width = shuffle_width(docs.sparkSession)  # named, or AQE puts small rows with much work into one task
+    spread = cut.repartition(width, "key", "k").mapInPandas(maps, "key string, copies long, n_bytes long, k int, open boolean, head string, n long, tail string")
+    done = spread.repartition(width, "key").groupBy("key").applyInPandas(compose, "key string, copies long, n_bytes long, n_tokens long")
     back = done.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return here.union(back.select(F.from_json("key", f"doc_id {id_type}")["doc_id"].alias("doc_id"), "n_bytes", "n_tokens"))

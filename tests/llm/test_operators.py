@@ -91,6 +91,38 @@ def test_text_without_gaps_is_composed_in_linear_space():
     assert whole[-1][1] == "".join(parts) and peak < 5 * len(whole[-1][1])
 
 
+def test_long_documents_are_dealt_over_tasks_that_share_a_counter(spark):
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    lib = Tokenizer.from_file(path)
+    texts = {i: f"{prose(20 + i)} {'z' * (50 * (i % 3))}" for i in range(40)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    rows = token_counts.count_tokens(docs, path, chunk=30).withColumn("part", F.spark_partition_id()).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(lib.encode(t, add_special_tokens=False).ids) for i, t in texts.items()}
+    assert len({r["part"] for r in rows}) > 3  # all were in one task, which loaded the vocabulary for each document
+    assert token_counts.counter(path) is token_counts.counter(path)
+
+
+def test_the_transducer_counts_alike_however_small_its_table():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    lib, counter = Tokenizer.from_file(path), token_counts.Counter(path)
+    words = [prose(1) for _ in range(300)] + ["".join(RNG.choice(a) for _ in range(n)) for a in ("ab", "etaoinshr", "xQ7+/", "\u4e2d\u6587\u5b57", "\u00e9\u00df") for n in (1, 7, 90, 300, 3000)]
+    want = [len(lib.encode(w, add_special_tokens=False).ids) for w in words]
+    assert counter.count_all(pa.array(words, pa.large_string())).tolist() == want
+    t = counter.transducer
+    t.most, t.BLOCK = 500, 200
+    sizes = []
+    for _ in range(2):
+        assert counter.count_all(pa.array(words, pa.large_string())).tolist() == want
+        sizes.append(t.size)
+    assert max(sizes) <= t.most + 2 * 256 and len(t.states) <= t.size + 2
+    counter.merges.forget(0)
+    assert not counter.merges._fits and counter.count(" ".join(words)) == sum(want)
+
+
 def test_detokenize_is_the_round_trip(docs):
     back = bpe_codec.detokenize(bpe_codec.token_ids(docs.where("doc_id <> 8"), vocabulary("byte_bpe_50k.json")), vocabulary("byte_bpe_50k.json"))
     assert all(r["decoded"] == (r["text"] or "") for r in back.collect())
