@@ -36,8 +36,8 @@ from catloss.llm.bpe import END, CountTransducer, MergeList, byte_symbols
 from catloss.llm.common import WS, per_process, shuffle_width, sliced, text_or_empty
 
 CHUNK = 1 << 16
-AT_ONCE = 32_000_000  # bytes of text that a task holds as words, unless one text is longer
-BORDERS = 400_000  # pairs of tokens from which on a worker's memory of them starts anew
+AT_ONCE = 8_000_000  # bytes of text that a task holds as words, unless one text is longer
+BORDERS = 250_000  # pairs of tokens from which on a worker's memory of them starts anew
 
 # fixed value: the word pattern of the vocabulary
 PLAIN_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -157,6 +157,7 @@ def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
         for b in (part for batch in batches for part in sliced(batch, AT_ONCE)):
             text = b.column("text").cast(pa.large_string())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pc.binary_length(text), pa.array(c.count_all(text))], ["doc_id", "n_bytes", "n_tokens"])
+            pa.default_memory_pool().release_unused()
 
     def chunks(batches):
         for pdf in batches:
